@@ -22,10 +22,6 @@ def safe_mean(column: str | Column, digits: int = 4) -> Column:
     return F.coalesce(round_exact(steady_mean(not_nan(value.try_cast("double"))), digits), F.lit(0.0))
 
 
-def mean_or_null(column: str, digits: int) -> Column:
-    return round_exact(steady_mean(not_nan(F.col(column))), digits)
-
-
 def value_counts(df: DataFrame, column: str, top_n: int | None = None) -> DataFrame:
     """(value, count) by falling count; equal counts by value."""
     counts = (
@@ -53,9 +49,10 @@ def top_topics(df: DataFrame, top_n: int = TOP_N) -> DataFrame:
     return (
         named.filter("topic <> ''")
         .groupBy("topic")
-        .agg(F.count(F.lit(1)).alias("count"), mean_or_null("sentiment_score", 3).alias("avg_sentiment"))
+        .agg(F.count(F.lit(1)).alias("count"), steady_mean(not_nan(F.col("sentiment_score"))).alias("avg_sentiment"))
         .orderBy(F.desc("count"), F.asc("topic"))
         .limit(top_n)
+        .withColumn("avg_sentiment", round_exact(F.col("avg_sentiment"), 3))
     )
 
 
@@ -69,16 +66,18 @@ def competitor_mentions(df: DataFrame, top_n: int = TOP_N) -> DataFrame:
 
 def scalar_kpis(df: DataFrame) -> DataFrame:
     """One row of totals and means; zeros for an empty table."""
-    return df.agg(
+    means = {"average_sentiment_score": 4, "average_rating": 2, "average_confidence": 4}
+    totals = df.agg(
         F.count(F.lit(1)).alias("total_reviews_analyzed"),
         F.count_if(F.col("data_quality") == "high").alias("high_quality_reviews"),
-        safe_mean("sentiment_score").alias("average_sentiment_score"),
-        mean_or_null("reviewer_rating", 2).alias("average_rating"),
-        safe_mean("confidence_score").alias("average_confidence"),
+        steady_mean(not_nan(F.col("sentiment_score"))).alias("average_sentiment_score"),
+        steady_mean(not_nan(F.col("reviewer_rating"))).alias("average_rating"),
+        steady_mean(not_nan(F.col("confidence_score"))).alias("average_confidence"),
         F.count_if(F.coalesce(F.col("action_required"), F.lit(False))).alias("action_required_count"),
         F.count_if(F.col("urgency_level") == "critical").alias("critical_urgency_count"),
         F.count_if(F.col("urgency_level") == "high").alias("high_urgency_count"),
-    )
+    ).withColumns({name: round_exact(F.col(name), digits) for name, digits in means.items()})
+    return totals.fillna(0.0, ["average_sentiment_score", "average_confidence"])
 
 
 def spam_excluded(raw: DataFrame) -> DataFrame:

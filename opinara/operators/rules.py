@@ -123,6 +123,8 @@ def _read_cells(df: DataFrame, from_payload: bool) -> tuple[DataFrame, dict[str,
     cells = {
         name: _variant_cell(name) if from_payload else _typed_cell(df, name) for name in ANALYZED.names
     }
+    if not from_payload:
+        return df, cells
     columns = {
         f"_{part}_{name}": getattr(cell, part) for name, cell in cells.items() for part in Cell._fields
     }

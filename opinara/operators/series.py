@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from opinara.functions.numeric import not_nan, round_exact, round_scaled, steady_mean
@@ -17,6 +17,7 @@ MIN_PERIODS_FOR_Z = 3
 FLAT_STD = 1e-9
 ALERT_METRICS = ("negative_rate", "avg_sentiment")
 REPORT_PERIODS = 5
+_SERIES_DIGITS = {"avg_sentiment": 4, "avg_rating": 2, "negative_rate": 4, "positive_rate": 4}
 
 
 def period_label(moment: Column, granularity: str = "day") -> Column:
@@ -45,13 +46,14 @@ def time_series(df: DataFrame, granularity: str = "day") -> DataFrame:
         df.filter(F.col("review_date").isNotNull())
         .groupBy(period_label(F.col("review_date"), granularity).alias("period"))
         .agg(
-            round_scaled(steady_mean(F.col("sentiment_score")), 4).alias("avg_sentiment"),
+            steady_mean(F.col("sentiment_score")).alias("avg_sentiment"),
             F.count("source_id").alias("review_count"),
-            round_scaled(rating.cast("double"), 2).alias("avg_rating"),
-            round_scaled(F.avg(F.coalesce((label == "negative").cast("double"), F.lit(0.0))), 4).alias("negative_rate"),
-            round_scaled(F.avg(F.coalesce((label == "positive").cast("double"), F.lit(0.0))), 4).alias("positive_rate"),
+            rating.cast("double").alias("avg_rating"),
+            (F.count_if(label == "negative") / F.count(F.lit(1))).alias("negative_rate"),
+            (F.count_if(label == "positive") / F.count(F.lit(1))).alias("positive_rate"),
             F.count(F.lit(1)).alias("_rows"),
         )
+        .withColumns({name: round_scaled(F.col(name), digits) for name, digits in _SERIES_DIGITS.items()})
     )
     # One row per calendar period is left here, so an unpartitioned window is small.
     dated = F.sum("_rows").over(Window.partitionBy())
@@ -68,25 +70,36 @@ def last_periods(series: DataFrame, n: int = REPORT_PERIODS) -> DataFrame:
     return series.orderBy(F.desc("period")).limit(n).orderBy("period")
 
 
-def metric_alert(metric: str, scope: Window, threshold: float = Z_THRESHOLD) -> Column:
-    """ANOMALY struct of a period row for one metric, null when it is unremarkable.
+def with_alerts(
+    series: DataFrame, metrics: Sequence[str], scope: WindowSpec, threshold: float = Z_THRESHOLD
+) -> DataFrame:
+    """Add ``alerts``: per metric an ANOMALY struct, null where it is unremarkable.
 
     Mean and deviation are those of the whole series (``scope``).
     """
-    value = F.col(metric).cast("double")
-    mean, std = F.avg(value).over(scope), F.stddev_samp(value).over(scope)
-    enough = F.count(value).over(scope) >= MIN_PERIODS_FOR_Z
-    score = (value - mean) / F.when(std >= FLAT_STD, std)
-    alert = F.struct(
-        F.col("period").alias("period"),
-        F.lit(metric).alias("metric"),
-        round_exact(value, 4).alias("value"),
-        round_exact(score, 3).alias("z_score"),
-        severity(score).alias("severity"),
-        round_exact(mean, 4).alias("mean"),
-        round_exact(std, 4).alias("std"),
-    )
-    return F.when(enough & (F.abs(score) > threshold), alert)
+    statistics, scores, alerts = {}, {}, []
+    for metric in metrics:
+        value = F.col(metric).cast("double")
+        mean, std, count, score = (f"_{part}_{metric}" for part in ("mean", "std", "count", "score"))
+        statistics |= {
+            mean: F.avg(value).over(scope),
+            std: F.stddev_samp(value).over(scope),
+            count: F.count(value).over(scope),
+        }
+        scores[score] = (value - F.col(mean)) / F.when(F.col(std) >= FLAT_STD, F.col(std))
+        alert = F.struct(
+            F.col("period").alias("period"),
+            F.lit(metric).alias("metric"),
+            round_exact(value, 4).alias("value"),
+            round_exact(F.col(score), 3).alias("z_score"),
+            severity(F.col(score)).alias("severity"),
+            round_exact(F.col(mean), 4).alias("mean"),
+            round_exact(F.col(std), 4).alias("std"),
+        )
+        striking = (F.col(count) >= MIN_PERIODS_FOR_Z) & (F.abs(F.col(score)) > threshold)
+        alerts.append(F.when(striking, alert))
+    scored = series.withColumns(statistics).withColumns(scores)
+    return scored.withColumn("alerts", F.array(*alerts)).drop(*statistics, *scores)
 
 
 def severity(score: Column) -> Column:
@@ -108,9 +121,9 @@ def detect_anomalies(
     if not present:
         return series.sparkSession.createDataFrame([], ANOMALY)
     scope = Window.partitionBy()
-    found = series.select(
-        F.array(*[metric_alert(name, scope, threshold) for name in present]).alias("alerts")
-    ).select(F.posexplode("alerts").alias("_order", "alert"))
+    found = with_alerts(series, present, scope, threshold).select(
+        F.posexplode("alerts").alias("_order", "alert")
+    )
     return (
         found.filter(F.col("alert").isNotNull())
         .orderBy("_order", "alert.period")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from opinara.functions.numeric import not_nan, round_exact, round_scaled, steady_mean
 from opinara.functions.text import strip
 from opinara.operators.kpi import DISTRIBUTIONS, NO_COMPETITOR, TOP_N, list_items
-from opinara.operators.series import ALERT_METRICS, MIN_DATED_ROWS, metric_alert, period_label
+from opinara.operators.series import ALERT_METRICS, MIN_DATED_ROWS, period_label, with_alerts
 from opinara.schemas import ANOMALY, SERIES
 
 _TOPIC, _COMPETITOR, _PERIOD, _TOTAL, _SPAM = "topic", "competitor", "period", "total", "spam"
@@ -84,8 +84,8 @@ def _count(facts: DataFrame) -> DataFrame:
         steady_mean(F.col("sentiment_score")).alias("score"),
         steady_mean(F.col("confidence_score")).alias("confidence"),
         steady_mean(F.col("reviewer_rating")).alias("rating"),
-        F.avg(F.coalesce((label == "negative").cast("double"), F.lit(0.0))).alias("negative"),
-        F.avg(F.coalesce((label == "positive").cast("double"), F.lit(0.0))).alias("positive"),
+        (F.count_if(label == "negative") / F.count(F.lit(1))).alias("negative"),
+        (F.count_if(label == "positive") / F.count(F.lit(1))).alias("positive"),
         F.count_if(F.col("data_quality") == "high").alias("high_quality"),
         F.count_if(F.col("action_required")).alias("actions"),
         F.count_if(F.col("urgency_level") == "critical").alias("critical"),
@@ -117,10 +117,10 @@ def _mark_alerts(rows: DataFrame) -> DataFrame:
         "positive_rate": F.when(is_period, round_scaled(F.col("positive"), 4)),
     })
     scope = Window.partitionBy("section")
-    alerts = F.array_compact(F.array(*[
-        F.when(is_period, metric_alert(metric, scope)) for metric in ALERT_METRICS
-    ]))
-    return series.withColumns({"alerts": alerts, "_section_rows": F.sum("n").over(scope)})
+    # Outside the period rows the metrics are null and raise no alert.
+    return with_alerts(series, ALERT_METRICS, scope).withColumns({
+        "alerts": F.array_compact("alerts"), "_section_rows": F.sum("n").over(scope),
+    })
 
 
 def _document(rows: DataFrame) -> DataFrame:
@@ -150,9 +150,9 @@ def _document(rows: DataFrame) -> DataFrame:
         F.coalesce(scalar("high_quality"), F.lit(0)).alias("high_quality_reviews"),
         F.coalesce(F.max(F.when(section == _SPAM, F.col("n"))), F.lit(0)).alias("spam_excluded"),
         counts_of("sentiment").alias("sentiment_distribution"),
-        F.coalesce(round_exact(scalar("score"), 4), F.lit(0.0)).alias("average_sentiment_score"),
-        round_exact(scalar("rating"), 2).alias("average_rating"),
-        F.coalesce(round_exact(scalar("confidence"), 4), F.lit(0.0)).alias("average_confidence"),
+        scalar("score").alias("average_sentiment_score"),
+        scalar("rating").alias("average_rating"),
+        scalar("confidence").alias("average_confidence"),
         counts_of("product_category").alias("category_distribution"),
         F.coalesce(scalar("actions"), F.lit(0)).alias("action_required_count"),
         F.coalesce(scalar("critical"), F.lit(0)).alias("critical_urgency_count"),
@@ -165,7 +165,11 @@ def _document(rows: DataFrame) -> DataFrame:
         counts_of("language_detected").alias("language_distribution"),
         F.array_sort(F.collect_list(F.when(listed, point))).alias("time_series_data"),
         alerts.alias("_alerts"),
-    )
+    ).withColumns({
+        "average_sentiment_score": F.coalesce(round_exact(F.col("average_sentiment_score"), 4), F.lit(0.0)),
+        "average_rating": round_exact(F.col("average_rating"), 2),
+        "average_confidence": F.coalesce(round_exact(F.col("average_confidence"), 4), F.lit(0.0)),
+    })
 
     def alerts_on(metric: str) -> Column:
         return F.array_sort(F.filter("_alerts", lambda alert: alert["metric"] == metric))
