@@ -64,28 +64,21 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def words(text: Column) -> Column:
-    """White-space separated words, none of them empty; no words for null."""
-    return F.filter(_pieces(text), lambda word: word != "")
+def words(text: Column, lower: bool = False) -> Column:
+    """White-space separated words, none of them empty; no words for null.
 
-
-def _pieces(text: Column) -> Column:
-    """Split at white space. The full class costs three times the ASCII one, so
-    it is used only on texts whose bytes may hold one of the rarer characters."""
-    text = F.coalesce(text, F.lit(""))
+    The full class costs three times the ASCII one, so it is used only on
+    texts whose bytes may hold one of the rarer characters.
+    """
     raw = text.cast("binary")
     rare = reduce(or_, [F.contains(raw, F.lit(piece)) for piece in _RARE_GAP_BYTES])
-    return F.when(rare, F.split(text, GAP)).otherwise(F.split(text, r"\s+"))
-
-
-def word_count(text: Column) -> Column:
-    """Number of words: the pieces without the empty ones at either end."""
-    trimmed = strip(text)
-    return F.when(F.coalesce(trimmed, F.lit("")) == "", F.lit(0)).otherwise(F.size(_pieces(trimmed)))
+    source = F.coalesce(F.lower(text) if lower else text, F.lit(""))
+    pieces = F.when(rare, F.split(source, GAP)).otherwise(F.split(source, r"\s+"))
+    return F.filter(pieces, lambda word: word != "")
 
 
 def token_count(text: Column) -> Column:
-    return F.ceil(word_count(text) * F.lit(TOKENS_PER_WORD)).cast("long")
+    return F.ceil(F.size(words(text)) * F.lit(TOKENS_PER_WORD)).cast("long")
 
 
 def conversation_tokens(messages: DataFrame, key: str = "conv_id", text: str = "text") -> DataFrame:
@@ -119,7 +112,7 @@ def score_sentiment(df: DataFrame, lexicon: Lexicon = Lexicon(), text: str = "ra
     Words are compared as a set and with their punctuation attached. The word
     lists travel inside the plan as constants, so this is a narrow projection.
     """
-    vocabulary = df.withColumn("_words", F.array_distinct(words(F.lower(F.col(text)))))
+    vocabulary = df.withColumn("_words", F.array_distinct(words(F.col(text), lower=True)))
     counted = compute_once(vocabulary, {
         "_neg": _hits("_words", lexicon.negative),
         "_pos": _hits("_words", lexicon.positive),

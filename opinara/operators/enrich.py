@@ -111,7 +111,8 @@ class PromptAnalyzer:
         self.max_concurrent, self.max_tokens, self.drop_unknown = max_concurrent, max_tokens, drop_unknown
 
     def enrich(self, raw: DataFrame, now: Column | None = None) -> Enriched:
-        batches = pack_batches(record_costs(raw), self.max_tokens).select("ingest_seq", "batch_no")
+        # Two narrow columns, read by the prompts and again when reconciling.
+        batches = materialize(pack_batches(record_costs(raw), self.max_tokens).select("ingest_seq", "batch_no"))
         packed = raw.select("ingest_seq", "source_id", "raw_text").join(batches, "ingest_seq")
         # The replies are costly and read three times below.
         replies = materialize(self._ask(batch_prompts(packed, self.schema), "batch_no"))

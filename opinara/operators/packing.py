@@ -95,7 +95,7 @@ def pack_batches(
 
     # Both passes over the rows read this one exchange of two narrow columns.
     placed = costs.select(
-        F.floor(F.col("ingest_seq") / F.lit(chunk_rows)).cast("long").alias("chunk"), "ingest_seq", "cost"
+        F.expr(f"ingest_seq div {int(chunk_rows)}").alias("chunk"), "ingest_seq", "cost"
     ).repartition("chunk")
     chunks = placed.groupBy("chunk").applyInPandas(chunk_summary, f"block long, chunk long, {_SUMMARY}")
     blocks = chunks.groupBy("block").applyInPandas(block_summary, f"block long, {_SUMMARY}")

@@ -29,11 +29,15 @@ def assemble_comments(
     The two-per-post rank is limited before the comments are shuffled, so a
     post with very many comments sends two rows per task.
     """
-    usable = posts.filter(~falsy(F.col("id"), posts.schema["id"].dataType))
-    if limit is not None:
+    has_id = ~falsy(F.col("id"), posts.schema["id"].dataType)
+    if limit is None:
+        usable = posts.filter(has_id)
+    else:
         # The cap counts posts as fetched; one without an id uses up its place.
-        capped = posts.orderBy("seq").limit(min(limit, MAX_POSTS_PER_FETCH))
-        usable = F.broadcast(capped.filter(~falsy(F.col("id"), posts.schema["id"].dataType)))
+        # At most a hundred rows are left, so they are broadcast, and only their
+        # comments are ranked.
+        usable = F.broadcast(posts.orderBy("seq").limit(min(limit, MAX_POSTS_PER_FETCH)).filter(has_id))
+        comments = comments.join(usable.select(F.col("id").alias("post_id")), "post_id", "left_semi")
     place = Window.partitionBy("post_id").orderBy(*comment_order)
     first = (
         comments.withColumn("place", F.row_number().over(place))
