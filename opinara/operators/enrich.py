@@ -161,8 +161,11 @@ class PromptAnalyzer:
 def _reply(call: Callable[[str], str], prompt: str) -> str | None:
     try:
         return call(prompt)
-    except AnalyzerError:
-        return None
+    except Exception as failure:
+        # By name: the class travels with the job and may also be installed.
+        if any(kind.__name__ == AnalyzerError.__name__ for kind in type(failure).__mro__):
+            return None
+        raise
 
 
 def _split(checked: DataFrame) -> Enriched:

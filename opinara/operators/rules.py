@@ -214,10 +214,14 @@ def check_analyzed(
         reject(name, value.isNull())
         return value
 
-    score = not_nan(cells["sentiment_score"].value)
-    reject("sentiment_score", score.isNull())
-    share = as_share(cells["confidence_score"].value)
-    reject("confidence_score", share.isNull())
+    # The rounded numbers are long expressions and later filters ask for them.
+    df = compute_once(df, {
+        "_score": coerce_score(not_nan(cells["sentiment_score"].value)),
+        "_share": round_exact(as_share(cells["confidence_score"].value), 4),
+        "_rating": coerce_rating(cells["reviewer_rating"].value),
+    })
+    reject("sentiment_score", F.col("_score").isNull())
+    reject("confidence_score", F.col("_share").isNull())
     source_id = strip(cells["source_id"].value)
     reject("source_id", F.coalesce(source_id, F.lit("")) == "")
     language = coerce_language(cells["language_detected"].value)
@@ -233,12 +237,12 @@ def check_analyzed(
         "product_category": label("product_category", CATEGORIES, "unknown"),
         "product_id": text("product_id", 0, None, False),
         "sentiment": label("sentiment", SENTIMENTS, None),
-        "sentiment_score": coerce_score(score),
-        "confidence_score": round_exact(share, 4),
+        "sentiment_score": F.col("_score"),
+        "confidence_score": F.col("_share"),
         "review_date": reviewed.value,
         "summary": text("summary", 10, 500, True),
         **{name: coerce_list(cells[name].value) for name in ("key_topics", "pros", "cons")},
-        "reviewer_rating": coerce_rating(cells["reviewer_rating"].value),
+        "reviewer_rating": F.col("_rating"),
         "is_verified_purchase": flag("is_verified_purchase", None),
         "reviewer_expertise": coerce_expertise(cells["reviewer_expertise"].value),
         "urgency_level": label("urgency_level", URGENCIES, "low"),

@@ -5,6 +5,7 @@ from opinara.operators import cleaning, kpi, series
 from opinara.operators.rules import check_analyzed
 from opinara.plans.jobs import analytics
 from opinara.schemas import SERIES
+from opinara.sinks import kpi_table
 
 POINTS = "period string, negative_rate double, avg_sentiment double"
 
@@ -100,7 +101,7 @@ def test_summary_agrees_with_the_single_operators(spark, sample, granularity):
     assert document["time_series_data"] == rows(series.time_series(kept, granularity))
     assert document["anomaly_details"] == rows(series.detect_anomalies(series.time_series(kept, granularity)))
     assert document["sentiment_distribution"] == {"negative": 2, "positive": 2, "neutral": 1}
-    assert list(document["sentiment_distribution"]) == ["negative", "positive", "neutral"]
+    assert [r["label"].strip() for r in rows(kpi_table(summary))][-4:] == ["Negative", "Positive", "Neutral", "Unknown"]
 
 
 def test_summary_of_nothing(spark, sample):
