@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # 2**27 + 1 cuts a double into two halves whose products with 10**n are exact.
@@ -60,13 +62,11 @@ def not_nan(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """``withColumns`` whose results later steps read instead of recomputing.
+def let(value: Column, build: Callable[[Column], Column]) -> Column:
+    """``build(value)`` with ``value`` computed once, however often it is used.
 
-    Spark pushes a filter below a projection by repeating the projected
-    expressions inside it. It cannot do so through a generator, which is why
-    the values pass through one (of a single row).
+    Spark copies projected expressions into filters it pushes below them; an
+    expression that names its input many times, stacked on another such one,
+    grows with every layer. A lambda variable keeps it at one mention each.
     """
-    row = F.struct(*[column.alias(name) for name, column in columns.items()])
-    kept = [name for name in df.columns if name not in columns]
-    return df.select(*kept, F.inline(F.array(row)))
+    return F.transform(F.array(value), build)[0]

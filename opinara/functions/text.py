@@ -10,7 +10,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.functions.numeric import compute_once, round_exact
+from opinara.functions.numeric import let, round_exact
 
 # Every character Unicode text processing treats as white space. Spark's own
 # trim removes blanks only and the \s class stops at ASCII.
@@ -112,36 +112,40 @@ def score_sentiment(df: DataFrame, lexicon: Lexicon = Lexicon(), text: str = "ra
     Words are compared as a set and with their punctuation attached. The word
     lists travel inside the plan as constants, so this is a narrow projection.
     """
-    vocabulary = df.withColumn("_words", F.array_distinct(words(F.col(text), lower=True)))
-    counted = compute_once(vocabulary, {
-        "_neg": _hits("_words", lexicon.negative),
-        "_pos": _hits("_words", lexicon.positive),
-        "_size": F.size("_words"),
-    }).drop("_words")
-    rated = counted.withColumn("_ratio", F.col("_neg") / F.greatest(F.col("_neg") + F.col("_pos"), F.lit(1)))
-
-    neg, pos, size, ratio = (F.col(name) for name in ("_neg", "_pos", "_size", "_ratio"))
+    vocabulary = F.array_distinct(words(F.col(text), lower=True))
+    counts = let(vocabulary, lambda found: F.struct(
+        _hits(found, lexicon.negative).alias("neg"),
+        _hits(found, lexicon.positive).alias("pos"),
+        F.size(found).alias("size"),
+    ))
+    rated = let(counts, lambda c: F.struct(
+        c["neg"].alias("neg"), c["pos"].alias("pos"), c["size"].alias("size"),
+        (c["neg"] / F.greatest(c["neg"] + c["pos"], F.lit(1))).alias("ratio"),
+    ))
+    return df.withColumn("_scored", let(rated, _verdict)).withColumns({
+        name: F.col("_scored")[name] for name in ("sentiment", "sentiment_score", "urgency_level")
+    }).drop("_scored")
+
+
+def _verdict(counts: Column) -> Column:
+    neg, pos, size, ratio = (counts[name] for name in ("neg", "pos", "size", "ratio"))
     mostly_negative = ratio >= 0.7
     torn = ratio >= 0.4
     only_positive = (pos > 0) & (neg == 0)
-    balance = round_exact(F.lit(0.1) + (pos - neg) * F.lit(0.05), 3)
-
-    return compute_once(rated, {
-        "sentiment": F.when(mostly_negative, "negative").when(torn, "mixed").when(only_positive, "positive")
-        .when(balance > 0.15, "positive").otherwise("neutral"),
-        "sentiment_score": F.when(mostly_negative, round_exact(-(F.lit(0.4) + ratio * F.lit(0.6)), 3))
-        .when(torn, round_exact(-ratio * F.lit(0.4), 3))
-        .when(
-            only_positive,
-            round_exact(F.least(F.lit(0.3) + (pos / F.greatest(size, F.lit(1))) * F.lit(5.0), F.lit(0.95)), 3),
-        )
-        .otherwise(balance),
-        "urgency_level": F.when(mostly_negative & (ratio >= 0.85), "high")
-        .when(torn, "medium").otherwise("low"),
-    }).drop("_neg", "_pos", "_size", "_ratio")
-
-
-def _hits(words_column: str, vocabulary: Sequence[str]) -> Column:
+    balance = F.lit(0.1) + (pos - neg) * F.lit(0.05)
+    share = F.least(F.lit(0.3) + (pos / F.greatest(size, F.lit(1))) * F.lit(5.0), F.lit(0.95))
+    exact = F.when(mostly_negative, -(F.lit(0.4) + ratio * F.lit(0.6))).when(torn, -ratio * F.lit(0.4)).when(
+        only_positive, share
+    ).otherwise(balance)
+    return let(let(exact, lambda score: round_exact(score, 3)), lambda score: F.struct(
+        F.when(mostly_negative, "negative").when(torn, "mixed").when(only_positive | (score > 0.15), "positive")
+        .otherwise("neutral").alias("sentiment"),
+        score.alias("sentiment_score"),
+        F.when(ratio >= 0.85, "high").when(torn, "medium").otherwise("low").alias("urgency_level"),
+    ))
+
+
+def _hits(found: Column, vocabulary: Sequence[str]) -> Column:
     if not vocabulary:
         return F.lit(0)
-    return F.size(F.array_intersect(F.col(words_column), F.array(*[F.lit(word) for word in vocabulary])))
+    return F.size(F.array_intersect(found, F.array(*[F.lit(word) for word in vocabulary])))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinara.functions.numeric import clip, compute_once, not_nan, round_exact
+from opinara.functions.numeric import clip, let, not_nan, round_exact
 from opinara.functions.text import strip
 from opinara.schemas import ANALYZED, CATEGORIES, EXPERTISE, QUALITIES, SENTIMENTS, URGENCIES
 
@@ -38,14 +38,6 @@ class Cell(NamedTuple):
 
 # --- reading cells -------------------------------------------------------------
 
-def unpack_payload(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """One VARIANT column per contract field; keys outside the contract are dropped."""
-    return df.select(
-        *[c for c in df.columns if c != payload and c not in ANALYZED.names],
-        *[F.try_variant_get(F.col(payload), f"$.{name}", "variant").alias(name) for name in ANALYZED.names],
-    )
-
-
 def variant_text(value: Column) -> Column:
     """Text of any JSON value the way a dynamic language prints it."""
     kind = F.schema_of_variant(value)
@@ -57,8 +49,7 @@ def variant_text(value: Column) -> Column:
     )
 
 
-def _variant_cell(name: str) -> Cell:
-    value = F.col(name)
+def _variant_cell(name: str, value: Column) -> Cell:
     present = value.isNotNull()
     kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
     text = F.try_variant_get(value, "$", "string")
@@ -118,19 +109,19 @@ def _typed_cell(df: DataFrame, name: str) -> Cell:
     return Cell(F.lit(True), F.lit(True), value)
 
 
-def _read_cells(df: DataFrame, from_payload: bool) -> tuple[DataFrame, dict[str, Cell]]:
-    """The frame with all cells as plain columns, and where to find them."""
-    cells = {
-        name: _variant_cell(name) if from_payload else _typed_cell(df, name) for name in ANALYZED.names
-    }
-    if not from_payload:
-        return df, cells
-    columns = {
-        f"_{part}_{name}": getattr(cell, part) for name, cell in cells.items() for part in Cell._fields
-    }
-    read = compute_once(df, columns)
+def _read_payload(df: DataFrame, payload: str) -> tuple[DataFrame, dict[str, Cell]]:
+    """One column per field, holding its cell; keys outside the contract are dropped."""
+
+    def cell(name: str) -> Column:
+        field = F.try_variant_get(F.col(payload), f"$.{name}", "variant")
+        return let(field, lambda value: F.struct(
+            *[part.alias(kind) for kind, part in _variant_cell(name, value)._asdict().items()]
+        ))
+
+    kept = [name for name in df.columns if name != payload and name not in ANALYZED.names]
+    read = df.select(*kept, *[cell(name).alias(f"_{name}") for name in ANALYZED.names])
     return read, {
-        name: Cell(*[F.col(f"_{part}_{name}") for part in Cell._fields]) for name in cells
+        name: Cell(*[F.col(f"_{name}")[kind] for kind in Cell._fields]) for name in ANALYZED.names
     }
 
 
@@ -141,13 +132,14 @@ def coerce_rating(value: Column) -> Column:
     return F.when(value.between(1.0, 5.0) & ~F.isnan(value), round_exact(value, 1))
 
 
-def as_share(value: Column) -> Column:
+def coerce_confidence(value: Column) -> Column:
     """Percentages become shares; what stays outside 0..1 becomes null (a reject)."""
-    return F.when(value.between(0.0, 1.0), value).when(value.between(1.0, 100.0), value / 100.0)
+    share = F.when(value.between(0.0, 1.0), value).when(value.between(1.0, 100.0), value / 100.0)
+    return let(share, lambda number: round_exact(number, 4))
 
 
 def coerce_score(value: Column) -> Column:
-    return round_exact(clip(value, -1.0, 1.0), 4)
+    return let(clip(not_nan(value), -1.0, 1.0), lambda number: round_exact(number, 4))
 
 
 def coerce_expertise(value: Column) -> Column:
@@ -179,10 +171,11 @@ def check_analyzed(
     the columns of the same names.
     """
     now = F.current_timestamp() if now is None else now
+    extra = [name for name in df.columns if name not in (*ANALYZED.names, "errors", payload)]
     if payload:
-        df = unpack_payload(df, payload)
-    extra = [name for name in df.columns if name not in ANALYZED.names and name != "errors"]
-    df, cells = _read_cells(df, payload is not None)
+        df, cells = _read_payload(df, payload)
+    else:
+        cells = {name: _typed_cell(df, name) for name in ANALYZED.names}
     broken_rules: dict[str, Column] = {}
 
     def reject(name: str, broken: Column) -> None:
@@ -214,11 +207,10 @@ def check_analyzed(
         reject(name, value.isNull())
         return value
 
-    # The rounded numbers are long expressions and later filters ask for them.
-    df = compute_once(df, {
-        "_score": coerce_score(not_nan(cells["sentiment_score"].value)),
-        "_share": round_exact(as_share(cells["confidence_score"].value), 4),
-        "_rating": coerce_rating(cells["reviewer_rating"].value),
+    df = df.withColumns({
+        "_score": let(cells["sentiment_score"].value, coerce_score),
+        "_share": let(cells["confidence_score"].value, coerce_confidence),
+        "_rating": let(cells["reviewer_rating"].value, coerce_rating),
     })
     reject("sentiment_score", F.col("_score").isNull())
     reject("confidence_score", F.col("_share").isNull())
