@@ -110,11 +110,6 @@ def percent(ratio: Column, digits: int = 1) -> Column:
     return F.format_string(f"%.{digits}f%%", round_exact(ratio * F.lit(100.0), digits))
 
 
-def top_competitor_map(counts: DataFrame) -> DataFrame:
-    """The same counts as one map value."""
-    return counts.agg(F.map_from_entries(F.collect_list(F.struct("value", "count"))).alias("mentions"))
-
-
 def report_topics(df: DataFrame) -> DataFrame:
     """The few topics a short report shows."""
     return top_topics(df, TOP_N).orderBy(F.desc("count"), F.asc("topic")).limit(REPORT_TOPICS)

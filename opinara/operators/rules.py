@@ -49,9 +49,8 @@ def variant_text(value: Column) -> Column:
     )
 
 
-def _variant_cell(name: str, value: Column) -> Cell:
+def _variant_cell(name: str, value: Column, kind: Column) -> Cell:
     present = value.isNotNull()
-    kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
     text = F.try_variant_get(value, "$", "string")
     empty = kind == "VOID"
     if name in NUMBER_FIELDS:
@@ -114,8 +113,9 @@ def _read_payload(df: DataFrame, payload: str) -> tuple[DataFrame, dict[str, Cel
 
     def cell(name: str) -> Column:
         field = F.try_variant_get(F.col(payload), f"$.{name}", "variant")
-        return let(field, lambda value: F.struct(
-            *[part.alias(kind) for kind, part in _variant_cell(name, value)._asdict().items()]
+        kind = F.coalesce(F.schema_of_variant(field), F.lit("VOID"))
+        return let(F.struct(field.alias("field"), kind.alias("kind")), lambda found: F.struct(
+            *[part.alias(label) for label, part in _variant_cell(name, found["field"], found["kind"])._asdict().items()]
         ))
 
     kept = [name for name in df.columns if name != payload and name not in ANALYZED.names]

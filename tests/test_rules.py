@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from opinara.operators.intake import check_raw, split_valid
 from opinara.operators.prompts import parse_replies, unfence
 from opinara.operators.rules import check_analyzed
+from opinara.schemas import RAW, REJECT
 
 BASE = {
     "source_id": "c1", "product_name": "Thing", "sentiment": "positive", "sentiment_score": 0.5,
@@ -29,6 +30,7 @@ def test_raw_contract(spark):
     checked = check_raw(spark.createDataFrame(data, "ingest_seq long, source_id string, raw_text string"))
     good, bad = split_valid(checked, "raw")
     assert sorted((r["source_id"], r["raw_text"]) for r in rows(good)) == [("a", "1234567890"), ("comment_42", "long enough text")]
+    assert good.columns == RAW.names and bad.columns == REJECT.names
     assert bad.count() == 4
     assert {r["rule"] for r in rows(bad)} == {"source_id_empty", "raw_text_short", "source_id_empty,raw_text_short"}
 
