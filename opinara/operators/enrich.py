@@ -18,7 +18,7 @@ from opinara.functions.text import (
     token_count,
 )
 from opinara.operators.packing import MAX_TOKENS_PER_BATCH, pack_batches, record_costs
-from opinara.operators.prompts import batch_prompts, parse_replies, single_prompt, unfence
+from opinara.operators.prompts import SYSTEM_PROMPT, batch_prompts, parse_replies, single_prompt, unfence
 from opinara.operators.rules import check_analyzed
 from opinara.schemas import ANALYZED
 from opinara.session import materialize
@@ -98,9 +98,12 @@ class PromptAnalyzer:
     ``call`` gets a prompt and returns the reply. Raising AnalyzerError (or
     replying with broken JSON) sends the batch's records through single calls;
     any other exception stops the job. ``max_concurrent`` bounds the calls in
-    flight; the result does not depend on it.
+    flight; the result does not depend on it. A call that sends standing
+    instructions apart from the prompt finds them in ``system_prompt``.
     """
 
+    system_prompt = SYSTEM_PROMPT
+
     def __init__(
         self,
         call: Callable[[str], str],

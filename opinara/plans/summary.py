@@ -56,40 +56,43 @@ def _facts(df: DataFrame, granularity: str) -> DataFrame:
     def column(name: str, kind: str) -> Column:
         return (F.col(name) if name in columns else F.lit(None)).cast(kind).alias(name)
 
-    # The fact key goes first; the measures ride along unchanged on every fact.
+    def flag(name: str, condition: Column) -> Column:
+        return condition if name in columns else F.lit(False)
+
+    # Labels are judged once per review; every fact carries the small results.
+    label = F.lower(F.col("sentiment")) if "sentiment" in columns else F.lit("")
     return df.select(
         F.explode(F.concat(*parts)).alias("fact"),
-        column("source_id", "string"),
-        column("sentiment", "string"),
-        not_nan(column("sentiment_score", "double")).alias("sentiment_score"),
-        not_nan(column("confidence_score", "double")).alias("confidence_score"),
-        not_nan(column("reviewer_rating", "double")).alias("reviewer_rating"),
-        column("data_quality", "string"),
-        column("urgency_level", "string"),
-        column("action_required", "boolean"),
-    ).select("fact.section", "fact.key", *_MEASURES).filter("key IS NOT NULL")
+        *[column(name, "double") for name in _NUMBERS],
+        flag("source_id", F.col("source_id").isNotNull()).alias("has_id"),
+        flag("sentiment", label == "negative").alias("negative"),
+        flag("sentiment", label == "positive").alias("positive"),
+        flag("data_quality", F.col("data_quality") == "high").alias("high_quality"),
+        flag("action_required", F.col("action_required")).alias("actions"),
+        flag("urgency_level", F.col("urgency_level") == "critical").alias("critical"),
+        flag("urgency_level", F.col("urgency_level") == "high").alias("high"),
+    ).select("fact.section", "fact.key", *_NUMBERS, *_FLAGS).filter("key IS NOT NULL")
 
 
-_MEASURES = (
-    "source_id", "sentiment", "sentiment_score", "confidence_score", "reviewer_rating",
-    "data_quality", "urgency_level", "action_required",
-)
+_NUMBERS = ("sentiment_score", "confidence_score", "reviewer_rating")
+_FLAGS = ("has_id", "negative", "positive", "high_quality", "actions", "critical", "high")
 
 
 def _count(facts: DataFrame) -> DataFrame:
-    label = F.lower(F.col("sentiment"))
+    rows = F.count(F.lit(1))
+
+    def mean(name: str) -> Column:
+        return steady_mean(not_nan(F.col(name)))
+
     return facts.groupBy("section", "key").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count("source_id").alias("ids"),
-        steady_mean(F.col("sentiment_score")).alias("score"),
-        steady_mean(F.col("confidence_score")).alias("confidence"),
-        steady_mean(F.col("reviewer_rating")).alias("rating"),
-        (F.count_if(label == "negative") / F.count(F.lit(1))).alias("negative"),
-        (F.count_if(label == "positive") / F.count(F.lit(1))).alias("positive"),
-        F.count_if(F.col("data_quality") == "high").alias("high_quality"),
-        F.count_if(F.col("action_required")).alias("actions"),
-        F.count_if(F.col("urgency_level") == "critical").alias("critical"),
-        F.count_if(F.col("urgency_level") == "high").alias("high"),
+        rows.alias("n"),
+        F.count_if("has_id").alias("ids"),
+        mean("sentiment_score").alias("score"),
+        mean("confidence_score").alias("confidence"),
+        mean("reviewer_rating").alias("rating"),
+        (F.count_if("negative") / rows).alias("negative"),
+        (F.count_if("positive") / rows).alias("positive"),
+        *[F.count_if(name).alias(name) for name in ("high_quality", "actions", "critical", "high")],
     )
 
 
