@@ -21,8 +21,6 @@ def spark():
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "6g",
-        # Many small plans, each run once: quick compilation beats optimal code.
-        "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session
