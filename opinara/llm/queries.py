@@ -9,15 +9,21 @@ from pyspark.sql import functions as F
 
 from opinara.llm.common import table
 from opinara.llm.quality import quality_rules
+from opinara.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {}
