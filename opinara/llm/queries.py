@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm.common import table
+from opinara.llm.common import in_part, table
+from opinara.llm.langid import identify, training_sample
 from opinara.llm.quality import quality_rules
 from opinara.llm.simhash import near_duplicates
 
@@ -18,12 +19,20 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    texts = training_sample(docs, ~in_part(F.col("doc_id"), 3, 1))
+    found = identify(docs, texts)
+    return found.select("doc_id", in_part(F.col("doc_id"), 3, 1).alias("held_out"), "lang_pred", "score", "letters_per_phrase")
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op5_language_id": op5_language_id,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {}
