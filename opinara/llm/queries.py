@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from opinara.llm.common import in_part, table
 from opinara.llm.langid import identify, training_sample
+from opinara.llm.packing import pack
 from opinara.llm.quality import quality_rules
 from opinara.llm.simhash import near_duplicates
 
@@ -26,6 +27,10 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", in_part(F.col("doc_id"), 3, 1).alias("held_out"), "lang_pred", "score", "letters_per_phrase")
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"), with_ids=False)
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
 
@@ -33,6 +38,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op5_language_id": op5_language_id,
+    "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {}
