@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from opinara.llm.chat import digests, format_chats
 from opinara.llm.common import in_part, table
 from opinara.llm.langid import identify, training_sample
+from opinara.llm.line_dedup import dedup_lines
 from opinara.llm.packing import pack
 from opinara.llm.quality import quality_rules
 from opinara.llm.simhash import near_duplicates
@@ -28,6 +29,11 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", in_part(F.col("doc_id"), 3, 1).alias("held_out"), "lang_pred", "score", "letters_per_phrase")
 
 
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op7_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     told = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(
@@ -48,6 +54,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op5_language_id": op5_language_id,
+    "op6_line_dedup": op6_line_dedup,
     "op7_chat_formatting": op7_chat_formatting,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
