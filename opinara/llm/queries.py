@@ -14,6 +14,7 @@ from opinara.llm.line_dedup import dedup_lines
 from opinara.llm.packing import pack
 from opinara.llm.quality import quality_rules
 from opinara.llm.simhash import near_duplicates
+from opinara.llm.toxicity import score, train
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +23,15 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = in_part(F.col("doc_id"), 5, 0)
+    model = train(docs, table(spark, folder, "labels"), ~held_out & F.col("doc_id").isNotNull())
+    return score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     texts = training_sample(docs, ~in_part(F.col("doc_id"), 3, 1))
@@ -53,6 +63,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_language_id": op5_language_id,
     "op6_line_dedup": op6_line_dedup,
     "op7_chat_formatting": op7_chat_formatting,
