@@ -12,6 +12,7 @@ from opinara.llm.common import in_part, table
 from opinara.llm.html_extract import extract_pages, learn, training_pages
 from opinara.llm.langid import identify, training_sample
 from opinara.llm.line_dedup import dedup_lines
+from opinara.llm.lm import score_texts
 from opinara.llm.packing import pack
 from opinara.llm.quality import quality_rules
 from opinara.llm.simhash import near_duplicates
@@ -59,6 +60,12 @@ def op7_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return digests(format_chats(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").union(extra)))
 
 
+def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = in_part(F.col("doc_id"), 7, 2)
+    found = score_texts(table(spark, folder, "documents"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), with_ids=False)
 
@@ -74,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op5_language_id": op5_language_id,
     "op6_line_dedup": op6_line_dedup,
     "op7_chat_formatting": op7_chat_formatting,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
 }
