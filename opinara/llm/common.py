@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
+from typing import Any
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +48,16 @@ def keep(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, in files of the shared folder, and cut its lineage."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def send(spark: SparkSession, value: Any) -> Broadcast:
+    """Broadcast a value of our own classes; workers need no copy of this package to read it."""
+    return spark.sparkContext.broadcast([cloudpickle.dumps(value)])
+
+
+def receive(sent: Broadcast) -> Any:
+    """The value of ``send``; a worker unpacks it once and keeps what the value itself keeps."""
+    box = sent.value
+    if isinstance(box[0], bytes):
+        box[0] = pickle.loads(box[0])
+    return box[0]

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinara.llm.common import bounded_batches
+from opinara.llm.common import bounded_batches, receive, send
 
 # The bounded training sample of each language: distinct rows, and their lengths.
 SAMPLE_ROWS = 24
@@ -198,13 +198,12 @@ def identify(
     that the sample bounds, and each worker lays them out as a table once.
     """
     bounded_batches(docs.sparkSession)
-    # In a list, as the worker's copy of a broadcast value keeps the table from task to task.
-    model = docs.sparkSession.sparkContext.broadcast([Automata(texts)])
+    model = send(docs.sparkSession, Automata(texts))
     kinds = [docs.schema[name].dataType.simpleString() for name in keys]
     names = [f"k{number}" for number in range(len(keys))] + ["lang_pred", "score", "letters_per_phrase"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automata = model.value[0]
+        automata = receive(model)
         for batch in batches:
             found = automata.judge([value or "" for value in batch.column(batch.num_columns - 1).to_pylist()])
             yield pa.RecordBatch.from_arrays(

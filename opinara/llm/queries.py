@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from opinara.llm.chat import digests, format_chats
 from opinara.llm.common import in_part, table
+from opinara.llm.decontaminate import find_leaks, leaked_pairs
 from opinara.llm.html_extract import extract_pages, learn, training_pages
 from opinara.llm.langid import identify, training_sample
 from opinara.llm.line_dedup import dedup_lines
@@ -25,6 +26,11 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return leaked_pairs(find_leaks(docs, table(spark, folder, "benchmark")))
+
+
 def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     return extract_pages(pages, learn(training_pages(pages)))
@@ -76,6 +82,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_decontamination": op2_decontamination,
     "op3_html_extraction": op3_html_extraction,
     "op4_toxicity": op4_toxicity,
     "op5_language_id": op5_language_id,
