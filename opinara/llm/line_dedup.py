@@ -57,18 +57,20 @@ def _where_lines(lines: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _near(lines: DataFrame, firsts: DataFrame) -> DataFrame:
     """(h1, h2) of the different lines that have an earlier one a word apart."""
-    halves = firsts.filter("keys is not null").select("h1", "h2", "first", F.posexplode("keys").alias("place", "half"))
+    # Only hashes meet here; 64 bits are enough to find candidates.
+    sides = firsts.select("h1", F.posexplode("keys").alias("place", "half"))
     # Keys 0 and 1 speak of lines as long as this one, keys 2 and 3 of lines a word shorter.
-    sides = halves.withColumn("longer", F.col("place") >= 2)
-    counts = sides.groupBy("half").agg(
-        F.count_if(~F.col("longer")).alias("same"), F.count_if("longer").alias("more")
-    ).filter((F.col("same") >= 2) | ((F.col("same") >= 1) & (F.col("more") >= 1)))
+    longer = F.col("place") >= 2
+    counts = sides.groupBy("half").agg(F.count_if(~longer).alias("same"), F.count_if(longer).alias("more")).filter(
+        (F.col("same") >= 2) | ((F.col("same") >= 1) & (F.col("more") >= 1))
+    )
     shared = keep(sides.join(counts, "half").filter(
-        F.when(F.col("longer"), F.col("same") >= 1).otherwise((F.col("same") >= 2) | (F.col("more") >= 1))
+        F.when(longer, F.col("same") >= 1).otherwise((F.col("same") >= 2) | (F.col("more") >= 1))
     ))
-    texts = keep(_where_lines(lines, shared.select("h1", "h2").distinct()))
-    told = shared.join(texts, ["h1", "h2"]).select(
-        "half", "longer", "same", "more", F.struct("first", "h1", "h2").alias("line"), "words",
+    candidates = keep(firsts.select("h1", "h2", "first").join(shared.select("h1").distinct(), "h1"))
+    texts = keep(_where_lines(lines, candidates.select("h1", "h2")))
+    told = shared.join(candidates.join(texts, ["h1", "h2"]), "h1").select(
+        "half", longer.alias("longer"), "same", "more", F.struct("first", "h1", "h2").alias("line"), "words",
         (F.col("place") % 2 == PREFIX).alias("prefix"), F.size("words").alias("size"),
     )
     length = F.col("size") - F.col("longer").cast("int")
@@ -151,7 +153,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         F.min(F.struct("id", "sum", "n")).alias("first"), F.first("keys").alias("keys"), F.count("*").alias("copies")
     ))
     near = keep(_near(lines, firsts).withColumn("gone", F.lit(True)))
-    marked = firsts.join(near, ["h1", "h2"], "left").filter("copies > 1 or gone").select("h1", "h2", "first", "gone")
+    marked = keep(firsts.join(near, ["h1", "h2"], "left").filter("copies > 1 or gone").select("h1", "h2", "first", "gone"))
     removed = known.join(marked, ["h1", "h2"]).filter(
         F.col("gone").isNotNull() | (F.struct("id", "sum", "n") != F.col("first"))
     ).groupBy("id", "sum").agg(F.collect_set("n").alias("out"))
