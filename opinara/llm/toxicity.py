@@ -112,8 +112,12 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id"
         F.max((F.col(f"`{label}`") != 0).cast("int")).alias("label")
     )
     counts = {row.label: row["count"] for row in known.groupBy("label").count().collect()}
+    # About twice the rows wanted, by their hash, so that the ranks never see more of a label than that.
+    part = F.pmod(F.xxhash64("k"), F.lit(1 << 20)) / (1 << 20)
+    share = F.when(F.col("label") == 1, 2 * SAMPLE_ROWS / max(1, counts.get(1, 0))).otherwise(2 * SAMPLE_ROWS / max(1, counts.get(0, 0)))
     place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("k"), "k"))
-    chosen = known.withColumn("place", place).filter(F.col("place") <= SAMPLE_ROWS).select("k", "label").limit(2 * SAMPLE_ROWS)
+    few = known.filter(part < share).withColumn("place", place)
+    chosen = few.filter(F.col("place") <= SAMPLE_ROWS).select("k", "label").limit(2 * SAMPLE_ROWS)
     sized = docs.filter(F.length(f"`{text}`") <= SAMPLE_CHARS).select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
     rows = sized.join(F.broadcast(chosen), "k").groupBy("k", "label").agg(F.min("t").alias("t")).collect()
     rows.sort(key=lambda row: row.k)
