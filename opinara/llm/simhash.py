@@ -137,3 +137,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return prints.join(classes, "print").select(
         F.col("k").alias(key), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay when each group of near-duplicates keeps the row of its smallest key.
+
+    ``key`` is an integer column. Rows with the same key are one document, of
+    which the row with the smallest text stays (null texts last). A row without
+    a key stands under a number made from its text, larger than usual keys, so
+    that it stays only where no row with a key is like it. All columns are
+    handed on. The texts move once, to meet the keys that stay.
+    """
+    names = docs.columns
+    marked = docs.toDF(*[f"c{number}" for number in range(len(names))])
+    own, words = (marked[f"c{names.index(name)}"] for name in (key, text))
+    spare = F.shiftrightunsigned(F.xxhash64(words), 2) + F.lit(1 << 62)
+    marked = marked.withColumn("id", F.coalesce(own.cast("long"), spare))
+    classes = near_duplicates(marked, "id", f"c{names.index(text)}")
+    stay = classes.filter("id = component_id").select("id").distinct()
+    order = F.struct(words.isNull(), words)
+    whole = F.struct(*[f"c{number}" for number in range(len(names))])
+    return marked.join(stay, "id", "left_semi").groupBy("id").agg(F.min_by(whole, order).alias("row")).select("row.*").toDF(*names)
