@@ -57,7 +57,8 @@ NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][^\s/>]*)((?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*')*+)>"
+    # A value with "<" in it is taken up to a length, so that a missing quote costs no more than that.
+    r"|<(/?)([a-z][^\s/>]*)((?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*'|\"[^\"]{0,1000}\"|'[^']{0,1000}')*+)>"
     r"|</?[a-z][^>]*>|<[!?][^>]*>",
     re.I | re.S,
 )

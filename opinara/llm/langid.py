@@ -55,7 +55,7 @@ class Automata:
         # A phrase costs a place in the labelled text, so more text makes each phrase dearer.
         self.bits = np.array([math.log2(len(code) + 1) for code in codes])
         edges = [self._edges(code) for code in codes]
-        sizes = [size for size, _ in edges]
+        sizes = [size + 1 for size, _ in edges]  # the last state is for letters the language lacks
         self.starts = np.concatenate(([0], np.cumsum(sizes)))[:-1].astype(np.int64) * self.width
         self.edges = [(source + start // self.width, letter, target + start // self.width)
                       for (_, (source, letter, target)), start in zip(edges, self.starts, strict=True)]
@@ -102,13 +102,12 @@ class Automata:
     def _build(self) -> np.ndarray:
         table = np.empty((self.states, self.width), np.int32)
         for start, size, (source, letter, target) in zip(self.starts, self.sizes, self.edges, strict=True):
-            first = start // self.width
-            rows = table[first:first + size]
-            rows[:] = 2 * start + 1  # no step: the letter, unknown even at the root, is a phrase of its own
+            first, strange = start // self.width, start + (size - 1) * self.width
+            restart = np.full(self.width, 2 * strange + 1)
             at_root = source == first
-            restart = rows[0].copy()
             restart[letter[at_root]] = 2 * target[at_root] * self.width + 1
-            rows[:] = restart
+            table[first:first + size] = restart
+            table[first] = restart - 1  # a text's first letter starts no further phrase
             table[source, letter] = 2 * target * self.width
         return table.ravel()
 

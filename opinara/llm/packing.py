@@ -124,8 +124,9 @@ def cut_prices(ids: np.ndarray, doc_ends: list[int], sentence_end: np.ndarray, w
     total = len(ids)
     sentences = np.flatnonzero(sentence_end[ids]) + 1
     stops = np.unique(np.concatenate((sentences, doc_ends, [0, total])).astype(np.int64))
-    gaps = np.flatnonzero(np.diff(stops) > MOST_GAP)
-    inside = [place for gap in gaps.tolist() for place in range(int(stops[gap]) + MOST_GAP, int(stops[gap + 1]), MOST_GAP)]
+    most = min(MOST_GAP, max(1, window // 2))
+    gaps = np.flatnonzero(np.diff(stops) > most)
+    inside = [place for gap in gaps.tolist() for place in range(int(stops[gap]) + most, int(stops[gap + 1]), most)]
     prices = dict.fromkeys(inside, HARD_CUT)
     prices |= dict.fromkeys(range(max(1, total - window), total), HARD_CUT)
     prices |= dict.fromkeys(sentences.tolist(), SENTENCE_CUT)
