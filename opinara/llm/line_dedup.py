@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import keep
+from opinara.llm.common import keep, keep_table
 
 # Shorter lines are compared for equality only: one word would be more than a tenth of them.
 MIN_WORDS = 10
@@ -50,9 +50,11 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _where_lines(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The first line of each hash in ``wanted``, whose size decides how it travels."""
+    """(h1, h2, words, first) of the lines with an h1 of ``wanted``, whose size decides how it travels."""
     found = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
-    return lines.join(found, ["h1", "h2"]).groupBy("h1", "h2").agg(F.first("words").alias("words"))
+    return lines.join(found, "h1").groupBy("h1", "h2").agg(
+        F.first("words").alias("words"), F.min(F.struct("id", "sum", "n")).alias("first")
+    )
 
 
 def _near(lines: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -67,9 +69,8 @@ def _near(lines: DataFrame, firsts: DataFrame) -> DataFrame:
     shared = keep(sides.join(counts, "half").filter(
         F.when(longer, F.col("same") >= 1).otherwise((F.col("same") >= 2) | (F.col("more") >= 1))
     ))
-    candidates = keep(firsts.select("h1", "h2", "first").join(shared.select("h1").distinct(), "h1"))
-    texts = keep(_where_lines(lines, candidates.select("h1", "h2")))
-    told = shared.join(candidates.join(texts, ["h1", "h2"]), "h1").select(
+    texts = keep(_where_lines(lines, keep(shared.select("h1").distinct())))
+    told = shared.join(texts, "h1").select(
         "half", longer.alias("longer"), "same", "more", F.struct("first", "h1", "h2").alias("line"), "words",
         (F.col("place") % 2 == PREFIX).alias("prefix"), F.size("words").alias("size"),
     )
@@ -148,14 +149,15 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         *_halves(F.col("words"), size, size),
         *[F.when(size > MIN_WORDS, half) for half in _halves(F.col("words"), size, size - 1)],
     ))
-    known = keep(lines.select("id", "sum", "n", "h1", "h2", F.array_compact(keys).alias("keys")))
-    firsts = keep(known.groupBy("h1", "h2").agg(
+    known = keep_table(lines.select("id", "sum", "n", "h1", "h2", F.array_compact(keys).alias("keys")))
+    firsts = keep_table(known.groupBy("h1", "h2").agg(
         F.min(F.struct("id", "sum", "n")).alias("first"), F.first("keys").alias("keys"), F.count("*").alias("copies")
     ))
-    near = keep(_near(lines, firsts).withColumn("gone", F.lit(True)))
-    marked = keep(firsts.join(near, ["h1", "h2"], "left").filter("copies > 1 or gone").select("h1", "h2", "first", "gone"))
+    # A line may be marked twice, as repeated and as near an earlier one; it is taken out once.
+    repeated = firsts.filter("copies > 1").select("h1", "h2", "first")
+    marked = keep(repeated.unionByName(_near(lines, firsts), allowMissingColumns=True))
     removed = known.join(marked, ["h1", "h2"]).filter(
-        F.col("gone").isNotNull() | (F.struct("id", "sum", "n") != F.col("first"))
+        F.col("first").isNull() | (F.struct("id", "sum", "n") != F.col("first"))
     ).groupBy("id", "sum").agg(F.collect_set("n").alias("out"))
     parts = F.split(F.col(f"`{text}`"), "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__out"))
