@@ -43,13 +43,13 @@ def round_exact(value: Column, digits: int) -> Column:
 def steady_mean(value: Column) -> Column:
     """Aggregate: the mean, independent of the order in which rows are added.
 
-    Six decimals of every value are summed as whole numbers, only what is left
-    of it as doubles. Record values have at most four decimals, so nothing is
-    left and the sum is exact for any partitioning.
+    Values are added as decimals of six places, which is exact up to 10**32
+    for the sum. Only if a value or the sum is beyond that (or no number), the
+    mean of the doubles is taken.
     """
-    micros = F.when(F.abs(value) < 1e9, F.rint(value * F.lit(1e6))).when(value.isNotNull(), F.lit(0.0))
-    whole = F.sum(micros.cast("long")).cast("double") / F.lit(1e6)
-    return (whole + F.sum(value - micros / F.lit(1e6))) / F.count(value)
+    exact = value.try_cast("decimal(38,6)")
+    total = F.try_sum(exact).cast("double") / F.count(value)
+    return F.when(F.count(exact) == F.count(value), F.coalesce(total, F.avg(value))).otherwise(F.avg(value))
 
 
 def clip(value: Column, low: float, high: float) -> Column:

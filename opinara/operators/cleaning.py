@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinara.functions.numeric import clip, let, not_nan
+from opinara.functions.numeric import clip
 from opinara.functions.text import strip
 
 # Fixed values.
@@ -40,7 +40,7 @@ def flatten(df: DataFrame) -> DataFrame:
             changes[name] = F.try_to_timestamp(F.col(name)) if text else F.col(name).cast("timestamp")
     for name in ("sentiment_score", "confidence_score", "reviewer_rating"):
         if name in kinds:
-            changes[name] = let(F.col(name).try_cast("double"), not_nan)
+            changes[name] = F.nullif(F.col(name).try_cast("double"), F.lit(float("nan")))
     for name in ("action_required", "is_spam_or_fake", "is_verified_purchase"):
         if name in kinds:
             changes[name] = F.coalesce(F.col(name).try_cast("boolean"), F.lit(False))

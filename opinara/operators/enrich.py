@@ -18,7 +18,7 @@ from opinara.functions.text import (
     token_count,
 )
 from opinara.operators.packing import MAX_TOKENS_PER_BATCH, pack_batches, record_costs
-from opinara.operators.prompts import SYSTEM_PROMPT, batch_prompts, parse_replies, single_prompt, unfence
+from opinara.operators.prompts import batch_prompts, parse_replies, reply_rejects, single_prompt, unfence
 from opinara.operators.rules import check_analyzed
 from opinara.schemas import ANALYZED
 from opinara.session import materialize
@@ -30,7 +30,8 @@ _BATCHED, _SINGLE = 1, 2
 
 class Enriched(NamedTuple):
     analyzed: DataFrame  # ANALYZED + ingest_seq (any type that sorts in input order)
-    failed: DataFrame  # ingest_seq, source_id, rule
+    failed: DataFrame  # ingest_seq, source_id, rule: inputs without a result
+    rejects: DataFrame  # REJECT: every answer that broke the contract, and every unreadable reply
 
 
 class Analyzer(Protocol):
@@ -62,7 +63,7 @@ class LexiconAnalyzer:
         rating = F.try_variant_get("metadata", "$.star_rating", "double")
         staged = scored.withColumns({
             "product_name": F.coalesce(
-                F.nullif(F.substring(F.try_variant_get("metadata", "$.post_title", "string"), 1, 200), F.lit("")),
+                F.nullif(F.try_variant_get("metadata", "$.post_title", "string"), F.lit("")),
                 F.lit("Unknown"),
             ),
             "reviewer_rating": F.when(rating.between(1, 5), rating),
@@ -76,20 +77,16 @@ class LexiconAnalyzer:
             "ingest_seq", "source_id", "product_name", "sentiment", "sentiment_score",
             F.lit(self.confidence).alias("confidence_score"),
             F.concat(
-                F.lit("Customer expresses "), "sentiment", F.lit(" sentiment about "), "product_name", F.lit(". "),
-                F.when(rated, F.format_string("Rating: %.1f/5.0. ", "reviewer_rating")).otherwise(F.lit("")),
-                F.when(act, "Immediate follow-up required.").otherwise("No action needed."),
+                "product_name", F.lit(": word lists say "), "sentiment",
+                F.when(rated, F.format_string(", rated %.1f of 5", "reviewer_rating")).otherwise(F.lit("")),
+                F.when(act, "; needs an answer.").otherwise("."),
             ).alias("summary"),
             "reviewer_rating", "urgency_level", "action_required",
-            F.when(act, "Flagged for customer support follow-up within 24 hours.").alias("action_notes"),
+            F.when(act, "Answer this customer first.").alias("action_notes"),
         )
 
     def enrich(self, raw: DataFrame, now: Column | None = None) -> Enriched:
-        # A draft keeps every rule of the contract by construction, so nothing can
-        # fail and no row has to be tested for it.
-        checked = check_analyzed(self.draft(raw), now=now)
-        nothing = raw.filter(F.lit(False)).select("ingest_seq", "source_id", F.lit("").alias("rule"))
-        return Enriched(checked.drop("errors"), nothing)
+        return split_analyzed(check_analyzed(self.draft(raw), now=now))
 
 
 class PromptAnalyzer:
@@ -97,24 +94,20 @@ class PromptAnalyzer:
 
     ``call`` gets a prompt and returns the reply. Raising AnalyzerError (or
     replying with broken JSON) sends the batch's records through single calls;
-    any other exception stops the job. ``max_concurrent`` bounds the calls in
-    flight; the result does not depend on it. A call that sends standing
-    instructions apart from the prompt finds them in ``system_prompt``.
+    any other exception stops the job. Calls run as Spark schedules their
+    tasks; the result does not depend on it.
     """
 
-    system_prompt = SYSTEM_PROMPT
-
     def __init__(
         self,
         call: Callable[[str], str],
         schema: str,
         model: str = "custom",
-        max_concurrent: int | None = None,
         max_tokens: int = MAX_TOKENS_PER_BATCH,
         drop_unknown: bool = False,
     ) -> None:
         self.call, self.schema, self.model = call, schema, model
-        self.max_concurrent, self.max_tokens, self.drop_unknown = max_concurrent, max_tokens, drop_unknown
+        self.max_tokens, self.drop_unknown = max_tokens, drop_unknown
 
     def enrich(self, raw: DataFrame, now: Column | None = None) -> Enriched:
         # Two narrow columns, read by the prompts and again when reconciling.
@@ -124,12 +117,11 @@ class PromptAnalyzer:
         replies = materialize(self._ask(batch_prompts(packed, self.schema), "batch_no"))
         place = F.struct("batch_no", F.lit(_BATCHED).alias("attempt"), F.col("place").cast("long").alias("place"))
         records = parse_replies(replies).withColumn("ingest_seq", place).drop("place")
-        found = _split(check_analyzed(records, payload="payload", now=now))
-        return reconcile(packed, found.analyzed, self._single(now), self.drop_unknown)
+        found = split_analyzed(check_analyzed(_with_text(records), payload="payload", now=now))
+        found = found._replace(rejects=found.rejects.unionByName(reply_rejects(replies)))
+        return reconcile(packed, found, self._single(now), self.drop_unknown)
 
     def _ask(self, prompts: DataFrame, *keys: str) -> DataFrame:
-        if self.max_concurrent:
-            prompts = prompts.repartition(self.max_concurrent)
         call = self.call
 
         def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,11 +143,12 @@ class PromptAnalyzer:
                 replies.select(
                     F.struct("batch_no", F.lit(_SINGLE).alias("attempt"), F.col("ingest_seq").alias("place")).alias("ingest_seq"),
                     F.col("source_id").alias("asked_id"), payload.alias("payload"),
+                    F.coalesce(F.to_json(payload), F.col("response")).alias("_text"),
                 ),
                 payload="payload", now=now,
             )
             # The record keeps the id it was asked for, whatever the reply says.
-            return _split(
+            return split_analyzed(
                 checked.withColumns({
                     "source_id": F.col("asked_id"), "errors": F.array_remove("errors", "source_id"),
                 }).drop("asked_id")
@@ -174,38 +167,51 @@ def _reply(call: Callable[[str], str], prompt: str) -> str | None:
         raise
 
 
-def _split(checked: DataFrame) -> Enriched:
+def _with_text(records: DataFrame) -> DataFrame:
+    """Records with their payload as text beside it, for the reject table."""
+    return records.withColumn("_text", F.to_json("payload"))
+
+
+def split_analyzed(checked: DataFrame, stage: str = "analyzed") -> Enriched:
+    """Rows that keep the contract, and the others: as failed inputs and as REJECT rows.
+
+    A column ``_text`` holds the answer as it came; without it, the reject
+    table shows the columns as they were read.
+    """
+    text = "_text" in checked.columns
     good = F.size("errors") == 0
+    bad = checked.filter(~good)
+    rule = F.array_join("errors", ",").alias("rule")
+    payload = F.col("_text") if text else F.to_json(F.struct(*[name for name in ANALYZED.names if name in checked.columns]))
     return Enriched(
-        checked.filter(good).drop("errors"),
-        checked.filter(~good).select(
-            "ingest_seq", "source_id",
-            F.array_join("errors", ",").alias("rule"),
-        ),
+        checked.filter(good).drop("errors", "_text"),
+        bad.select("ingest_seq", "source_id", rule),
+        bad.select("source_id", F.lit(stage).alias("stage"), rule, payload.alias("payload")),
     )
 
 
 def reconcile(
     packed: DataFrame,
-    found: DataFrame,
+    found: Enriched,
     single: Callable[[DataFrame], Enriched],
     drop_unknown: bool = False,
 ) -> Enriched:
     """Second, single-record attempt for inputs whose id their batch did not answer.
 
-    ``found`` has (batch_no, source_id, ...). Matching is per batch, so even an
+    ``found.analyzed`` has (batch_no, source_id, ...). Matching is per batch, so even an
     id that fills a third of the input meets at most a batch of its copies in
     one join group. Answers with ids nobody asked for count as results, as long
     as ``drop_unknown`` is not set.
     """
     keys = ["batch_no", "source_id"]
-    answered = found.select(*keys).distinct()
+    answered = found.analyzed.select(*keys).distinct()
     rest = single(packed.join(answered, keys, "left_anti"))
+    known = found.analyzed
     if drop_unknown:
-        found = found.join(packed.select(*keys).distinct(), keys, "left_semi")
+        known = known.join(packed.select(*keys).distinct(), keys, "left_semi")
     columns = ["ingest_seq", *ANALYZED.names]
-    analyzed = found.select(*columns).unionByName(rest.analyzed.select(*columns))
-    return Enriched(analyzed, rest.failed)
+    analyzed = known.select(*columns).unionByName(rest.analyzed.select(*columns))
+    return Enriched(analyzed, rest.failed, found.rejects.unionByName(rest.rejects))
 
 
 # --- registry --------------------------------------------------------------------

@@ -30,6 +30,12 @@ FALSE_TEXTS = ("false", "f", "no", "n", "off", "0")
 _SECONDS_LIMIT = 2e10
 
 
+# Spellings of a number and of the date a time stamp begins with. Casts alone would also
+# take type suffixes ("4d") and complete a bare time of day with today's date.
+NUMBER = r"^\s*[+-]?(\d[\d_]*\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+DATED = r"^\s*[+-]?\d{4,}-?\d"
+
+
 class Cell(NamedTuple):
     present: Column
     typed: Column  # false when the value has a type the field cannot take
@@ -49,12 +55,18 @@ def variant_text(value: Column) -> Column:
     )
 
 
+def read_time(text: Column) -> Column:
+    """A time stamp that names its date; null for anything else."""
+    return F.when(text.rlike(DATED), F.try_to_timestamp(text))
+
+
 def _variant_cell(name: str, value: Column, kind: Column) -> Cell:
     present = value.isNotNull()
     text = F.try_variant_get(value, "$", "string")
     empty = kind == "VOID"
     if name in NUMBER_FIELDS:
-        return Cell(present, F.lit(True), F.try_variant_get(value, "$", "double"))
+        plain = (kind != "STRING") | F.coalesce(text.rlike(NUMBER), F.lit(False))
+        return Cell(present, F.lit(True), F.when(plain, F.try_variant_get(value, "$", "double")))
     if name in LIST_FIELDS:
         items = F.transform(F.try_variant_get(value, "$", "array<variant>"), variant_text)
         listed = F.when(kind == "STRING", F.split(text, ",")).when(kind.startswith("ARRAY"), items)
@@ -79,7 +91,7 @@ def _variant_cell(name: str, value: Column, kind: Column) -> Cell:
     if name in TIME_FIELDS:
         number = F.try_variant_get(value, "$", "double")
         seconds = F.when(F.abs(number) > _SECONDS_LIMIT, number / 1000.0).otherwise(number)
-        moment = F.when(kind == "STRING", F.try_to_timestamp(text)).when(
+        moment = F.when(kind == "STRING", read_time(text)).when(
             kind != "BOOLEAN", F.timestamp_seconds(seconds)
         )
         return Cell(present, empty | moment.isNotNull(), moment)
@@ -92,14 +104,15 @@ def _typed_cell(df: DataFrame, name: str) -> Cell:
     value = F.col(name)
     kind = df.schema[name].dataType
     if name in NUMBER_FIELDS:
-        value = value.try_cast("double")
+        plain = F.when(value.rlike(NUMBER), value) if isinstance(kind, T.StringType) else value
+        value = plain.try_cast("double")
     elif name in LIST_FIELDS and not isinstance(kind, T.ArrayType):
         value = F.split(value.cast("string"), ",")
     elif name in FLAG_FIELDS:
         value = value.try_cast("boolean")
         return Cell(F.lit(True), F.col(name).isNull() | value.isNotNull(), value)
     elif name in TIME_FIELDS and isinstance(kind, T.StringType):
-        value = F.try_to_timestamp(value)
+        value = read_time(value)
         return Cell(F.lit(True), F.col(name).isNull() | value.isNotNull(), value)
     elif name in TIME_FIELDS:
         value = value.cast("timestamp")

@@ -59,14 +59,17 @@ def run(
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-    good, rejects = split_valid(checked, "raw")
+    # The input is read and judged once; good and rejected rows both come from that table.
+    judged = store(checked, "judged")
+    good, rejects = split_valid(judged, "raw")
     raw = store(cap_records(good, max_records), "raw")
-    store(rejects, "rejects")
     if raw.isEmpty():
+        store(rejects, "rejects")
         raise EmptyRun("no usable raw records")
 
     result = analyzer.enrich(raw)
     result = result._replace(analyzed=store(result.analyzed, "analyzed"), failed=store(result.failed, "failed"))
+    store(rejects.unionByName(result.rejects), "rejects")
     if result.analyzed.isEmpty():
         raise EmptyRun("no record could be analyzed")
     enriched_in = time.monotonic() - started

@@ -57,9 +57,10 @@ landed AS (
     CASE WHEN l_partkey % 5 <> 0 THEN l_returnflag || ' ' || l_linestatus END AS comment_body,
     '/posts/' || CAST(o_orderkey AS VARCHAR) || '/comments' AS source_url
   FROM placed JOIN posts ON l_orderkey = o_orderkey WHERE place <= 2)"""
-_ALL_LANDED = _LANDED
-_COLUMNS = "post_seq, place, post_title, comment_id, comment_body"
+_ALL_LANDED = _LANDED.replace(" WHERE place <= 2", "")
+_COLUMNS = "post_seq, post_title, comment_id, comment_body"
 ORACLES["a6_post_comments"] = f"WITH {_ALL_LANDED} SELECT {_COLUMNS} FROM landed"
+ORACLES["a6_first_comments"] = f"WITH {_LANDED} SELECT {_COLUMNS} FROM landed"
 ORACLES["a6_capped_fetch"] = (
     f"WITH {_LANDED.replace('/*cap*/', 'ORDER BY o_orderkey LIMIT 30')} SELECT {_COLUMNS} FROM landed ORDER BY post_seq, place LIMIT 30"
 )
@@ -87,7 +88,7 @@ SELECT comment_id, title AS post_title, title || ' - Price: ' || price || ' - Ra
   CASE WHEN stars >= 4 THEN 'highly recommend' ELSE 'have mixed opinions about' END || ' this product.' AS comment_body,
   stars AS star_rating FROM cards"""
 ORACLES["a11_review_texts"] = f"""
-WITH {_ALL_LANDED} SELECT post_seq * 10 + place AS ingest_seq,
+WITH {_ALL_LANDED} SELECT post_seq AS ingest_seq,
   concat_ws(chr(10), 'Title: ' || post_title, 'Review Title: ' || comment_name,
     coalesce('Review: ' || comment_body, 'Content: ' || post_body)) AS raw_text FROM landed"""
 ORACLES["a12_id_fallback"] = """
@@ -95,9 +96,9 @@ SELECT o_orderkey AS ingest_seq, CASE WHEN o_orderkey % 2 <> 0 THEN '1'
   WHEN o_orderkey % 3 <> 0 THEN 'p' || CAST(o_custkey AS VARCHAR) ELSE 'rec_' || CAST(o_orderkey AS VARCHAR) END AS source_id
 FROM orders"""
 ORACLES["a13_residual_metadata"] = f"""
-WITH {_ALL_LANDED} SELECT post_seq * 10 + place AS ingest_seq,
-  '{{"comment_id":' || CAST(comment_id AS VARCHAR) || ',"place":' || CAST(place AS VARCHAR) || ',"post_id":' ||
-  CAST(post_seq AS VARCHAR) || ',"post_seq":' || CAST(post_seq AS VARCHAR) || ',"post_title":"' || post_title ||
+WITH {_ALL_LANDED} SELECT post_seq AS ingest_seq,
+  '{{"comment_id":' || CAST(comment_id AS VARCHAR) || ',"post_id":' ||
+  CAST(post_seq AS VARCHAR) || ',"post_title":"' || post_title ||
   '","source_url":"' || source_url || '"}}' AS metadata FROM landed"""
 ORACLES["a14_raw_contract"] = f"""
 SELECT CAST(doc_id AS VARCHAR) AS source_id, length({trimmed('text')}) AS length,
@@ -149,15 +150,11 @@ WITH {CONTRACT} SELECT ingest_seq // {RECORDS_PER_REPLY} AS batch_no,
   ingest_seq % {RECORDS_PER_REPLY} + CASE WHEN (ingest_seq // {RECORDS_PER_REPLY}) % 5 = 4 THEN 1 ELSE 0 END AS place,
   {_CONTRACT_COLUMNS} FROM contract WHERE (ingest_seq // {RECORDS_PER_REPLY}) % 5 <> 3"""
 _LEXICON_DRAFT = """'Unknown' AS product_name, sentiment, sentiment_score, 0.85::DOUBLE AS confidence_score,
-  'Customer expresses ' || sentiment || ' sentiment about Unknown. ' ||
-    CASE WHEN urgency_level = 'high' THEN 'Immediate follow-up required.' ELSE 'No action needed.' END AS summary,
+  'Unknown: word lists say ' || sentiment || CASE WHEN urgency_level = 'high' THEN '; needs an answer.' ELSE '.' END AS summary,
   urgency_level, urgency_level = 'high' AS action_required,
-  CASE WHEN urgency_level = 'high' THEN 'Flagged for customer support follow-up within 24 hours.' END AS action_notes,
+  CASE WHEN urgency_level = 'high' THEN 'Answer this customer first.' END AS action_notes,
   'unknown' AS product_category, 'medium' AS data_quality, 'en' AS language_detected"""
 ORACLES["b9_lexicon_analyzer"] = f"WITH {_TEST_SCORED} SELECT source_id, {_LEXICON_DRAFT} FROM scored"
-_FIXED_DRAFT = """'Product' AS product_name, 'neutral' AS sentiment, 0.25::DOUBLE AS sentiment_score,
-  0.91::DOUBLE AS confidence_score, summary, 'low' AS urgency_level, false AS action_required,
-  CAST(NULL AS VARCHAR) AS action_notes, 'unknown' AS product_category, 'medium' AS data_quality, 'en' AS language_detected"""
 _ASKED = f"""{RAW}, asked AS (
   SELECT source_id, raw_text, right(source_id, 1) IN ('3', '7') AS again, contains(raw_text, ' der ') AS broken FROM raw),
 outcomes AS (
@@ -166,8 +163,6 @@ outcomes AS (
   UNION ALL SELECT source_id, 'analyzed', 'Text of ' || CAST(length(raw_text) AS VARCHAR) || ' characters.', true
     FROM asked WHERE again AND NOT broken
   UNION ALL SELECT source_id, 'failed', NULL, true FROM asked WHERE again AND broken)"""
-ORACLES["b9_prompt_analyzer"] = f"""
-WITH {_ASKED} SELECT source_id, {_FIXED_DRAFT} FROM outcomes WHERE outcome = 'analyzed' AND known"""
 ORACLES["b10_reconciliation"] = f"WITH {_ASKED} SELECT source_id, outcome, summary FROM outcomes"
 ORACLES["b11_run_metrics"] = f"""
 WITH {_ASKED}, totals AS (
@@ -179,10 +174,18 @@ SELECT 'run' AS batch_id, total_input, successful, failed, successful / CAST(tot
   12.5::DOUBLE AS processing_time_seconds, {exact('12.5::DOUBLE / total_input', 4)} AS avg_time_per_record,
   'gpt-4o-mini' AS model_used, total_tokens_used,
   {_price("'gpt-4o-mini'", 'total_tokens_used', '(successful * 200)')} AS estimated_cost_usd FROM totals"""
-ORACLES["b12_concurrent_batches"] = ORACLES["b10_reconciliation"]
+_BROKEN = "product_name,sentiment,sentiment_score,confidence_score,summary"
+ORACLES["b10_rejects"] = f"""
+WITH {_ASKED} SELECT source_id, 'analyzed' AS stage, '{_BROKEN}' AS rule FROM outcomes WHERE outcome = 'failed'"""
+ORACLES["b8_reply_rejects"] = f"""
+WITH batches AS (SELECT DISTINCT event_id // {RECORDS_PER_REPLY} AS batch_no FROM events)
+SELECT 'reply' AS stage, 'reply_unreadable' AS rule, CAST(NULL AS VARCHAR) AS item FROM batches WHERE batch_no % 5 = 3
+UNION ALL SELECT 'reply', 'item_not_an_object', unnest(['"note"', '17', 'null']) FROM batches WHERE batch_no % 5 = 4"""
 
 # --- C -----------------------------------------------------------------------------
 
+ORACLES["c_reject_report"] = f"""
+WITH {CONTRACT} SELECT 'analyzed' AS stage, errors AS rule, count(*) AS n FROM contract WHERE errors <> '' GROUP BY errors"""
 ORACLES["c_full_contract"] = f"WITH {CONTRACT} SELECT ingest_seq, {_CONTRACT_COLUMNS} FROM contract"
 for _name, _columns in {
     "c1_source_id": "source_id",
@@ -252,6 +255,12 @@ _DAILY = f"WITH {DAILY}"
 _WEEKLY = f"{CLEAN}, {series(WEEK)}"
 ORACLES["e1_safe_mean"] = f"""
 {_CLEAN} SELECT {exact(mean('sentiment_score'), 4)} AS mean_score, 0::DOUBLE AS mean_of_nothing FROM cleaned"""
+_MICROS = "o_totalprice * 1e6::DOUBLE"
+_SIGNED = f"CASE WHEN o_orderkey % 2 = 0 THEN {_MICROS} ELSE o_totalprice * -1e6::DOUBLE END"
+ORACLES["e1_large_mean"] = "SELECT " + ", ".join(
+    exact(f"CAST(sum(CAST({value} AS DECIMAL(38, 6))) AS DOUBLE) / count(*)", 4) + f" AS {name}"
+    for name, value in (("mean_micros", _MICROS), ("mean_mixed", _SIGNED))
+) + " FROM orders"
 ORACLES["e2_value_counts"] = f"{_CLEAN} SELECT product_name AS value, count(*) AS count FROM cleaned GROUP BY 1"
 ORACLES["e3_top_topics"] = f"{_CLEAN}, {TOPICS} SELECT * FROM topics"
 ORACLES["e4_topics_from_text"] = ORACLES["e3_top_topics"]
@@ -320,8 +329,10 @@ ORACLES["f1_export_columns"] = f"""
   array_to_string(key_topics, '|') AS key_topics_str, array_to_string(mentioned_competitors, '|') AS mentioned_competitors,
   data_quality, is_spam_or_fake FROM cleaned"""
 ORACLES["f2_json_records"] = f"""
-{_CLEAN} SELECT source_id, '{{"reviewer_rating":' || coalesce(printf('%.1f', reviewer_rating), '""') || ',"sentiment":"' ||
-  sentiment || '","is_spam_or_fake":false}}' AS record FROM cleaned"""
+{_CLEAN} SELECT source_id, product_name, sentiment, sentiment_score, confidence_score, reviewer_rating, urgency_level,
+  array_to_string(key_topics, '|') AS key_topics_str, array_to_string(mentioned_competitors, '|') AS mentioned_competitors,
+  data_quality, 'false' AS is_spam_or_fake, confidence_score IS NULL AS confidence_score_blank,
+  reviewer_rating IS NULL AS reviewer_rating_blank FROM cleaned"""
 ORACLES["f3_csv_records"] = f"""
 {_CLEAN} SELECT source_id, product_name, sentiment, printf('%.4f', sentiment_score) AS sentiment_score,
   CASE WHEN confidence_score IS NOT NULL THEN printf('%.4f', confidence_score) END AS confidence_score,

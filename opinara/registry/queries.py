@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import json
-import re
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,10 +18,10 @@ from opinara.functions.text import (
     token_count,
 )
 from opinara.operators import cleaning, kpi, rules, series
-from opinara.operators.enrich import LexiconAnalyzer, PromptAnalyzer, run_metrics
+from opinara.operators.enrich import LexiconAnalyzer, reconcile, run_metrics, split_analyzed
 from opinara.operators.intake import cap_records, check_raw, split_valid
 from opinara.operators.packing import pack_batches, record_costs
-from opinara.operators.prompts import batch_prompts, parse_replies, single_prompt
+from opinara.operators.prompts import batch_prompts, parse_replies, reply_rejects, single_prompt
 from opinara.plans.jobs import analytics, run_record
 from opinara.session import configure, materialize
 from opinara.sources import files, html, landing, views
@@ -37,7 +36,7 @@ TEST_LEXICON = Lexicon(views.TEST_NEGATIVE, views.TEST_POSITIVE)
 def query(name: str) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         def configured(spark: SparkSession, folder: str) -> DataFrame:
-            return build(configure(spark), folder)
+            return build(_with_folder(configure(spark)), folder)
 
         QUERIES[name] = configured
         return build
@@ -45,6 +44,15 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
+def _with_folder(spark: SparkSession) -> SparkSession:
+    """A local session that names no checkpoint folder gets one; a cluster has to name its own."""
+    context = spark.sparkContext
+    unset = context.getCheckpointDir() is None and context.getConf().get("spark.checkpoint.dir") is None
+    if unset and context.master.startswith("local["):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="opinara-"))
+    return spark
+
+
 def _now():
     """A fixed run time, so that results repeat."""
     return F.lit("2024-01-01 00:00:00").cast("timestamp")
@@ -119,20 +127,25 @@ def _(spark, folder):
     return cap_records(_raw(spark, folder), 100).select("ingest_seq", "source_id")
 
 
-def _landed(spark, folder, limit=None):
+def _landed(spark, folder, limit=None, comments_per_post=None):
     return landing.assemble_comments(
-        views.posts(spark, folder), views.comments(spark, folder), limit, views.COMMENT_ORDER
+        views.posts(spark, folder), views.comments(spark, folder), limit, views.COMMENT_ORDER, comments_per_post
     )
 
 
 @query("a6_post_comments")
 def _(spark, folder):
-    return _landed(spark, folder).select("post_seq", "place", "post_title", "comment_id", "comment_body")
+    return _landed(spark, folder).select("post_seq", "post_title", "comment_id", "comment_body")
+
+
+@query("a6_first_comments")
+def _(spark, folder):
+    return _landed(spark, folder, comments_per_post=2).select("post_seq", "post_title", "comment_id", "comment_body")
 
 
 @query("a6_capped_fetch")
 def _(spark, folder):
-    return _landed(spark, folder, 30).select("post_seq", "place", "post_title", "comment_id", "comment_body")
+    return _landed(spark, folder, 30, 2).select("post_seq", "post_title", "comment_id", "comment_body")
 
 
 ARTICLE_CARD = html.CardSpec("article", {"title": html.Part("article > h1")})
@@ -180,9 +193,7 @@ def _(spark, folder):
 
 
 def _normalized(spark, folder):
-    landed = _landed(spark, folder)
-    index = F.col("post_seq") * 10 + F.col("place")
-    return landing.normalize(landed, index)
+    return landing.normalize(_landed(spark, folder), "post_seq")
 
 
 @query("a11_review_texts")
@@ -267,6 +278,13 @@ def _(spark, folder):
     return batch_prompts(raw.join(pack_batches(record_costs(raw)), "ingest_seq"), SCHEMA_TEXT)
 
 
+@query("b8_reply_rejects")
+def _(spark, folder):
+    return reply_rejects(views.replies(spark, folder)).select(
+        "stage", "rule", F.when(F.col("rule") == "item_not_an_object", F.col("payload")).alias("item")
+    )
+
+
 @query("b8_reply_parsing")
 def _(spark, folder):
     records = parse_replies(views.replies(spark, folder))
@@ -286,67 +304,41 @@ def _(spark, folder):
     return _draft_columns(LexiconAnalyzer(TEST_LEXICON).enrich(_raw(spark, folder), _now()).analyzed)
 
 
-_REVIEW = re.compile(r"^REVIEW #\d+ \[source_id: (.*?)\]:$", re.MULTILINE)
-
-
-def scripted_model(prompt: str) -> str:
-    """Stands for a model that does not answer every record.
-
-    In a batch, ids ending in 3 go unanswered and ids ending in 7 get an answer
-    under another id; asked alone, texts with the word "der" stay broken.
-    """
-    found = list(_REVIEW.finditer(prompt))
-    if not found:
-        text = prompt.split("\n---\n", 1)[1].rsplit("\n---\n", 1)[0]
-        return "I cannot" if " der " in text else json.dumps(_answer("asked-alone", len(text)))
-    answers = []
-    for match in found:
-        name = match.group(1)
-        if not name.endswith("3"):
-            answers.append(_answer(f"other-{name}" if name.endswith("7") else name, 0))
-    return "```json\n" + json.dumps({"reviews": answers}) + "\n```"
-
-
-def _answer(name: str, size: int) -> dict:
-    return {
-        "source_id": name, "product_name": "Product", "sentiment": "neutral", "sentiment_score": "0.25",
-        "confidence_score": 91, "summary": f"Text of {size} characters.", "key_topics": "a, b", "_trace": 1,
-    }
+def _reconciled(spark, folder):
+    """Batches answered by a reply table, and a second table for those asked again."""
+    raw = _raw(spark, folder)
+    packed = raw.select(
+        "ingest_seq", "source_id", "raw_text", F.floor(F.col("ingest_seq") / views.RECORDS_PER_REPLY).cast("long").alias("batch_no")
+    )
+    answers = views.batch_answers(packed)
+    found = split_analyzed(rules.check_analyzed(answers, payload="payload", now=_now()))
 
+    def again(rest):
+        return split_analyzed(rules.check_analyzed(views.single_answers(rest), payload="payload", now=_now()))
 
-def _prompted(spark, folder, **options):
-    raw = _raw(spark, folder)
-    return raw, PromptAnalyzer(scripted_model, SCHEMA_TEXT, model="gpt-4o-mini", **options).enrich(raw, _now())
+    return raw, reconcile(packed, found, again)
 
 
-def _outcomes(result):
+@query("b10_reconciliation")
+def _(spark, folder):
+    result = _reconciled(spark, folder)[1]
     answered = result.analyzed.select("source_id", F.lit("analyzed").alias("outcome"), "summary")
     return answered.unionByName(
         result.failed.select("source_id", F.lit("failed").alias("outcome"), F.lit(None).cast("string").alias("summary"))
     )
 
 
-@query("b9_prompt_analyzer")
-def _(spark, folder):
-    return _draft_columns(_prompted(spark, folder, drop_unknown=True)[1].analyzed)
-
-
-@query("b10_reconciliation")
+@query("b10_rejects")
 def _(spark, folder):
-    return _outcomes(_prompted(spark, folder)[1])
+    return _reconciled(spark, folder)[1].rejects.select("source_id", "stage", "rule")
 
 
 @query("b11_run_metrics")
 def _(spark, folder):
-    raw, result = _prompted(spark, folder)
+    raw, result = _reconciled(spark, folder)
     return run_metrics(raw, result, "gpt-4o-mini", 12.5, now=_now()).drop("processed_at")
 
 
-@query("b12_concurrent_batches")
-def _(spark, folder):
-    return _outcomes(_prompted(spark, folder, max_concurrent=3)[1])
-
-
 # --- C: record contract ------------------------------------------------------------
 
 def _contract(spark, folder):
@@ -376,6 +368,12 @@ def _rule(name: str, *columns: str) -> None:
         return checked.select("ingest_seq", *columns, F.array_join("errors", ",").alias("errors"))
 
 
+@query("c_reject_report")
+def _(spark, folder):
+    rejects = split_analyzed(_contract(spark, folder)).rejects
+    return rejects.groupBy("stage", "rule").agg(F.count(F.lit(1)).alias("n"))
+
+
 _rule("c1_source_id", "source_id")
 _rule("c2_rating", "reviewer_rating")
 _rule("c3_confidence", "confidence_score")
@@ -503,6 +501,15 @@ def _(spark, folder):
     )
 
 
+@query("e1_large_mean")
+def _(spark, folder):
+    price = F.col("o_totalprice")
+    return views.table(spark, folder, "orders").agg(
+        kpi.safe_mean(price * 1e6).alias("mean_micros"),
+        kpi.safe_mean(F.when(F.col("o_orderkey") % 2 == 0, price * 1e6).otherwise(price * -1e6)).alias("mean_mixed"),
+    )
+
+
 @query("e2_value_counts")
 def _(spark, folder):
     return kpi.value_counts(_clean(spark, folder), "product_name")
@@ -620,7 +627,14 @@ def _(spark, folder):
 @query("f2_json_records")
 def _(spark, folder):
     records = sinks.json_records(_clean(spark, folder))
-    return records.select(F.col("source_id").cast("string").alias("source_id"), F.to_json(F.struct("reviewer_rating", "sentiment", "is_spam_or_fake")).alias("record"))
+    numbers = ("sentiment_score", "confidence_score", "reviewer_rating")
+    blank = [(F.try_variant_get(name, "$", "string") == "").alias(f"{name}_blank") for name in numbers[1:]]
+    texts = [name for name in records.columns if name not in (*numbers, "mentioned_competitors")]
+    return records.select(
+        *[F.try_variant_get(name, "$", "string").alias(name) for name in texts],
+        *[F.try_variant_get(name, "$", "double").alias(name) for name in numbers], *blank,
+        F.array_join("mentioned_competitors", "|").alias("mentioned_competitors"),
+    )
 
 
 @query("f3_csv_records")

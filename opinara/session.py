@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # What the operators rely on; everything else is left to the cluster.
@@ -11,6 +9,9 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python workers hold one Arrow batch at a time; long pages and prompts must not add up.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
     # A repeated JSON key keeps its last value instead of losing the record.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
@@ -37,14 +38,12 @@ def materialize(df: DataFrame) -> DataFrame:
 
     Used where a result is both expensive (external calls) and read several
     times. The files go to the folder the cluster names in
-    ``spark.checkpoint.dir``; a private folder is used in local mode only.
+    ``spark.checkpoint.dir``, which has to be set.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         shared = context.getConf().get("spark.checkpoint.dir")
         if shared is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            shared = tempfile.mkdtemp(prefix="opinara-checkpoint-")
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(shared)
     return df.checkpoint(eager=True)

@@ -65,7 +65,7 @@ def _fits(step: str, tag: str, classes: list[str]) -> bool:
 
 
 class _CardReader(HTMLParser):
-    """Collects cards in page order. A text part grows until its element ends."""
+    """Collects cards in page order, nested ones too. A text part grows until its element ends."""
 
     def __init__(self, spec: CardSpec) -> None:
         super().__init__(convert_charrefs=True)
@@ -73,23 +73,23 @@ class _CardReader(HTMLParser):
         self.paths = {name: [s.strip() for s in part.path.split(">")] for name, part in spec.parts.items()}
         self.stack: list[tuple[str, list[str]]] = []
         self.cards: list[dict[str, str | None]] = []
-        self.open_card: int | None = None  # stack depth of the current card
-        self.open_parts: dict[str, int] = {}
+        self.open_cards: list[tuple[int, int]] = []  # (card, stack depth) of the cards not yet ended
+        self.open_parts: dict[tuple[int, str], int] = {}  # stack depth of the text parts not yet ended
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         values = {key: value or "" for key, value in attrs}
         classes = values.get("class", "").split()
-        if self.open_card is None:
-            if _fits(self.spec.card, tag, classes):
-                self.cards.append(dict.fromkeys(self.spec.parts))
-                self.open_card = len(self.stack)
-        else:
-            self._start_parts(tag, classes, values)
+        # Parts are looked for inside a card, so an element that is a card itself belongs to those around it.
+        for number, _ in self.open_cards:
+            self._start_parts(number, tag, classes, values)
+        if _fits(self.spec.card, tag, classes):
+            self.open_cards.append((len(self.cards), len(self.stack)))
+            self.cards.append(dict.fromkeys(self.spec.parts))
         if tag not in _VOID:
             self.stack.append((tag, classes))
 
-    def _start_parts(self, tag: str, classes: list[str], values: dict[str, str]) -> None:
-        card = self.cards[-1]
+    def _start_parts(self, number: int, tag: str, classes: list[str], values: dict[str, str]) -> None:
+        card = self.cards[number]
         for name, part in self.spec.parts.items():
             *parents, last = self.paths[name]
             if card[name] is not None or not _fits(last, tag, classes):
@@ -101,20 +101,19 @@ class _CardReader(HTMLParser):
             else:
                 card[name] = ""
                 if tag not in _VOID:
-                    self.open_parts[name] = len(self.stack)
+                    self.open_parts[number, name] = len(self.stack)
 
     def handle_data(self, data: str) -> None:
-        for name in self.open_parts:
-            self.cards[-1][name] += data
+        for number, name in self.open_parts:
+            self.cards[number][name] += data
 
     def handle_endtag(self, tag: str) -> None:
         depth = next((i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i][0] == tag), None)
         if depth is None:
             return
         del self.stack[depth:]
-        self.open_parts = {name: at for name, at in self.open_parts.items() if at < depth}
-        if self.open_card is not None and depth <= self.open_card:
-            self.open_card = None
+        self.open_parts = {part: at for part, at in self.open_parts.items() if at < depth}
+        self.open_cards = [card for card in self.open_cards if card[1] < depth]
 
 
 def _read_page(url: str, html: str, spec: CardSpec) -> list[dict[str, str | None]]:
@@ -125,25 +124,39 @@ def _read_page(url: str, html: str, spec: CardSpec) -> list[dict[str, str | None
         for name, part in spec.parts.items():
             if card[name] is not None and not part.attribute:
                 card[name] = card[name].strip()
+        card[_BROKEN] = None
         if spec.link:
-            card[spec.link] = _resolve(url, card[spec.link] or "")
+            try:
+                card[spec.link] = urljoin(url, card[spec.link] or "")
+            except ValueError:  # a link that is no address costs only this card
+                card[_BROKEN] = "link_no_address"
     return reader.cards
 
 
-def _resolve(url: str, link: str) -> str | None:
-    try:
-        return urljoin(url, link)
-    except ValueError:  # a link that is no address costs only this card its link
-        return None
+_BROKEN = "_rule"
 
 
 def extract_cards(pages: DataFrame, spec: CardSpec = PRODUCT_CARD, max_cards: int | None = None) -> DataFrame:
     """(page_id, card_no, one text column per part); pages without cards give no row.
 
     pages(page_id, url, html). ``max_cards`` keeps the first cards of each page.
+    Card numbers count all cards; one whose link is no address is left to
+    ``card_rejects``.
     """
-    names = list(spec.parts)
-    # A malformed address cannot fail the job: it makes the link null.
+    return _cards(pages, spec, max_cards).filter(F.col(_BROKEN).isNull()).drop(_BROKEN)
+
+
+def card_rejects(pages: DataFrame, spec: CardSpec = PRODUCT_CARD, max_cards: int | None = None) -> DataFrame:
+    """REJECT rows of the cards that ``extract_cards`` skips."""
+    broken = _cards(pages, spec, max_cards).filter(F.col(_BROKEN).isNotNull())
+    return broken.select(
+        F.concat_ws("_", "page_id", "card_no").alias("source_id"), F.lit("html").alias("stage"), F.col(_BROKEN).alias("rule"),
+        F.to_json(F.struct(*[F.col(f"`{name}`") for name in spec.parts])).alias("payload"),
+    )
+
+
+def _cards(pages: DataFrame, spec: CardSpec, max_cards: int | None) -> DataFrame:
+    names = [*spec.parts, _BROKEN]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -1,4 +1,4 @@
-"""Landed web records: posts with their first comments, normalized to raw reviews."""
+"""Landed web records: posts with their comments, normalized to raw reviews."""
 
 from __future__ import annotations
 
@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed values.
-COMMENTS_PER_POST = 2
-MAX_POSTS_PER_FETCH = 100
 _BODY_COLUMNS = ("comment_body", "post_body", "comment_name")
 _PRIVATE_COLUMNS = ("comment_email",)
+# What assembly adds for ordering; no part of the landed record.
+_PLACE_COLUMNS = ("post_seq", "comment_place")
 
 
 def assemble_comments(
@@ -18,38 +18,38 @@ def assemble_comments(
     comments: DataFrame,
     limit: int | None = None,
     comment_order: tuple[str, ...] = ("seq",),
+    comments_per_post: int | None = None,
 ) -> DataFrame:
-    """Posts joined with their first two comments, in post order.
+    """Posts joined with their comments; ``post_seq`` and ``comment_place`` give the order.
 
     posts(seq, id, title, body), comments(post_id, id, name, email, body, source_url
     and the order columns). Posts without an id or without comments give no
-    row. With ``limit``, at most ``min(limit, 100)`` posts and ``limit`` rows;
-    without, everything.
+    row. With ``limit``, the first ``limit`` posts and ``limit`` rows in order;
+    with ``comments_per_post``, the first so many comments of each post;
+    without them, everything.
 
-    The two-per-post rank is limited before the comments are shuffled, so a
-    post with very many comments sends two rows per task.
+    That rank is limited before the comments are shuffled, so a post with very
+    many comments sends no more than that per task. Without it, such a post is
+    only a join key, which Spark splits when it is skewed.
     """
     has_id = ~falsy(F.col("id"), posts.schema["id"].dataType)
     if limit is None:
         usable = posts.filter(has_id)
     else:
         # The cap counts posts as fetched; one without an id uses up its place.
-        # At most a hundred rows are left, so they are broadcast, and only their
-        # comments are ranked.
-        usable = F.broadcast(posts.orderBy("seq").limit(min(limit, MAX_POSTS_PER_FETCH)).filter(has_id))
+        usable = posts.orderBy("seq").limit(limit).filter(has_id)
         comments = comments.join(usable.select(F.col("id").alias("post_id")), "post_id", "left_semi")
-    place = Window.partitionBy("post_id").orderBy(*comment_order)
-    first = (
-        comments.withColumn("place", F.row_number().over(place))
-        .filter(F.col("place") <= COMMENTS_PER_POST)
-        .select(
-            "post_id", "place",
-            F.col("id").alias("comment_id"),
-            F.col("name").alias("comment_name"),
-            F.col("email").alias("comment_email"),
-            F.col("body").alias("comment_body"),
-            "source_url",
-        )
+    if comments_per_post is not None:
+        rank = F.row_number().over(Window.partitionBy("post_id").orderBy(*comment_order))
+        comments = comments.withColumn("_rank", rank).filter(F.col("_rank") <= comments_per_post)
+    first = comments.select(
+        "post_id",
+        F.struct(*comment_order).alias("comment_place"),
+        F.col("id").alias("comment_id"),
+        F.col("name").alias("comment_name"),
+        F.col("email").alias("comment_email"),
+        F.col("body").alias("comment_body"),
+        "source_url",
     )
     joined = first.join(
         usable.select(
@@ -61,12 +61,12 @@ def assemble_comments(
         "post_id",
     )
     columns = (
-        "post_seq", "place", "post_id", "post_title", "post_body",
+        "post_seq", "comment_place", "post_id", "post_title", "post_body",
         "comment_id", "comment_name", "comment_email", "comment_body", "source_url",
     )
     if limit is None:
         return joined.select(*columns)
-    return joined.select(*columns).orderBy("post_seq", "place").limit(limit)
+    return joined.select(*columns).orderBy("post_seq", "comment_place").limit(limit)
 
 
 def falsy(value: Column, kind: T.DataType) -> Column:
@@ -104,7 +104,7 @@ def normalize(landed: DataFrame, index: str | Column, keep_email: bool = False)
         F.when(~falsy(F.col(name), kinds[name]), F.col(name).cast("string"))
         for name in ("comment_id", "post_id") if name in kinds
     ]
-    left_out = set(_BODY_COLUMNS) | (set() if keep_email else set(_PRIVATE_COLUMNS))
+    left_out = {*_BODY_COLUMNS, *_PLACE_COLUMNS} | (set() if keep_email else set(_PRIVATE_COLUMNS))
     if isinstance(index, str):
         left_out.add(index)
     return (

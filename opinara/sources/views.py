@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.functions.numeric import round_exact
@@ -117,6 +117,32 @@ def drafts(spark: SparkSession, folder: str) -> DataFrame:
 RECORDS_PER_REPLY = 10
 
 
+def _answer(name: Column, size: Column) -> Column:
+    """A model's record as JSON text: numbers spelled as texts and percent, lists as one text, a private key."""
+    return F.parse_json(F.to_json(F.struct(
+        name.alias("source_id"), F.lit("Product").alias("product_name"), F.lit("neutral").alias("sentiment"),
+        F.lit("0.25").alias("sentiment_score"), F.lit(91).alias("confidence_score"),
+        F.concat(F.lit("Text of "), size.cast("string"), F.lit(" characters.")).alias("summary"),
+        F.lit("a, b").alias("key_topics"), F.lit(1).alias("_trace"),
+    )))
+
+
+def batch_answers(packed: DataFrame) -> DataFrame:
+    """First answers: ids ending in 3 are missing, those ending in 7 come back under another id."""
+    name = F.col("source_id")
+    told = F.when(name.endswith("7"), F.concat(F.lit("other-"), name)).otherwise(name)
+    return packed.filter(~name.endswith("3")).select("batch_no", "ingest_seq", _answer(told, F.lit(0)).alias("payload"))
+
+
+def single_answers(rest: DataFrame) -> DataFrame:
+    """Second answers, asked one by one: texts with the word "der" get one that lacks its sentiment."""
+    answer = _answer(F.col("source_id"), F.length("raw_text"))
+    broken = F.parse_json(F.to_json(F.struct("source_id")))
+    return rest.select(
+        "batch_no", "ingest_seq", F.when(F.contains("raw_text", F.lit(" der ")), broken).otherwise(answer).alias("payload")
+    )
+
+
 def replies(spark: SparkSession, folder: str) -> DataFrame:
     """Model replies of ten records each: plain, wrapped, fenced, cut off, mixed with text."""
     records = drafts(spark, folder)

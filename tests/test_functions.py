@@ -84,3 +84,13 @@ def test_cost(spark):
     df = spark.createDataFrame([("gpt-4o-mini", 1000, 500), ("nobody", 1000, 500)], "m string, i long, o long")
     got = [r[0] for r in df.select(cost_usd(F.col("m"), F.col("i"), F.col("o"))).collect()]
     assert got == [round((1000 * 0.00015 + 500 * 0.0006) / 1000, 6), 0.0]
+
+
+def test_means_of_any_magnitude(spark):
+    from opinara.operators.kpi import safe_mean
+
+    for values in ([9e8] * 1000, [1e9, 3e9], [1e12, -1e12, 3e12], [0.1] * 10, [1e300, 1e300], [-5e17, 5e17, 3.0], [None, 2.0]):
+        frame = spark.createDataFrame([(value,) for value in values], "v double").repartition(3)
+        known = [value for value in values if value is not None]
+        want = math.fsum(known) / len(known)
+        assert frame.agg(safe_mean("v").alias("m")).first()["m"] == pytest.approx(want, rel=1e-12)

@@ -18,7 +18,9 @@ from opinara.operators.enrich import (
     run_metrics,
 )
 from opinara.operators.intake import check_raw, split_valid
+from opinara.operators.prompts import parse_replies, reply_rejects
 from opinara.operators.rules import check_analyzed
+from opinara.schemas import REJECT
 from opinara.plans.jobs import EmptyRun, analytics, run
 
 # The calls defined below run in workers that cannot import this file.
@@ -80,13 +82,12 @@ def test_invented_ids_and_invalid_records(spark):
     assert _outcome(spark, call, TEXTS, drop_unknown=True)[0] == ["r0", "r2", "r3", "r4", "r5"]
 
 
-@pytest.mark.parametrize("concurrent", [None, 1, 4])
-def test_concurrency_does_not_matter(spark, concurrent):
+def test_copies_in_a_batch_share_an_answer(spark):
     def call(prompt):
         return json.dumps([record(n) for n in _ids(prompt)])
 
     # Copies of an id inside one batch are all answered by one record.
-    assert _outcome(spark, call, TEXTS, max_concurrent=concurrent, max_tokens=900)[0] == [f"r{i}" for i in range(6)]
+    assert _outcome(spark, call, TEXTS, max_tokens=900)[0] == [f"r{i}" for i in range(6)]
 
 
 def test_first_answer_wins_in_input_order(spark):
@@ -117,7 +118,28 @@ def test_lexicon_analyzer_uses_metadata(spark):
     ).withColumn("metadata", F.parse_json("m"))
     got = rows(LexiconAnalyzer().enrich(split_valid(check_raw(df), "raw")[0]).analyzed)[0]
     assert (got["product_name"], got["reviewer_rating"], got["urgency_level"], got["action_required"]) == ("Lamp", 2.0, "high", True)
-    assert got["summary"] == "Customer expresses negative sentiment about Lamp. Rating: 2.0/5.0. Immediate follow-up required."
+    assert got["summary"] == "Lamp: word lists say negative, rated 2.0 of 5; needs an answer."
+
+
+def test_lexicon_analyzer_rejects_what_breaks_the_contract(spark):
+    df = spark.createDataFrame(
+        [(1, "a", "some text of a review", json.dumps({"post_title": "L" * 260})), (2, "b", "some text of a review", "{}")],
+        "ingest_seq long, source_id string, raw_text string, m string",
+    ).withColumn("metadata", F.parse_json("m"))
+    good = split_valid(check_raw(df), "raw")[0]
+    result = LexiconAnalyzer().enrich(good)
+    assert [r["source_id"] for r in rows(result.analyzed)] == ["b"]
+    assert [(r["source_id"], r["stage"], r["rule"]) for r in rows(result.rejects)] == [("a", "analyzed", "product_name")]
+    assert result.rejects.schema.fieldNames() == REJECT.fieldNames()
+    unsure = LexiconAnalyzer(confidence=150).enrich(good)
+    assert unsure.analyzed.count() == 0 and unsure.rejects.count() == 2
+
+
+def test_unreadable_replies_are_rejected(spark):
+    replies = spark.createDataFrame([(1, "[1, {"), (2, '[{"source_id": "a"}, 7, null]'), (3, "[]"), (4, None)], "batch_no long, response string")
+    assert parse_replies(replies).count() == 1
+    found = sorted((r["rule"], r["payload"]) for r in rows(reply_rejects(replies).fillna("-")))
+    assert found == [("item_not_an_object", "7"), ("item_not_an_object", "null"), ("reply_unreadable", "-"), ("reply_unreadable", "[1, {")]
 
 
 def test_run_metrics_of_nothing(spark):
@@ -165,7 +187,8 @@ def test_full_run(spark, tmp_path):
     assert (record_row["status"], record_row["records_scraped"], record_row["records_analyzed"]) == ("success", 3, 3)
     assert record_row["success_rate"] == 1.0 and set(record_row["export_paths"]) == {"json", "csv"}
     tables = str(tmp_path / "out" / "tables")
-    assert spark.read.parquet(tables + "/rejects").first()["rule"] == "raw_text_short"
+    rejects = spark.read.parquet(tables + "/rejects")
+    assert rejects.first()["rule"] == "raw_text_short" and rejects.schema.fieldNames() == REJECT.fieldNames()
     assert spark.read.parquet(tables + "/clean").count() == 3
     run(checked, str(tmp_path / "out"), max_records=1)
     assert spark.read.parquet(tables + "/runs").count() == 2

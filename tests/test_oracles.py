@@ -17,14 +17,14 @@ def connection():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    assert {name for name in QUERIES if not TRAINING.match(name)} <= set(ORACLES) <= set(QUERIES)
 
 
-# These project single columns of the frame that c_full_contract compares whole.
-SAME_FRAME = re.compile(r"c([1-5]|[7-9]|1[0-2])_")
+# Those of the llm folder have tests of their own beside it.
+TRAINING = re.compile(r"op\d+_|pipeline$")
 
 
-@pytest.mark.parametrize("name", [name for name in QUERIES if not SAME_FRAME.match(name)])
+@pytest.mark.parametrize("name", [name for name in QUERIES if not TRAINING.match(name)])
 def test_query_equals_oracle(spark, connection, name):
     ours, theirs = both(spark, connection, QUERIES[name], ORACLES[name], FOLDER)
     assert ours[0] == theirs[0]

@@ -129,3 +129,14 @@ def test_reply_shapes(spark):
     parsed = parse_replies(spark.createDataFrame(replies, "batch_no int, response string"))
     got = sorted((r["batch_no"], r["place"], r["source_id"]) for r in rows(parsed.drop("payload")))
     assert got == [(1, 0, "a"), (1, 3, "unknown"), (2, 0, "7"), (3, 0, "solo")]
+
+
+def test_numbers_and_times_are_spelled_out(spark):
+    from opinara.operators.rules import check_analyzed
+
+    base = {"source_id": "a", "product_name": "P", "sentiment": "neutral", "sentiment_score": "0.5", "confidence_score": "0.9", "summary": "long enough"}
+    cases = [{"reviewer_rating": "4d"}, {"reviewer_rating": "4f"}, {"reviewer_rating": " 4.0 "}, {"sentiment_score": "0.5d"}, {"review_date": "12:30"}, {"review_date": "2024-03-10 12:30"}]
+    frame = spark.createDataFrame([(i, json.dumps(base | case)) for i, case in enumerate(cases)], "i int, j string").select("i", F.parse_json("j").alias("p"))
+    got = {r["i"]: r for r in check_analyzed(frame, payload="p").collect()}
+    assert [got[i]["reviewer_rating"] for i in range(3)] == [None, None, 4.0]
+    assert got[3]["errors"] == ["sentiment_score"] and got[4]["errors"] == ["review_date"] and got[5]["errors"] == []

@@ -102,11 +102,22 @@ def _web(spark):
 def test_post_comment_assembly(spark):
     posts, comments = _web(spark)
     whole = landing.assemble_comments(posts, comments)
-    assert sorted((r["post_seq"], r["place"], r["comment_id"]) for r in rows(whole)) == [(1, 1, 1), (1, 2, 2), (4, 1, 0)]
+    assert sorted((r["post_seq"], r["comment_id"]) for r in rows(whole)) == [(1, 1), (1, 2), (1, 3), (4, 0)]
+    two = landing.assemble_comments(posts, comments, comments_per_post=2)
+    assert sorted((r["post_seq"], r["comment_id"]) for r in rows(two)) == [(1, 1), (1, 2), (4, 0)]
     assert [r["comment_id"] for r in rows(landing.assemble_comments(posts, comments, 1))] == [1]
     # Posts two and three use up places without giving rows.
-    assert [r["comment_id"] for r in rows(landing.assemble_comments(posts, comments, 3))] == [1, 2]
-    assert [r["comment_id"] for r in rows(landing.assemble_comments(posts, comments, 4))] == [1, 2, 0]
+    assert [r["comment_id"] for r in rows(landing.assemble_comments(posts, comments, 3, comments_per_post=2))] == [1, 2]
+    assert [r["comment_id"] for r in rows(landing.assemble_comments(posts, comments, 4))] == [1, 2, 3, 0]
+
+
+def test_limit_alone_decides(spark):
+    posts = spark.range(6000).select(F.col("id").alias("seq"), (F.col("id") + 1).alias("id"), F.lit("t").alias("title"), F.lit("b").alias("body"))
+    comments = posts.select(
+        F.lit(1).alias("seq"), F.col("id").alias("post_id"), "id", F.lit("n").alias("name"), F.lit("m").alias("email"),
+        "body", F.lit("/c").alias("source_url"),
+    )
+    assert landing.assemble_comments(posts, comments, 5000).count() == 5000
 
 
 def test_normalize(spark):
@@ -116,7 +127,7 @@ def test_normalize(spark):
     assert got["1"]["raw_text"] == "Title: T1\nReview Title: n1\nReview: x1"
     # Id 0 counts as no id, an empty body falls back on the post.
     assert got["40"]["raw_text"] == "Review Title: n0\nContent: B4"
-    assert json.loads(got["1"]["metadata"]) == {"place": 1, "post_id": 10, "post_title": "T1", "comment_id": 1, "source_url": "/c"}
+    assert json.loads(got["1"]["metadata"]) == {"post_id": 10, "post_title": "T1", "comment_id": 1, "source_url": "/c"}
     mailed = rows(landing.normalize(landed, "post_seq", keep_email=True).select(F.to_json("metadata").alias("m")))
     assert "m@x" in mailed[0]["m"]
     bare = spark.createDataFrame([(3, None, "text"), (4, None, "")], "i int, comment_id int, comment_body string")
@@ -141,20 +152,29 @@ def test_product_cards(spark):
     )
     cards = html.extract_cards(pages)
     got = rows(html.product_records(cards).orderBy("card_no"))
-    assert [r["post_title"] for r in got] == ["A & B", "Plain title", "Unknown", "D"]
-    assert [r["star_rating"] for r in got] == [3, 5, 0, 0]
-    assert [r["price"] for r in got] == ["£51.77", "N/A", "1", "N/A"]
-    assert [r["availability"] for r in got] == ["In stock", "Unknown", "Unknown", "Unknown"]
+    assert [r["post_title"] for r in got] == ["A & B", "Plain title", "Unknown"]
+    assert [r["star_rating"] for r in got] == [3, 5, 0]
+    assert [r["price"] for r in got] == ["£51.77", "N/A", "1"]
+    assert [r["availability"] for r in got] == ["In stock", "Unknown", "Unknown"]
     assert [r["source_url"] for r in got][:3] == [
         "http://books.example/a_1/index.html", "http://books.example/catalogue/b.html", "http://books.example/catalogue/page-1.html",
     ]
-    assert got[3]["source_url"] is None
+    assert [(r["source_id"], r["rule"]) for r in rows(html.card_rejects(pages))] == [("1_4", "link_no_address")]
     assert got[0]["comment_body"] == (
         "Product: A & B. Price: £51.77. Customer rating: 3 out of 5 stars. Availability: In stock. "
         "Customers who rated this have mixed opinions about this product."
     )
     assert "highly recommend" in got[1]["comment_body"]
-    assert [r["comment_id"] for r in got] == ["1_1", "1_2", "1_3", "1_4"]
+    assert [r["comment_id"] for r in got] == ["1_1", "1_2", "1_3"]
     assert html.extract_cards(pages, max_cards=3).count() == 3
     raw = landing.normalize(html.product_records(cards), F.col("card_no"))
-    assert raw.count() == 4
+    assert raw.count() == 3
+
+
+def test_nested_cards(spark):
+    spec = html.CardSpec("li", {"text": html.Part("p"), "tag": html.Part("b")})
+    page = "<ul><li><p>one<li><p>two</ul><ul><li><p>three</p><b>x</b></li></ul>"
+    pages = spark.createDataFrame([(1, "http://x/", page)], "page_id long, url string, html string")
+    # Nothing closes the first card before the second starts, so the second lies inside it.
+    got = [(r["text"], r["tag"]) for r in rows(html.extract_cards(pages, spec).orderBy("card_no"))]
+    assert got == [("onetwo", None), ("two", None), ("three", "x")]
