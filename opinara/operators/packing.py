@@ -10,8 +10,9 @@ these possibilities, the small summaries are chained, and then each stretch
 numbers its own rows. The batches are exactly those of the serial walk,
 whatever the partitioning.
 
-Two levels keep every group small: rows per chunk, chunks per block, and one
-summary per block (2**30 rows) in the final chain.
+A tree keeps every group small: 2**18 rows to a chunk, 4096 chunks to a block,
+4096 blocks to a block of the next level, and 512 of the third level in all, as
+ids have 63 bits. Ids with gaps only leave branches of the tree out.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ RECORD_OVERHEAD = 50
 
 CHUNK_ROWS = 1 << 18
 BLOCK_CHUNKS = 1 << 12
+LEVELS = 3
 
 _SUMMARY = "head array<double>, leave array<double>, opened array<long>, total double"
 _ENTRY = "load double, batch_no long"
@@ -70,17 +72,17 @@ def pack_batches(
         spent = _running_cost(rows.sort_values("ingest_seq"))
         return pd.DataFrame([(key[0] // block_chunks, key[0], *_summarize(spent, room))])
 
-    def block_summary(key: tuple, chunks: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([(key[0], *_chain(_stretches(chunks.sort_values("chunk")), room))])
+    def block_summary(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([(key[0] // block_chunks, key[0], *_chain(_stretches(parts.sort_values("part")), room))])
 
-    def block_entries(blocks: pd.DataFrame) -> pd.DataFrame:
-        blocks = blocks.sort_values("block")
+    def top_entries(parts: pd.DataFrame) -> pd.DataFrame:
+        parts = parts.sort_values("part")
         # Before the first row no batch is open: an infinite fill opens one.
-        return _entries(blocks["block"], _stretches(blocks), np.inf, 0, room)
+        return _entries(parts["part"], _stretches(parts), np.inf, 0, room)
 
-    def chunk_entries(chunks: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        chunks = chunks.sort_values("chunk")
-        return _entries(chunks["chunk"], _stretches(chunks), *_entry(entry), room)
+    def inner_entries(parts: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+        parts = parts.sort_values("part")
+        return _entries(parts["part"], _stretches(parts), *_entry(entry), room)
 
     def numbered(rows: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("ingest_seq")
@@ -97,14 +99,15 @@ def pack_batches(
     placed = costs.select(
         F.expr(f"ingest_seq div {int(chunk_rows)}").alias("chunk"), "ingest_seq", "cost"
     ).repartition("chunk")
-    chunks = placed.groupBy("chunk").applyInPandas(chunk_summary, f"block long, chunk long, {_SUMMARY}")
-    blocks = chunks.groupBy("block").applyInPandas(block_summary, f"block long, {_SUMMARY}")
-    into_blocks = blocks.groupBy().applyInPandas(block_entries, f"part long, {_ENTRY}")
-    into_chunks = (
-        chunks.groupBy("block")
-        .cogroup(into_blocks.groupBy("part"))
-        .applyInPandas(chunk_entries, f"part long, {_ENTRY}")
-    )
+    levels = [placed.groupBy("chunk").applyInPandas(chunk_summary, f"block long, part long, {_SUMMARY}")]
+    for _ in range(LEVELS):
+        levels.append(levels[-1].groupBy("block").applyInPandas(block_summary, f"block long, part long, {_SUMMARY}"))
+    entries = levels.pop().groupBy().applyInPandas(top_entries, f"part long, {_ENTRY}")
+    while levels:
+        entries = levels.pop().groupBy("block").cogroup(entries.groupBy("part")).applyInPandas(
+            inner_entries, f"part long, {_ENTRY}"
+        )
+    into_chunks = entries
     return (
         placed.groupBy("chunk")
         .cogroup(into_chunks.groupBy("part"))

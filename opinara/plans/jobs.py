@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from opinara.operators.cleaning import clean, flatten
 from opinara.operators.enrich import Analyzer, LexiconAnalyzer, run_metrics
 from opinara.operators.intake import cap_records, split_valid
+from opinara.operators.kpi import TOP_N
 from opinara.plans.summary import summarize
 from opinara.sinks import export_all
 
@@ -23,11 +24,11 @@ class Analytics(NamedTuple):
     summary: DataFrame
 
 
-def analytics(analyzed: DataFrame, granularity: str = "day") -> Analytics:
+def analytics(analyzed: DataFrame, granularity: str = "day", top_n: int = TOP_N) -> Analytics:
     """Clean table and one-row summary of analyzed reviews."""
     flat = flatten(analyzed)
     kept = clean(flat)
-    return Analytics(kept, summarize(kept, flat, granularity))
+    return Analytics(kept, summarize(kept, flat, granularity, top_n))
 
 
 class EmptyRun(RuntimeError):

@@ -21,15 +21,17 @@ from opinara.schemas import ANOMALY, SERIES
 _TOPIC, _COMPETITOR, _PERIOD, _TOTAL, _SPAM = "topic", "competitor", "period", "total", "spam"
 
 
-def summarize(clean: DataFrame, raw: DataFrame | None = None, granularity: str = "day") -> DataFrame:
-    """One-row summary of a clean table; ``raw`` is where spam is counted."""
+def summarize(
+    clean: DataFrame, raw: DataFrame | None = None, granularity: str = "day", top_n: int = TOP_N
+) -> DataFrame:
+    """One-row summary of a clean table with its ``top_n`` topics and competitors; ``raw`` is where spam is counted."""
     facts = _facts(clean, granularity)
     if raw is not None and "is_spam_or_fake" in raw.columns:
         spam = raw.filter(F.coalesce(F.col("is_spam_or_fake"), F.lit(False)))
         facts = facts.unionByName(
             spam.select(F.lit(_SPAM).alias("section"), F.lit("").alias("key")), allowMissingColumns=True
         )
-    return _document(_mark_alerts(_keep_top(_count(facts))))
+    return _document(_mark_alerts(_keep_top(_count(facts), top_n)))
 
 
 def _facts(df: DataFrame, granularity: str) -> DataFrame:
@@ -96,8 +98,8 @@ def _count(facts: DataFrame) -> DataFrame:
     )
 
 
-def _keep_top(counted: DataFrame) -> DataFrame:
-    """Ten topics and ten competitors; all rows of the other sections.
+def _keep_top(counted: DataFrame, top_n: int) -> DataFrame:
+    """The first topics and competitors; all rows of the other sections.
 
     Every row of an unlimited section is a group of its own, so one rank limit
     serves all and Spark applies it before the exchange.
@@ -105,7 +107,7 @@ def _keep_top(counted: DataFrame) -> DataFrame:
     limited = F.col("section").isin(_TOPIC, _COMPETITOR)
     group = F.when(limited, F.lit("")).otherwise(F.col("key"))
     place = Window.partitionBy("section", group).orderBy(F.desc("n"), F.asc("key"))
-    return counted.withColumn("place", F.row_number().over(place)).filter(F.col("place") <= TOP_N)
+    return counted.withColumn("place", F.row_number().over(place)).filter(F.col("place") <= top_n)
 
 
 def _mark_alerts(rows: DataFrame) -> DataFrame:

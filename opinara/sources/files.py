@@ -2,15 +2,16 @@
 
 Each reader returns rows ready for ``operators.intake.check_raw``: malformed
 records stay in, with the reason in ``errors``, so that good plus rejected
-rows always add up to the input. ``ingest_seq`` grows in file order; store it
-with the rows, later steps (deduplication, packing, caps) rely on it.
+rows always add up to the input. ``ingest_seq`` counts the records from 0 by
+file path and place in the file, whatever the sizes of files and splits; store
+it with the rows, later steps (deduplication, packing, caps) rely on it.
 """
 
 from __future__ import annotations
 
 from pathlib import PurePosixPath
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinara.operators.intake import check_raw
@@ -28,41 +29,85 @@ def load_records(spark: SparkSession, path: str, now: Column | None = None, **op
     return check_raw(readers[suffix](spark, path, **options), now)
 
 
+# --- input order -------------------------------------------------------------------
+
+# A table of so many splits (or files) is sent to all executors; a larger one is joined.
+BROADCAST_SPLITS = 1_000_000
+
+
+def _where() -> tuple[Column, Column]:
+    return F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")
+
+
+def _offsets(sizes: DataFrame, *order: str) -> DataFrame:
+    """``sizes`` with ``_before``: the rows in splits before this one. One row per split or file, never per record."""
+    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = sizes.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    return F.broadcast(placed) if sizes.count() <= BROADCAST_SPLITS else placed
+
+
+def _in_order(read: DataFrame) -> DataFrame:
+    """Rows just read, with ``_file`` and ``_block``, numbered by file path, split and place: ``_seq``.
+
+    Spark deals splits out by size, so its own row ids follow that. Within a
+    split they count the rows, which gives the place; one narrow pass counts
+    the rows of each split.
+    """
+    rows = read.withColumn("_id", F.monotonically_increasing_id())
+    sizes = rows.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
+    numbered = rows.join(_offsets(sizes, "_file", "_block"), ["_file", "_block"])
+    return numbered.withColumn("_seq", F.col("_before") + F.col("_id") - F.col("_first")).drop(
+        "_file", "_block", "_id", "_rows", "_first", "_before"
+    )
+
+
 # --- JSON ----------------------------------------------------------------------
 
 def read_json_array(spark: SparkSession, path: str) -> DataFrame:
     """One JSON array per file. A file is one row here, so an array must fit a
     task; land larger inputs as JSON lines, which split."""
     documents = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("origin"))
-    return from_json_arrays(documents)
+    sizes = documents.select("origin", F.size(_array_items(F.col("value"), F.col("origin"))).cast("long").alias("_rows"))
+    placed = documents.join(_offsets(sizes, "origin"), "origin")
+    return from_json_arrays(placed, before="_before")
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    return from_json_lines(spark.read.text(path))
+    return from_json_lines(_in_order(spark.read.text(path).select("value", *_where())), seq="_seq")
 
 
-def from_json_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """One JSON object per row; blank rows are no records."""
+def from_json_lines(lines: DataFrame, value: str = "value", seq: str | None = None) -> DataFrame:
+    """One JSON object per row; blank rows are no records. ``seq`` names the column of their order."""
     text = F.col(value)
+    order = F.col(seq) if seq else F.monotonically_increasing_id()
     return _from_items(
-        lines.filter(F.trim(text) != "").select(F.try_parse_json(text).alias("item"), text.alias("text"))
+        lines.withColumn("_order", order).filter(F.trim(text) != "")
+        .select(F.try_parse_json(text).alias("item"), text.alias("text"), F.col("_order").alias("ingest_seq"))
     )
 
 
-def from_json_arrays(documents: DataFrame, value: str = "value", origin: str = "origin") -> DataFrame:
-    """Elements of JSON array texts, each judged on its own.
-
-    Anything but an array at the top is an error. Elements are parsed one by
-    one, so a broken one costs only itself.
-    """
-    text = F.col(value)
-    items = F.coalesce(
+def _array_items(text: Column, origin: Column) -> Column:
+    return F.coalesce(
         F.from_json(text, "array<variant>"),
         # A repeated key fails the typed parse when the session forbids it.
         F.transform(F.from_json(text, "array<string>"), F.try_parse_json),
-        F.raise_error(F.concat(F.lit("JSON document must be a list: "), F.col(origin))).cast("array<variant>"),
+        F.raise_error(F.concat(F.lit("JSON document must be a list: "), origin)).cast("array<variant>"),
     )
-    return _from_items(documents.select(F.explode(items).alias("item")).withColumn("text", F.to_json("item")))
+
+
+def from_json_arrays(
+    documents: DataFrame, value: str = "value", origin: str = "origin", before: str | None = None
+) -> DataFrame:
+    """Elements of JSON array texts, each judged on its own.
+
+    Anything but an array at the top is an error. Elements are parsed one by
+    one, so a broken one costs only itself. ``before`` names the column that
+    counts the elements of the texts before this one.
+    """
+    items = F.posexplode(_array_items(F.col(value), F.col(origin))).alias("place", "item")
+    found = documents.select(*([before] if before else []), items)
+    order = F.col(before) + F.col("place") if before else F.monotonically_increasing_id()
+    return _from_items(found.withColumns({"text": F.to_json("item"), "ingest_seq": order}))
 
 
 def _from_items(items: DataFrame) -> DataFrame:
@@ -72,7 +117,7 @@ def _from_items(items: DataFrame) -> DataFrame:
         for name in ("source_id", "source_url", "raw_text", "scraped_at", "metadata")
     }
     staged = items.select(
-        F.monotonically_increasing_id().alias("ingest_seq"),
+        "ingest_seq",
         "text",
         kind.startswith("OBJECT").alias("is_object"),
         *[column.alias(f"v_{name}") for name, column in fields.items()],
@@ -113,7 +158,7 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     rows = spark.read.options(
         **_CSV, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", enforceSchema=False
     ).schema(f"{schema}, _bad string").csv(path, header=True, multiLine=multi_line)
-    return _from_csv_rows(rows, head.columns)
+    return _from_csv_rows(_in_order(rows.select(*[f"`{name}`" for name in head.columns], "_bad", *_where())), head.columns, "_seq")
 
 
 def from_csv_lines(lines: DataFrame, header: list[str], value: str = "value") -> DataFrame:
@@ -123,7 +168,7 @@ def from_csv_lines(lines: DataFrame, header: list[str], value: str = "value") ->
     return _from_csv_rows(lines.select(F.from_csv(F.col(value), schema, options).alias("r")).select("r.*"), header)
 
 
-def _from_csv_rows(rows: DataFrame, header: list[str]) -> DataFrame:
+def _from_csv_rows(rows: DataFrame, header: list[str], seq: str | None = None) -> DataFrame:
     # A short row is padded with nulls and judged by the length rules; a row with
     # more cells than the header is malformed. Spark flags both.
     wide = ", ".join(f"`{name}` string" for name in [*header, "_more"])
@@ -143,7 +188,7 @@ def _from_csv_rows(rows: DataFrame, header: list[str]) -> DataFrame:
         F.lit("metadata_type" if "metadata" in have else None),
     )
     return rows.select(
-        F.monotonically_increasing_id().alias("ingest_seq"),
+        (F.col(seq) if seq else F.monotonically_increasing_id()).alias("ingest_seq"),
         cell("source_id").alias("source_id"),
         cell("source_url").alias("source_url"),
         F.coalesce(cell("raw_text"), F.lit(_MISSING)).alias("raw_text"),

@@ -49,3 +49,10 @@ def test_many_tiny_records_cross_several_chunks(spark):
 def test_nothing_in_nothing_out(spark):
     empty = spark.createDataFrame([], "ingest_seq long, cost long")
     assert pack_batches(empty).count() == 0
+
+
+def test_ids_with_wide_gaps(spark):
+    """The ids of many input splits: a few rows each, 2**33 apart."""
+    rng = random.Random(3)
+    seqs = [(part << 33) + place for part in range(40) for place in range(rng.randrange(1, 9))]
+    _check(spark, seqs, [rng.randint(50, 2500) for _ in seqs])

@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from opinara.operators.intake import cap_records, split_valid
-from opinara.sources import html, landing
+from opinara.sources import files, html, landing
 from opinara.sources.files import load_records
 
 GOOD = "a review text that is long enough"
@@ -178,3 +178,25 @@ def test_nested_cards(spark):
     # Nothing closes the first card before the second starts, so the second lies inside it.
     got = [(r["text"], r["tag"]) for r in rows(html.extract_cards(pages, spec).orderBy("card_no"))]
     assert got == [("onetwo", None), ("two", None), ("three", "x")]
+
+
+@pytest.mark.parametrize("split", ["128m", "20k", "3k"])
+def test_input_order_of_unequal_files(spark, tmp_path, split):
+    sizes = {"a": 3, "b": 2000, "c": 5}
+    for name, size in sizes.items():
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(json.dumps({"source_id": f"{name}{i}", "raw_text": GOOD}) for i in range(size)) + "\n")
+        (tmp_path / f"{name}.csv").write_text("source_id,raw_text\n" + "".join(f"{name}{i},{GOOD}\n" for i in range(size)))
+        (tmp_path / f"{name}.json").write_text(json.dumps([{"source_id": f"{name}{i}", "raw_text": GOOD} for i in range(size)]))
+    want = [f"{name}{i}" for name, size in sizes.items() for i in range(size)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        for found in (
+            files.read_json_lines(spark, str(tmp_path / "*.jsonl")),
+            files.read_csv(spark, str(tmp_path / "*.csv"), multi_line=False),
+            files.read_json_array(spark, str(tmp_path / "*.json")),
+        ):
+            got = sorted((r["ingest_seq"], r["source_id"]) for r in found.select("ingest_seq", "source_id").collect())
+            assert [name for _, name in got] == want and [seq for seq, _ in got] == list(range(len(want)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
