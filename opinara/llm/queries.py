@@ -120,4 +120,41 @@ SELECT conv_id, n_turns, turns_sha256, length(learned) AS loss_chars, sha256(lea
     regexp_full_match(roles, 's?(ua)*u?') AS valid
 FROM conversation
 """
-ORACLES: dict[str, str] = {"op7_chat_formatting": CHAT_SQL}
+# All deletion variants of all lines, spelled out; document ids are unique here.
+LINES_SQL = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS n
+    FROM documents
+),
+worded AS (
+    SELECT doc_id, n, line, list_filter(string_split_regex(line, '[ \t\x0B\f\r]+'), lambda w: w <> '') AS words FROM lines
+),
+plain AS (SELECT *, array_to_string(words, ' ') AS plain, {'d': doc_id, 'n': n} AS place FROM worded WHERE len(words) > 0),
+firsts AS (SELECT plain, any_value(words) AS words, min(place) AS early FROM plain GROUP BY plain),
+cut AS (SELECT plain, words, early, unnest(range(1, len(words) + 1)) AS p FROM firsts WHERE len(words) >= 10),
+changed AS (
+    SELECT plain, early, array_to_string(words[1:p - 1] || [chr(1)] || words[p + 1:], ' ') AS variant FROM cut
+),
+shorter AS (
+    SELECT DISTINCT plain, early, array_to_string(words[1:p - 1] || words[p + 1:], ' ') AS variant FROM cut WHERE len(words) > 10
+),
+added AS (
+    SELECT s.plain AS long, f.plain AS short, s.early AS long_early, f.early AS short_early
+    FROM shorter s JOIN firsts f ON s.variant = f.plain
+),
+gone AS (
+    SELECT plain FROM (SELECT plain, early, min(early) OVER (PARTITION BY variant) AS least FROM changed) WHERE early > least
+    UNION SELECT CASE WHEN long_early > short_early THEN long ELSE short END FROM added
+),
+judged AS (
+    SELECT w.doc_id, w.n, w.line, len(w.words) > 0 AS worded,
+        len(w.words) > 0 AND (g.plain IS NOT NULL OR f.early <> {'d': w.doc_id, 'n': w.n}) AS removed
+    FROM worded w LEFT JOIN firsts f ON array_to_string(w.words, ' ') = f.plain
+    LEFT JOIN gone g ON array_to_string(w.words, ' ') = g.plain
+)
+SELECT d.doc_id, coalesce(count(*) FILTER (j.worded), 0) AS n_lines, coalesce(count(*) FILTER (j.removed), 0) AS n_removed,
+    CASE WHEN any_value(d.text) IS NOT NULL
+        THEN coalesce(string_agg(j.line, chr(10) ORDER BY j.n) FILTER (NOT j.removed), '') END AS text
+FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id
+"""
+ORACLES: dict[str, str] = {"op6_line_dedup": LINES_SQL, "op7_chat_formatting": CHAT_SQL}

@@ -4,11 +4,13 @@ import sys
 from pathlib import Path
 
 import pytest
+from compare import both, connect
 
 sys.path.insert(0, str(Path(__file__).parent))
 from llm_data import ODD, documents, words
 
 from opinara.llm.line_dedup import MIN_WORDS, dedup_lines
+from opinara.llm.queries import ORACLES, QUERIES
 
 
 def split(line):
@@ -84,3 +86,9 @@ def test_repeated_rows_and_null_keys(spark):
 
 def test_empty_table(spark):
     assert dedup_lines(documents(spark, [])).count() == 0
+
+
+def test_equals_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    ours, theirs = both(spark, connect(folder), QUERIES["op6_line_dedup"], ORACLES["op6_line_dedup"], folder)
+    assert ours == theirs
