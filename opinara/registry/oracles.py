@@ -287,6 +287,8 @@ ORACLES["e11_scalar_kpis"] = f"""
 ORACLES["e12_spam_excluded"] = f"{_REVIEWS} SELECT count(*) FILTER (is_spam_or_fake) AS spam_excluded FROM reviews"
 _COUNTS = """counts AS (
   SELECT 'sentiment' AS dimension, sentiment AS value, count(*) AS count FROM cleaned GROUP BY sentiment
+  UNION ALL SELECT 'product_category', product_category, count(*) FROM cleaned GROUP BY product_category
+  UNION ALL SELECT 'language_detected', language_detected, count(*) FROM cleaned GROUP BY language_detected
   UNION ALL SELECT 'data_quality', data_quality, count(*) FROM cleaned GROUP BY data_quality)"""
 ORACLES["e13_distributions"] = f"{_CLEAN}, {_COUNTS} SELECT * FROM counts"
 
@@ -305,6 +307,8 @@ SELECT {_SCALARS},
   count(*) FILTER (urgency_level = 'high') AS high_urgency_count,
   {_pairs("(SELECT * FROM counts WHERE dimension = 'sentiment')")} AS sentiment_distribution,
   {_pairs("(SELECT * FROM counts WHERE dimension = 'data_quality')")} AS data_quality_distribution,
+  {_pairs("(SELECT * FROM counts WHERE dimension = 'product_category')")} AS category_distribution,
+  {_pairs("(SELECT * FROM counts WHERE dimension = 'language_detected')")} AS language_distribution,
   {_pairs('competitors')} AS competitor_mentions,
   (SELECT string_agg(printf('%s=%d/%.3f', topic, count, avg_sentiment), ';' ORDER BY count DESC, topic) FROM topics) AS top_topics,
   (SELECT string_agg(printf('%s:%d/%.4f', period, review_count, avg_sentiment), ';' ORDER BY period) FROM series) AS time_series_data,
@@ -325,35 +329,45 @@ ORACLES["e16_report_periods"] = f"{_DAILY} SELECT {_SERIES} FROM series ORDER BY
 # --- F -----------------------------------------------------------------------------
 
 ORACLES["f1_export_columns"] = f"""
-{_CLEAN} SELECT source_id, product_name, sentiment, sentiment_score, confidence_score, reviewer_rating, urgency_level,
+{_CLEAN} SELECT source_id, product_name, product_category, language_detected, sentiment, sentiment_score, confidence_score, reviewer_rating, urgency_level,
   array_to_string(key_topics, '|') AS key_topics_str, array_to_string(mentioned_competitors, '|') AS mentioned_competitors,
   data_quality, is_spam_or_fake FROM cleaned"""
 ORACLES["f2_json_records"] = f"""
-{_CLEAN} SELECT source_id, product_name, sentiment, sentiment_score, confidence_score, reviewer_rating, urgency_level,
+{_CLEAN} SELECT source_id, product_name, product_category, language_detected, sentiment, sentiment_score, confidence_score, reviewer_rating, urgency_level,
   array_to_string(key_topics, '|') AS key_topics_str, array_to_string(mentioned_competitors, '|') AS mentioned_competitors,
   data_quality, 'false' AS is_spam_or_fake, confidence_score IS NULL AS confidence_score_blank,
   reviewer_rating IS NULL AS reviewer_rating_blank FROM cleaned"""
 ORACLES["f3_csv_records"] = f"""
-{_CLEAN} SELECT source_id, product_name, sentiment, printf('%.4f', sentiment_score) AS sentiment_score,
+{_CLEAN} SELECT source_id, product_name, product_category, language_detected, sentiment, printf('%.4f', sentiment_score) AS sentiment_score,
   CASE WHEN confidence_score IS NOT NULL THEN printf('%.4f', confidence_score) END AS confidence_score,
   CASE WHEN reviewer_rating IS NOT NULL THEN printf('%.4f', reviewer_rating) END AS reviewer_rating, urgency_level,
   array_to_string(key_topics, '|') AS key_topics_str, array_to_string(mentioned_competitors, '|') AS mentioned_competitors,
   data_quality, 'False' AS is_spam_or_fake FROM cleaned"""
 _TOTAL = "(SELECT count(*) FROM cleaned)"
 _LABEL = list(KPI_LABELS.values())
+_FIXED = [
+    "CAST(count(*) AS VARCHAR) AS value FROM cleaned",
+    "CAST(count(*) FILTER (data_quality = 'high') AS VARCHAR) FROM cleaned",
+    "CAST(count(*) FILTER (is_spam_or_fake) AS VARCHAR) FROM reviews",
+    f"printf('%+.4f', {exact(mean('sentiment_score'), 4)}) FROM cleaned",
+    f"printf('%.2f/5.0', {exact(mean('reviewer_rating'), 2)}) FROM cleaned",
+    f"printf('%.1f%%', {exact(exact(mean('confidence_score'), 4) + ' * 100', 1)}) FROM cleaned",
+    "'0'",
+    "CAST(count(*) FILTER (urgency_level = 'critical') AS VARCHAR) FROM cleaned",
+    "CAST(count(*) FILTER (urgency_level = 'high') AS VARCHAR) FROM cleaned",
+]
+_CAPITALS = "upper(word[1]) || word[2:]"
+_TITLE = f"array_to_string(list_transform(string_split(value, '_'), lambda word: {_CAPITALS}), ' ')"
 ORACLES["f4_kpi_table"] = f"""
-{_CLEAN}, {_COUNTS}
-SELECT '{_LABEL[0]}' AS label, CAST(count(*) AS VARCHAR) AS value FROM cleaned
-UNION ALL SELECT '{_LABEL[1]}', CAST(count(*) FILTER (data_quality = 'high') AS VARCHAR) FROM cleaned
-UNION ALL SELECT '{_LABEL[2]}', CAST(count(*) FILTER (is_spam_or_fake) AS VARCHAR) FROM reviews
-UNION ALL SELECT '{_LABEL[3]}', printf('%+.4f', {exact(mean('sentiment_score'), 4)}) FROM cleaned
-UNION ALL SELECT '{_LABEL[4]}', printf('%.2f/5.0', {exact(mean('reviewer_rating'), 2)}) FROM cleaned
-UNION ALL SELECT '{_LABEL[5]}', printf('%.1f%%', {exact(exact(mean('confidence_score'), 4) + ' * 100', 1)}) FROM cleaned
-UNION ALL SELECT '{_LABEL[6]}', '0'
-UNION ALL SELECT '{_LABEL[7]}', CAST(count(*) FILTER (urgency_level = 'critical') AS VARCHAR) FROM cleaned
-UNION ALL SELECT '{_LABEL[8]}', CAST(count(*) FILTER (urgency_level = 'high') AS VARCHAR) FROM cleaned
-UNION ALL SELECT upper(value[1]) || value[2:], printf('%d (%.1f%%)', count, {exact(f'count / CAST({_TOTAL} AS DOUBLE) * 100', 1)})
-  FROM counts WHERE dimension = 'sentiment'"""
+{_CLEAN}, {_COUNTS}, listed AS (
+  SELECT *, row_number() OVER (PARTITION BY dimension ORDER BY count DESC, value) AS place FROM counts)
+""" + " UNION ALL ".join(
+    f"SELECT {place} AS position, '{_LABEL[place]}' AS label, {value}" for place, value in enumerate(_FIXED)
+) + f"""
+UNION ALL SELECT 8 + place, {_TITLE}, printf('%d (%.1f%%)', count, {exact(f'count / CAST({_TOTAL} AS DOUBLE) * 100', 1)})
+  FROM listed WHERE dimension = 'sentiment'
+UNION ALL SELECT 8 + place + (SELECT count(*) FROM counts WHERE dimension = 'sentiment'), {_TITLE}, CAST(count AS VARCHAR)
+  FROM listed WHERE dimension = 'product_category'"""
 ORACLES["f5_sentiment_table"] = f"""
 {_CLEAN}, {_COUNTS} SELECT upper(value[1]) || value[2:] AS sentiment, count,
   {exact(f'count / CAST({_TOTAL} AS DOUBLE)', 4)} AS share FROM counts WHERE dimension = 'sentiment'"""

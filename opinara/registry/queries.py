@@ -590,7 +590,8 @@ def _tidy_summary(summary: DataFrame) -> DataFrame:
     return summary.select(
         "total_reviews_analyzed", "high_quality_reviews", "spam_excluded", "average_sentiment_score", "average_rating",
         "average_confidence", "action_required_count", "critical_urgency_count", "high_urgency_count",
-        _pairs("sentiment_distribution"), _pairs("data_quality_distribution"), _pairs("competitor_mentions"),
+        _pairs("sentiment_distribution"), _pairs("category_distribution"), _pairs("language_distribution"),
+        _pairs("data_quality_distribution"), _pairs("competitor_mentions"),
         F.array_join(topic, ";").alias("top_topics"), F.array_join(point, ";").alias("time_series_data"),
         F.array_join(alert, ";").alias("anomaly_details"), "anomaly_detected",
     )
@@ -644,7 +645,7 @@ def _(spark, folder):
 
 @query("f4_kpi_table")
 def _(spark, folder):
-    return sinks.kpi_table(analytics(views.reviews(spark, folder)).summary).select("label", "value")
+    return sinks.kpi_table(analytics(views.reviews(spark, folder)).summary)
 
 
 @query("f5_sentiment_table")

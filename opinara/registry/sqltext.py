@@ -46,6 +46,8 @@ REVIEWS = f"""reviews AS (
     'product_' || CAST(user_id % 20 AS VARCHAR) AS product_name,
     CASE WHEN event_id % 89 = 0 THEN NULL WHEN event_type = 'error' THEN ' Negative'
       WHEN event_type = 'view' THEN 'neutral' WHEN event_type = 'click' THEN 'mixed' ELSE 'positive' END AS sentiment,
+    CASE event_id % 6 WHEN 0 THEN ' Books' WHEN 1 THEN 'home_garden' ELSE 'beauty' END AS product_category,
+    CASE WHEN event_id % 4 = 0 THEN ' EN' ELSE 'tr' END AS language_detected,
     {exact('(value - 50) / 50', 4)} AS sentiment_score,
     CASE WHEN event_id % 97 = 0 THEN NULL ELSE ((event_id * 37) % 101) / CAST(100 AS DOUBLE) END AS confidence_score,
     CASE WHEN event_id % 8 = 7 THEN NULL ELSE CAST(event_id % 7 AS DOUBLE) END AS reviewer_rating,
@@ -67,6 +69,7 @@ USABLE = """usable AS (
 
 CLEAN = f"""{REVIEWS}, {USABLE}, cleaned AS (
   SELECT ingest_seq, source_id, product_name, lower(trim(sentiment)) AS sentiment,
+    lower(trim(product_category)) AS product_category, lower(trim(language_detected)) AS language_detected,
     CASE WHEN sentiment_score > 1 THEN 1.0 WHEN sentiment_score < -1 THEN -1.0 ELSE sentiment_score END AS sentiment_score,
     confidence_score,
     CASE WHEN reviewer_rating BETWEEN 1 AND 5 THEN reviewer_rating END AS reviewer_rating,

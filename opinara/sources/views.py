@@ -25,6 +25,8 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
         F.when(eid % 89 == 0, F.lit(None))
         .when(kind == "error", " Negative").when(kind == "view", "neutral")
         .when(kind == "click", "mixed").otherwise("positive").alias("sentiment"),
+        F.when(eid % 6 == 0, " Books").when(eid % 6 == 1, "home_garden").otherwise("beauty").alias("product_category"),
+        F.when(eid % 4 == 0, " EN").otherwise("tr").alias("language_detected"),
         round_exact((value - 50) / 50, 4).alias("sentiment_score"),
         F.when(eid % 97 != 0, (eid * 37) % 101 / 100).alias("confidence_score"),
         F.when(eid % 8 != 7, (eid % 7).cast("double")).alias("reviewer_rating"),
