@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.operators.cleaning import clean, flatten
@@ -24,11 +24,13 @@ class Analytics(NamedTuple):
     summary: DataFrame
 
 
-def analytics(analyzed: DataFrame, granularity: str = "day", top_n: int = TOP_N) -> Analytics:
+def analytics(
+    analyzed: DataFrame, granularity: str = "day", top_n: int = TOP_N, report_id: str | None = None, now: Column | None = None
+) -> Analytics:
     """Clean table and one-row summary of analyzed reviews."""
     flat = flatten(analyzed)
     kept = clean(flat)
-    return Analytics(kept, summarize(kept, flat, granularity, top_n))
+    return Analytics(kept, summarize(kept, flat, granularity, top_n, report_id, now))
 
 
 class EmptyRun(RuntimeError):
@@ -80,7 +82,7 @@ def run(
 
     flat = flatten(result.analyzed)
     kept = store(clean(flat), "clean")
-    summary = store(summarize(kept, flat, granularity), "summary")
+    summary = store(summarize(kept, flat, granularity, report_id=f"report_{moment:%Y%m%d%H%M%S}", now=F.lit(moment)), "summary")
     paths = export_all(kept, summary, folder, formats, moment)
 
     record = run_record(metrics, summary, paths, time.monotonic() - started)

@@ -22,16 +22,29 @@ _TOPIC, _COMPETITOR, _PERIOD, _TOTAL, _SPAM = "topic", "competitor", "period", "
 
 
 def summarize(
-    clean: DataFrame, raw: DataFrame | None = None, granularity: str = "day", top_n: int = TOP_N
+    clean: DataFrame,
+    raw: DataFrame | None = None,
+    granularity: str = "day",
+    top_n: int = TOP_N,
+    report_id: str | None = None,
+    now: Column | None = None,
 ) -> DataFrame:
-    """One-row summary of a clean table with its ``top_n`` topics and competitors; ``raw`` is where spam is counted."""
+    """One-row summary of a clean table with its ``top_n`` topics and competitors; ``raw`` is where spam is counted.
+
+    Without a ``report_id`` it gets a random one; the report of nothing is called "empty".
+    """
     facts = _facts(clean, granularity)
     if raw is not None and "is_spam_or_fake" in raw.columns:
         spam = raw.filter(F.coalesce(F.col("is_spam_or_fake"), F.lit(False)))
         facts = facts.unionByName(
             spam.select(F.lit(_SPAM).alias("section"), F.lit("").alias("key")), allowMissingColumns=True
         )
-    return _document(_mark_alerts(_keep_top(_count(facts), top_n)))
+    document = _document(_mark_alerts(_keep_top(_count(facts), top_n)))
+    name = F.lit(report_id) if report_id else F.uuid()
+    return document.withColumns({
+        "report_id": F.when(F.col("total_reviews_analyzed") == 0, "empty").otherwise(name),
+        "generated_at": F.current_timestamp() if now is None else now,
+    })
 
 
 def _facts(df: DataFrame, granularity: str) -> DataFrame:

@@ -297,7 +297,7 @@ def _pairs(counts: str) -> str:
     return f"(SELECT string_agg(value || '=' || CAST(count AS VARCHAR), ';' ORDER BY count DESC, value) FROM {counts})"
 
 
-def _tidy(ctes: str) -> str:
+def _tidy(ctes: str, more: str = "") -> str:
     return f"""
 WITH {ctes}, {alerts(2.0)}, {TOPICS}, {COMPETITORS}, {_COUNTS}
 SELECT {_SCALARS},
@@ -314,11 +314,11 @@ SELECT {_SCALARS},
   (SELECT string_agg(printf('%s:%d/%.4f', period, review_count, avg_sentiment), ';' ORDER BY period) FROM series) AS time_series_data,
   (SELECT coalesce(string_agg(printf('%s %s %.3f %s', metric, period, z_score, severity), ';' ORDER BY m, period), '') FROM alerts)
     AS anomaly_details,
-  (SELECT count(*) > 0 FROM alerts) AS anomaly_detected
+  (SELECT count(*) > 0 FROM alerts) AS anomaly_detected{more}
 FROM cleaned"""
 
 
-ORACLES["e14_summary_document"] = _tidy(DAILY)
+ORACLES["e14_summary_document"] = _tidy(DAILY, ", 'r1' AS report_id, '2024-01-01 00:00:00' AS generated_at")
 _SHARE = "count / CAST(sum(count) OVER (PARTITION BY dimension) AS DOUBLE)"
 ORACLES["e15_shares"] = f"""
 {_CLEAN}, {_COUNTS} SELECT dimension, value, count, {exact(_SHARE, 4)} AS share,

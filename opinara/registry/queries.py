@@ -582,7 +582,7 @@ def _pairs(column: str):
     ).alias(column)
 
 
-def _tidy_summary(summary: DataFrame) -> DataFrame:
+def _tidy_summary(summary: DataFrame, *more) -> DataFrame:
     """The nested document with its lists and maps as text."""
     topic = F.transform("top_topics", lambda t: F.format_string("%s=%d/%.3f", t["topic"], t["count"], t["avg_sentiment"]))
     alert = F.transform("anomaly_details", lambda a: F.format_string("%s %s %.3f %s", a["metric"], a["period"], a["z_score"], a["severity"]))
@@ -593,13 +593,14 @@ def _tidy_summary(summary: DataFrame) -> DataFrame:
         _pairs("sentiment_distribution"), _pairs("category_distribution"), _pairs("language_distribution"),
         _pairs("data_quality_distribution"), _pairs("competitor_mentions"),
         F.array_join(topic, ";").alias("top_topics"), F.array_join(point, ";").alias("time_series_data"),
-        F.array_join(alert, ";").alias("anomaly_details"), "anomaly_detected",
+        F.array_join(alert, ";").alias("anomaly_details"), "anomaly_detected", *more,
     )
 
 
 @query("e14_summary_document")
 def _(spark, folder):
-    return _tidy_summary(analytics(views.reviews(spark, folder)).summary)
+    summary = analytics(views.reviews(spark, folder), report_id="r1", now=_now()).summary
+    return _tidy_summary(summary, "report_id", F.date_format("generated_at", "yyyy-MM-dd HH:mm:ss").alias("generated_at"))
 
 
 @query("e15_shares")

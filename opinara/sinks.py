@@ -157,8 +157,12 @@ def write_json(clean: DataFrame, summary: DataFrame, path: str) -> str:
     """Folder with ``records``, ``summary`` and ``meta``; records stay distributed."""
     json_records(clean).write.mode("overwrite").json(f"{path}/records")
     summary.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/summary")
-    meta = clean.agg(F.count(F.lit(1)).alias("total_records")).select(
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("exported_at"), "total_records"
+    # Two rows, folded into one.
+    both = clean.agg(F.count(F.lit(1)).alias("total_records")).unionByName(
+        summary.select([name for name in ("report_id",) if name in summary.columns]), allowMissingColumns=True
+    )
+    meta = both.agg(*[F.max(name).alias(name) for name in both.columns]).withColumn(
+        "exported_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     )
     meta.write.mode("overwrite").json(f"{path}/meta")
     return path

@@ -156,7 +156,7 @@ def test_headings_and_names():
 
 
 def test_exports_read_back(spark, sample, tmp_path):
-    done = analytics(check_analyzed(sample).drop("errors"))
+    done = analytics(check_analyzed(sample).drop("errors"), report_id="r1")
     paths = sinks.export_all(done.clean, done.summary, str(tmp_path), ("json", "csv", "kpi"))
     assert sorted(paths) == ["csv", "json", "kpi"] and all(paths.values())
     table = spark.read.csv(paths["csv"], header=True)
@@ -167,7 +167,9 @@ def test_exports_read_back(spark, sample, tmp_path):
     lines = [json.loads(r["value"]) for r in rows(spark.read.text(paths["json"] + "/records"))]
     assert {r["source_id"]: r["reviewer_rating"] for r in lines} == {"r1": 5.0, "r2": 2.0, "r3": 1.0, "r4": 4.0, "r5": ""}
     assert spark.read.json(paths["json"] + "/summary").first()["total_reviews_analyzed"] == 5
-    assert spark.read.json(paths["json"] + "/meta").first()["total_records"] == 5
+    meta = spark.read.json(paths["json"] + "/meta").first()
+    assert meta["total_records"] == 5 and meta["report_id"] == "r1"
+    assert analytics(sample.limit(0), report_id="r").summary.first()["report_id"] == "empty"
     assert spark.read.csv(paths["kpi"] + "/sentiment", header=True).count() == 3
 
 
