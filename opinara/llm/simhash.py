@@ -9,7 +9,7 @@ No pair within the radius is missed, whatever the data.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -139,9 +139,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(
+    docs: DataFrame, key: str = "doc_id", text: str = "text",
+    grouped: Callable[[DataFrame, str, str], DataFrame] = near_duplicates,
+) -> DataFrame:
     """The rows of ``docs`` that stay when each group of near-duplicates keeps the row of its smallest key.
 
+    ``grouped`` names the groups: it gives the key and a component_id of every row.
     ``key`` is an integer column. Rows with the same key are one document, of
     which the row with the smallest text stays (null texts last). A row without
     a key stands under a number made from its text, larger than usual keys, so
@@ -153,7 +157,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     own, words = (marked[f"c{names.index(name)}"] for name in (key, text))
     spare = F.shiftrightunsigned(F.xxhash64(words), 2) + F.lit(1 << 62)
     marked = marked.withColumn("id", F.coalesce(own.cast("long"), spare))
-    classes = near_duplicates(marked, "id", f"c{names.index(text)}")
+    classes = grouped(marked, "id", f"c{names.index(text)}")
     stay = classes.filter("id = component_id").select("id").distinct()
     order = F.struct(words.isNull(), words)
     whole = F.struct(*[f"c{number}" for number in range(len(names))])
