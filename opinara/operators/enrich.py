@@ -176,8 +176,11 @@ def split_analyzed(checked: DataFrame, stage: str = "analyzed") -> Enriched:
     """Rows that keep the contract, and the others: as failed inputs and as REJECT rows.
 
     A column ``_text`` holds the answer as it came; without it, the reject
-    table shows the columns as they were read.
+    table shows the columns as they were read. The checked rows are stored
+    once: a filter on ``errors`` would otherwise be pushed below them and carry
+    a copy of every expression that the rules are made of, scorer included.
     """
+    checked = materialize(checked)
     text = "_text" in checked.columns
     good = F.size("errors") == 0
     bad = checked.filter(~good)

@@ -16,6 +16,7 @@ from opinara.operators.enrich import Analyzer, LexiconAnalyzer, run_metrics
 from opinara.operators.intake import cap_records, split_valid
 from opinara.operators.kpi import TOP_N
 from opinara.plans.summary import summarize
+from opinara.session import checkpoint_folder
 from opinara.sinks import export_all
 
 
@@ -53,6 +54,7 @@ def run(
     stage in progress.
     """
     spark = checked.sparkSession
+    checkpoint_folder(spark, f"{folder}/checkpoints")
     analyzer = analyzer or LexiconAnalyzer()
     moment = moment or datetime.now(timezone.utc)
     started = time.monotonic()

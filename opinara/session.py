@@ -36,14 +36,20 @@ def configure(spark: SparkSession) -> SparkSession:
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage with a reliable checkpoint.
 
-    Used where a result is both expensive (external calls) and read several
-    times. The files go to the folder the cluster names in
+    Used where a result is both expensive (external calls, the record rules)
+    and read several times. The files go to the folder the cluster names in
     ``spark.checkpoint.dir``, which has to be set.
     """
-    context = df.sparkSession.sparkContext
+    checkpoint_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def checkpoint_folder(spark: SparkSession, otherwise: str | None = None) -> str:
+    """The folder of ``spark.checkpoint.dir``; a session without one gets ``otherwise``, which all executors have to see."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = context.getConf().get("spark.checkpoint.dir")
+        shared = context.getConf().get("spark.checkpoint.dir") or otherwise
         if shared is None:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(shared)
-    return df.checkpoint(eager=True)
+    return context.getCheckpointDir()

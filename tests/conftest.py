@@ -15,12 +15,13 @@ SUMMARY = "A fixed summary text for tests."
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("opinara-tests", "local[4]", **{
         "spark.sql.shuffle.partitions": "4",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "6g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session

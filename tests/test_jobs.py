@@ -199,3 +199,10 @@ def test_full_run(spark, tmp_path):
 def test_empty_run_is_an_error(spark, tmp_path):
     with pytest.raises(EmptyRun):
         run(raw(spark, ["short"]), str(tmp_path / "out"))
+
+
+def test_scorer_stays_out_of_the_plans_of_its_results(spark):
+    result = LexiconAnalyzer().enrich(split_valid(raw(spark, TEXTS), "raw")[0])
+    for part in (result.analyzed, result.failed, result.rejects):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") == 0 and len(plan) < 20_000
