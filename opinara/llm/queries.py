@@ -14,6 +14,7 @@ from opinara.llm.html_extract import extract_pages, learn, training_pages
 from opinara.llm.langid import identify, training_sample
 from opinara.llm.line_dedup import dedup_lines
 from opinara.llm.lm import score_texts
+from opinara.llm.mixing import mix
 from opinara.llm.packing import pack
 from opinara.llm.quality import quality_rules
 from opinara.llm.simhash import near_duplicates
@@ -80,6 +81,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
 
 
+def op11_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents")).select("doc_id", "size", "source", "source_size", "target", "copies", "taken")
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_decontamination": op2_decontamination,
@@ -91,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_source_mixing": op11_source_mixing,
 }
 # Written from the contract: lengths of the marks, the escaped texts, and the machine's steps.
 CHAT_SQL = r"""
@@ -157,4 +163,61 @@ SELECT d.doc_id, coalesce(count(*) FILTER (j.worded), 0) AS n_lines, coalesce(co
         THEN coalesce(string_agg(j.line, chr(10) ORDER BY j.n) FILTER (NOT j.removed), '') END AS text
 FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id
 """
-ORACLES: dict[str, str] = {"op6_line_dedup": LINES_SQL, "op7_chat_formatting": CHAT_SQL}
+# The level of words per weight is found by trying every source as the first free one; ranks are summed in one sort.
+MIX_SQL = r"""
+WITH sized AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+        (('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 13))::BIGINT + CAST(0.5 AS DOUBLE))
+            / CAST(4503599627370496 AS DOUBLE) AS u
+    FROM documents
+),
+sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS words,
+        [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS weight
+    FROM sized GROUP BY source
+),
+tried AS (
+    SELECT s.source, s.words * 3 AS bound, s.weight, s.words,
+        (CAST((SELECT sum(words) FROM sources) AS DOUBLE) - coalesce(sum(3 * o.words) FILTER (o.source IS NOT NULL OR o.words IS NOT NULL), 0))
+            / ((SELECT sum(weight) FROM sources) - coalesce(sum(o.weight), 0)) AS level
+    FROM sources s LEFT JOIN sources o ON o.words * CAST(3 AS DOUBLE) / o.weight < s.words * CAST(3 AS DOUBLE) / s.weight
+        OR (o.words * CAST(3 AS DOUBLE) / o.weight = s.words * CAST(3 AS DOUBLE) / s.weight
+            AND coalesce(o.source < s.source, o.source IS NOT NULL))
+    GROUP BY s.source, s.words, s.weight
+),
+levelled AS (SELECT arg_min(level, bound / CAST(weight AS DOUBLE)) FILTER (level * weight <= bound) AS level FROM tried),
+aimed AS (
+    SELECT source, words, least(CAST(bound AS DOUBLE), coalesce(l.level * weight, CAST(bound AS DOUBLE))) AS target
+    FROM tried, levelled l
+),
+planned AS (
+    SELECT *, target - whole * words AS room, ratio - whole AS p FROM (
+        SELECT *, CAST(floor(ratio) AS BIGINT) AS whole FROM (
+            SELECT *, CASE WHEN words > 0 THEN target / words ELSE 0 END AS ratio FROM aimed))
+),
+ranked AS (
+    SELECT s.*, p.words, p.target, p.whole, p.room,
+        CASE WHEN p.p > 0 AND s.size <= p.room THEN (u / (1 - u)) / (p.p / (1 - p.p)) END AS rank
+    FROM sized s JOIN planned p ON s.source IS NOT DISTINCT FROM p.source
+),
+walked AS (
+    SELECT source, rank, room, sum(size) AS size, sum(sum(size)) OVER (PARTITION BY source, room ORDER BY rank) AS after
+    FROM ranked WHERE rank IS NOT NULL GROUP BY source, rank, room
+),
+filled AS (
+    SELECT source, coalesce(max(rank) FILTER (after <= room), -1) AS cut,
+        max(room) - coalesce(max(after) FILTER (after <= room), 0) AS missing FROM walked GROUP BY source
+),
+further AS (
+    SELECT w.source, arg_min(w.rank, {'miss': abs(w.size - f.missing), 'rank': w.rank}) AS extra
+    FROM walked w JOIN filled f ON w.source IS NOT DISTINCT FROM f.source
+    WHERE w.rank > f.cut AND abs(w.size - f.missing) < f.missing GROUP BY w.source
+),
+chosen AS (
+    SELECT r.*, CAST(r.whole + CASE WHEN coalesce(r.rank <= f.cut OR r.rank = e.extra, false) THEN 1 ELSE 0 END AS BIGINT) AS copies
+    FROM ranked r LEFT JOIN filled f ON r.source IS NOT DISTINCT FROM f.source
+    LEFT JOIN further e ON r.source IS NOT DISTINCT FROM e.source
+)
+SELECT doc_id, size, source, words AS source_size, target, copies, copies * size AS taken FROM chosen
+"""
+ORACLES: dict[str, str] = {"op6_line_dedup": LINES_SQL, "op7_chat_formatting": CHAT_SQL, "op11_source_mixing": MIX_SQL}
