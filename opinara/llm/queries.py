@@ -18,6 +18,7 @@ from opinara.llm.mixing import mix
 from opinara.llm.packing import pack
 from opinara.llm.quality import quality_rules
 from opinara.llm.simhash import near_duplicates
+from opinara.llm.spelling import spelling_variants
 from opinara.llm.toxicity import score, train
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +86,10 @@ def op11_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source", "source_size", "target", "copies", "taken")
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(table(spark, folder, "documents")).select("word", "n", "n_near", "form", "form_n", "root")
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_decontamination": op2_decontamination,
@@ -97,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
     "op11_source_mixing": op11_source_mixing,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 # Written from the contract: lengths of the marks, the escaped texts, and the machine's steps.
 CHAT_SQL = r"""
