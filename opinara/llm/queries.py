@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.llm.chat import digests, format_chats
+from opinara.llm.collocations import collocations
 from opinara.llm.common import in_part, table
 from opinara.llm.decontaminate import find_leaks, leaked_pairs
 from opinara.llm.html_extract import extract_pages, learn, training_pages
@@ -86,6 +87,10 @@ def op11_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source", "source_size", "target", "copies", "taken")
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_variants(table(spark, folder, "documents")).select("word", "n", "n_near", "form", "form_n", "root")
 
@@ -102,6 +107,7 @@ QUERIES: dict[str, Query] = {
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
     "op11_source_mixing": op11_source_mixing,
+    "op12_collocations": op12_collocations,
     "op13_spelling_variants": op13_spelling_variants,
 }
 # Written from the contract: lengths of the marks, the escaped texts, and the machine's steps.
@@ -226,4 +232,40 @@ chosen AS (
 )
 SELECT doc_id, size, source, words AS source_size, target, copies, copies * size AS taken FROM chosen
 """
-ORACLES: dict[str, str] = {"op6_line_dedup": LINES_SQL, "op7_chat_formatting": CHAT_SQL, "op11_source_mixing": MIX_SQL}
+# All phrases of up to five words, spelled out and counted.
+PHRASE_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+worded AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM worded GROUP BY lang),
+placed AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS p FROM worded),
+sized AS (SELECT lang, words, p, k FROM placed, (SELECT unnest(range(1, 6)) AS k) WHERE p + k - 1 <= len(words)),
+counted AS (
+    SELECT lang, array_to_string(words[p:p + k - 1], ' ') AS phrase, k, count(*) AS f FROM sized GROUP BY ALL HAVING count(*) >= 100
+),
+candidates AS (SELECT lang, phrase, k AS size, f AS a, string_split(phrase, ' ') AS words FROM counted WHERE k > 1),
+starts AS (SELECT *, unnest(range(1, size + 1)) AS b FROM candidates),
+inner_ AS (SELECT lang, size, a, words, b, unnest(range(b + 1, size + 1)) AS e FROM starts),
+covered AS (SELECT DISTINCT lang, array_to_string(words[b:e], ' ') AS phrase, a FROM inner_ WHERE e - b + 1 < size),
+kept AS (SELECT c.* FROM candidates c ANTI JOIN covered o ON c.lang = o.lang AND c.phrase = o.phrase AND 100 * o.a >= 100 * c.a),
+cut AS (SELECT *, unnest(range(1, size)) AS k FROM kept),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, t.n, c.k,
+        CAST((1000 * CAST(c.a AS HUGEINT) * t.n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+    FROM cut c JOIN counted x ON c.lang = x.lang AND x.phrase = array_to_string(c.words[1:c.k], ' ')
+    JOIN counted y ON c.lang = y.lang AND y.phrase = array_to_string(c.words[c.k + 1:], ' ')
+    JOIN totals t ON c.lang = t.lang
+),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+ORACLES: dict[str, str] = {
+    "op6_line_dedup": LINES_SQL,
+    "op7_chat_formatting": CHAT_SQL,
+    "op11_source_mixing": MIX_SQL,
+    "op12_collocations": PHRASE_SQL,
+}
