@@ -7,9 +7,12 @@ that holds too many phrases spills whole subtrees, largest first, as sorted
 runs of (prefix, last word, count); runs are merged by partitions of prefixes.
 
 A phrase is frequent only if what is left without its first and without its
-last word is. So a length is counted only where both parts are frequent. Tasks
-ask a Bloom filter of the frequent phrases one word shorter: it never denies
-one, and what it lets through wrongly is counted and then found infrequent.
+last word is. So a length is counted only where both parts are frequent: tasks
+ask a Bloom filter of the frequent phrases one word shorter. And a first
+reading adds up the hashes of the phrases left in buckets, all documents
+together: a phrase in a bucket that stays below the least count is infrequent
+too. Neither test ever denies a frequent phrase; what they let through wrongly
+is counted as it stands and then found infrequent.
 """
 
 from __future__ import annotations
@@ -18,10 +21,10 @@ import struct
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from operator import itemgetter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,49 +37,99 @@ TOP = 2000  # phrases of a language in the report
 NO_LANGUAGE = "und"
 # Phrases and distinct words a task holds before it spills, phrases a container holds before it bursts.
 HELD_PHRASES, HELD_WORDS, BURST = 600_000, 400_000, 4_096
-# Characters cut into words at a time.
-HELD_CHARS = 2_000_000
+# Bytes cut into words at a time, bucket numbers held before they are handed on.
+HELD_BYTES, HELD_BUCKETS = 2_000_000, 4_000_000
 # Rows of a spilled batch; parts that the last words of one prefix are dealt to.
 RUN_ROWS, SLOTS = 50_000, 16
-# Bits of a filter: BITS_PER_PHRASE a phrase, between these bounds. Beyond the upper one it lets more through; no phrase is lost.
-BITS_PER_PHRASE, LEAST_BITS, MOST_BITS = 16, 1 << 15, 1 << 29
+# Bits of a filter: BITS_PER_PHRASE a phrase; buckets: one for WORDS_PER_BUCKET words of the corpus. Both stay between
+# these bounds. Beyond the upper one more phrases are let through and counted; none is lost.
+BITS_PER_PHRASE, WORDS_PER_BUCKET, LEAST_BITS, MOST_BITS = 16, 8, 1 << 17, 1 << 29
 BITMAP = 1 << 15  # bits of one of Spark's bitmaps
+PART = 1 << 17  # buckets added up together
 
 # What ends a piece becomes a full stop, tabs become spaces, A-Z lower case. No word holds a full stop.
-STOP = b"."
+STOP, SPACE = b".", b" "
 PLAIN = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b".......... abcdefghijklmnopqrstuvwxyz")
 
 
-def tokens(texts: list[str]) -> list[bytes]:
-    """The words of some texts in order, with a full stop behind every piece."""
-    return ".".join([*texts, ""]).encode().translate(PLAIN).replace(STOP, b" . ").split()
+def by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
+    """Texts of a batch of (lang, text), by language, lower case, pieces ended by full stops: about HELD_BYTES at a time.
 
-
-def by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, list[str]]]:
-    """Texts of a batch of (lang, text) by language, about HELD_CHARS together or one longer text."""
+    A long text is cut behind a piece; only a longer piece makes a longer part.
+    """
     found: dict[str, list[str]] = defaultdict(list)
-    sizes: Counter[str] = Counter()
     for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
         if text:
-            name = NO_LANGUAGE if lang is None else lang
-            found[name].append(text)
-            sizes[name] += len(text)
-            if sizes[name] >= HELD_CHARS:
-                del sizes[name]
-                yield name, found.pop(name)
-    yield from found.items()
+            found[NO_LANGUAGE if lang is None else lang].append(text)
+    for lang, texts in found.items():
+        plain = ".".join([*texts, ""]).encode().translate(PLAIN)
+        start = 0
+        while start < len(plain):
+            end = plain.rfind(STOP, start, start + HELD_BYTES) + 1 or plain.find(STOP, start) + 1
+            yield lang, plain[start:end]
+            start = end
+
+
+class Words(NamedTuple):
+    """The words of a part, single spaces between them: where they are, their pieces, their hashes."""
+
+    data: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+    pieces: np.ndarray
+    hashes: np.ndarray
+
+
+# Powers of an odd number, by place, and of its inverse: the hash of a word does not depend on where it stands.
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    if not _POWERS or len(_POWERS["up"]) < count:
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            steps = np.full(count, base, dtype=np.uint64)
+            steps[0] = 1
+            _POWERS[name] = np.cumprod(steps)
+    return _POWERS["up"], _POWERS["down"]
+
+
+def words_of(plain: bytes) -> Words:
+    while b"  " in plain:
+        plain = plain.replace(b"  ", SPACE)
+    letters = np.frombuffer(plain, dtype=np.uint8)
+    stops = letters == STOP[0]
+    inside = np.concatenate([[False], ~stops & (letters != SPACE[0]), [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    up, down = _powers(len(letters) + 1)
+    sums = np.zeros(len(letters) + 1, dtype=np.uint64)
+    np.cumsum((letters.astype(np.uint64) + np.uint64(1)) * up[:len(letters)], out=sums[1:])
+    hashes = (sums[ends] - sums[starts]) * down[starts]
+    return Words(plain, starts, ends, np.cumsum(stops, dtype=np.int64)[starts], _stirred(hashes))
+
+
+def _stirred(hashes: np.ndarray) -> np.ndarray:
+    mixed = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return mixed ^ (mixed >> np.uint64(29))
 
 
-# --- hashes of phrases ---------------------------------------------------------
+def phrase_hashes(words: Words, lang: str, size: int) -> np.ndarray:
+    """Hashes of the phrases of ``size`` words that begin at each word, in pieces or not, as far as there are words."""
+    count = max(len(words.starts) - size + 1, 0)
+    lead = np.full(count, int.from_bytes(lang.encode()[:8], "little"), dtype=np.uint64)
+    for step in range(size):
+        lead = _stirred(lead * np.uint64(3) + words.hashes[step:step + count])
+    return lead
 
-def _hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word, 42)
 
+# --- filters -------------------------------------------------------------------
 
-def _mixed(lead: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """The hash of a phrase and one more word."""
-    mixed = (lead ^ word) * np.uint64(0x9E3779B97F4A7C15)
-    return mixed ^ (mixed >> np.uint64(29))
+def _bits_for(count: int) -> int:
+    bits = LEAST_BITS
+    while bits < min(count, MOST_BITS):
+        bits *= 2
+    return bits
 
 
 def _probes(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,39 +137,94 @@ def _probes(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes & mask, (hashes >> np.uint64(33)) & mask
 
 
-def _inside(filter_bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Whether all probes of a hash are set."""
-    found = np.ones(len(hashes), dtype=bool)
-    for probe in _probes(hashes, len(filter_bits) * 8):
-        found &= (filter_bits[probe >> np.uint64(3)] >> (probe & np.uint64(7)).astype(np.uint8)) & 1 == 1
-    return found
+def _set(filter_bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (filter_bits[places >> np.uint64(3)] >> (places & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def phrase_filter(phrases: DataFrame) -> Broadcast:
+def phrase_filter(phrases: DataFrame, size: int) -> Broadcast:
     """A Bloom filter of ``phrases`` (lang, phrase, ...): bits set by tasks, put together as bitmaps of 4 KB."""
-    spark, bits = phrases.sparkSession, LEAST_BITS
-    wanted = phrases.count() * BITS_PER_PHRASE
-    while bits < min(wanted, MOST_BITS):
-        bits *= 2
+    bits = _bits_for(phrases.count() * BITS_PER_PHRASE)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = np.empty(batch.num_rows, dtype=np.uint64)
-            for row, (lang, phrase) in enumerate(zip(*(column.to_pylist() for column in batch.columns), strict=True)):
-                lead = np.array([_hash(lang.encode())], dtype=np.uint64)
-                for word in phrase.encode().split(b" "):
-                    lead = _mixed(lead, np.array([_hash(word)], dtype=np.uint64))
-                hashes[row] = lead[0]
-            places = np.unique(np.concatenate(_probes(hashes, bits))).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(places // BITMAP), pa.array(places % BITMAP)], ["part", "bit"])
+            for lang, plain in by_language(batch):
+                places = np.unique(np.concatenate(_probes(phrase_hashes(words_of(plain), lang, size), bits))).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(places // BITMAP), pa.array(places % BITMAP)], ["part", "bit"])
 
     parts = phrases.select("lang", "phrase").mapInArrow(probe, "part long, bit long").groupBy("part").agg(
         F.bitmap_construct_agg("bit").alias("bits")
     )
+    return _gathered(parts, bits)
+
+
+def _gathered(parts: DataFrame, bits: int) -> Broadcast:
+    """Broadcast (part, bits), all parts equally long, MOST_BITS together at most."""
     filled = np.zeros(bits // 8, dtype=np.uint8)
-    for part, found in parts.collect():  # MOST_BITS / 8 bytes at most
-        filled[part * BITMAP // 8:(part + 1) * BITMAP // 8] = np.frombuffer(found, dtype=np.uint8)
-    return send(spark, filled)
+    for part, found in parts.select("part", "bits").collect():
+        filled[part * len(found):(part + 1) * len(found)] = np.frombuffer(found, dtype=np.uint8)
+    return send(parts.sparkSession, filled)
+
+
+def _candidates(words: Words, lang: str, size: int, known: np.ndarray, full: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the phrases inside a piece whose two parts are in ``known`` and whose bucket is ``full``."""
+    whole = phrase_hashes(words, lang, size)
+    places = np.flatnonzero(words.pieces[:len(whole)] == words.pieces[size - 1:])
+    parts = phrase_hashes(words, lang, size - 1)
+    for shift, second in ((0, 0), (0, 1), (1, 0), (1, 1)):
+        places = places[_set(known, _probes(parts[places + shift], len(known) * 8)[second])]
+    if full is not None:
+        places = places[_set(full, whole[places] & np.uint64(len(full) * 8 - 1))]
+    return places, whole[places]
+
+
+def bucket_filter(docs: DataFrame, size: int, known: Broadcast, corpus_words: int, least: int) -> Broadcast:
+    """Which buckets hold ``least`` or more of the phrases of ``size`` words left by ``known``, over all of ``docs`` (lang, text).
+
+    Tasks hand on sorted bucket numbers as steps of one byte (255: and more)
+    and counts cut off at 255; parts of PART buckets are added up as they come.
+    """
+    buckets, held_buckets = _bits_for(corpus_words // WORDS_PER_BUCKET), HELD_BUCKETS
+
+    def note(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filter_bits, held = receive(known), []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            numbers, counts = np.unique(np.concatenate([np.empty(0, dtype=np.uint32), *held]), return_counts=True)
+            held.clear()
+            cuts = [0, *(np.flatnonzero(np.diff(numbers // PART)) + 1).tolist(), len(numbers)]
+            rows: list[tuple[int, bytes, bytes]] = []
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                if end > start:
+                    part = numbers[start:end]
+                    steps = np.diff(part % PART, prepend=0).astype(np.int64)
+                    coded = np.full(int((steps // 255 + 1).sum()), 255, dtype=np.uint8)
+                    coded[np.cumsum(steps // 255 + 1) - 1] = steps % 255
+                    rows.append((int(part[0]) // PART, coded.tobytes(), np.minimum(counts[start:end], 255).astype(np.uint8).tobytes()))
+            columns = [list(column) for column in zip(*rows, strict=True)] if rows else [[], [], []]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int64()), *(pa.array(column, pa.binary()) for column in columns[1:])], ["part", "steps", "counts"]
+            )
+
+        for batch in batches:
+            for lang, plain in by_language(batch):
+                held.append((_candidates(words_of(plain), lang, size, filter_bits)[1] & np.uint64(buckets - 1)).astype(np.uint32))
+            if sum(map(len, held)) >= held_buckets:
+                yield from flush()
+        yield from flush()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, coded, counts in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                steps = np.frombuffer(coded, dtype=np.uint8)
+                places = np.cumsum(steps, dtype=np.int64)[steps < 255]
+                total = sums.setdefault(part, np.zeros(PART, dtype=np.int64))
+                total[places] += np.frombuffer(counts, dtype=np.uint8)
+        full = [np.packbits(total >= least, bitorder="little").tobytes() for total in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(full, pa.binary())], ["part", "bits"])
+
+    noted = docs.mapInArrow(note, "part long, steps binary, counts binary")
+    return _gathered(noted.repartition("part").mapInArrow(add, "part long, bits binary"), buckets)
 
 
 # --- counting ------------------------------------------------------------------
@@ -193,55 +301,42 @@ class PhraseTrie:
 
 
 class _Ids(dict):
-    """Numbers words as they come; the full stop is 0."""
+    """Numbers words as they come."""
 
     def __init__(self) -> None:
-        super().__init__({STOP: 0})
-        self.words, self.hashes = [STOP], np.zeros(1, dtype=np.uint64)
+        super().__init__()
+        self.words: list[bytes] = []
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self.words)
         self.words.append(word)
         return number
 
-    def line(self, found: list[bytes]) -> np.ndarray:
-        """The words' numbers, and the full stop's behind them."""
-        numbers = np.fromiter(itemgetter(*found, STOP)(self), dtype=np.int32, count=len(found) + 1)
-        new = list(map(_hash, self.words[len(self.hashes):]))
-        self.hashes = np.concatenate([self.hashes, np.array(new, dtype=np.uint64)])
+    def line(self, words: Words, places: np.ndarray, size: int) -> np.ndarray:
+        """The numbers of the words that phrases at ``places`` are made of; other words get none."""
+        used = np.zeros(len(words.starts), dtype=bool)
+        for step in range(size):
+            used[places + step] = True
+        at = np.flatnonzero(used)
+        found = [words.data[a:b] for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)]
+        numbers = np.full(len(used), -1, dtype=np.int32)
+        numbers[at] = np.fromiter(map(self.__getitem__, found), dtype=np.int32, count=len(found))
         return numbers
 
 
-def _candidates(ids: np.ndarray, hashes: np.ndarray, lang: str, size: int, known: np.ndarray) -> np.ndarray:
-    """Places where a phrase of ``size`` words begins, inside a piece, both of whose parts are in the filter."""
-    count = len(ids) - size + 1
-    if count < 1:
-        return np.empty(0, dtype=np.int64)
-    stops = ids == 0
-    inside = ~stops[:count]
-    for step in range(1, size):
-        inside &= ~stops[step:step + count]
-    lead = np.full(count + 1, _hash(lang.encode()), dtype=np.uint64)
-    for step in range(size - 1):
-        lead = _mixed(lead, hashes[ids[step:step + count + 1]])
-    places = np.flatnonzero(inside)
-    places = places[_inside(known, lead[places])]
-    return places[_inside(known, lead[places + 1])]
-
-
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, phrase, n) of single words; the empty phrase counts all words."""
     held: dict[str, Counter[bytes]] = defaultdict(Counter)
 
     def flush() -> Iterator[pa.RecordBatch]:
         for lang, counts in held.items():
-            counts[b""] = counts.total() - counts.pop(STOP, 0)
+            counts[b""] = counts.total()
             yield _rows([[lang] * len(counts), [word.decode() for word in counts], list(counts.values())], ["lang", "phrase", "n"])
         held.clear()
 
     for batch in batches:
-        for lang, texts in by_language(batch):
-            held[lang].update(tokens(texts))
+        for lang, plain in by_language(batch):
+            held[lang].update(plain.replace(STOP, SPACE).split())
         if sum(map(len, held.values())) >= HELD_WORDS:
             yield from flush()
     yield from flush()
@@ -252,12 +347,12 @@ def _rows(columns: list[list], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names)
 
 
-def count_phrases(docs: DataFrame, size: int, known: Broadcast, least: int = LEAST) -> DataFrame:
+def count_phrases(docs: DataFrame, size: int, known: Broadcast, full: Broadcast, least: int = LEAST) -> DataFrame:
     """(lang, phrase, n) of the phrases of ``size`` words, two or more, found ``least`` times or more in ``docs`` (lang, text)."""
     held_phrases, held_words, run_rows = HELD_PHRASES, HELD_WORDS, RUN_ROWS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filter_bits, ids, trie = receive(known), _Ids(), PhraseTrie(size)
+        known_bits, full_bits, ids, trie = receive(known), receive(full), _Ids(), PhraseTrie(size)
 
         def runs(keep: int) -> Iterator[pa.RecordBatch]:
             rows: list[tuple[str, str, str, int]] = []
@@ -270,14 +365,12 @@ def count_phrases(docs: DataFrame, size: int, known: Broadcast, least: int = LEA
                 yield _rows([list(column) for column in zip(*rows, strict=True)], ["lang", "prefix", "last", "n"])
 
         for batch in batches:
-            for lang, texts in by_language(batch):
-                line = ids.line(tokens(texts))
-                places = _candidates(line, ids.hashes, lang, size, filter_bits)
-                # In steps, so that the bound on held phrases holds within a large batch too.
-                for start in range(0, len(places), held_phrases):
-                    trie.add(lang, line, places[start:start + held_phrases])
-                    if trie.held >= held_phrases:
-                        yield from runs(held_phrases // 2)
+            for lang, plain in by_language(batch):
+                words = words_of(plain)
+                places = _candidates(words, lang, size, known_bits, full_bits)[0]
+                trie.add(lang, ids.line(words, places, size), places)
+                if trie.held >= held_phrases:
+                    yield from runs(held_phrases // 2)
             if len(ids) >= held_words:
                 yield from runs(0)
                 ids = _Ids()
@@ -290,7 +383,6 @@ def count_phrases(docs: DataFrame, size: int, known: Broadcast, least: int = LEA
     return merged.filter(F.col("n") >= least).select("lang", F.concat_ws(" ", "prefix", "last").alias("phrase"), "n")
 
 
-
 def collocations(
     docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST, top: int | None = TOP,
 ) -> DataFrame:
@@ -306,7 +398,7 @@ def collocations(
     of any length are read whole, a batch at a time. Repeated rows count every
     time. Other columns, whatever their names, are not read. An empty table
     gives an empty result. Counts cover all rows and nothing is sampled: what a
-    task holds is bounded by the constants above, a filter by MOST_BITS.
+    task holds is bounded by the constants above, filters by MOST_BITS.
     """
     bounded_batches(docs.sparkSession)
     read = docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
@@ -314,9 +406,12 @@ def collocations(
         F.sum("n").alias("n")
     ).filter((F.col("n") >= least) | (F.col("phrase") == "")))
     totals = single.filter("phrase = ''").select("lang", "n")
+    corpus_words = totals.agg(F.sum("n")).first()[0] or 0
     levels = [single.filter("phrase <> ''")]
     for length in range(2, longest + 1):
-        levels.append(keep_table(count_phrases(read, length, phrase_filter(levels[-1]), least)))
+        known = phrase_filter(levels[-1], length - 1)
+        full = bucket_filter(read, length, known, corpus_words, least)
+        levels.append(keep_table(count_phrases(read, length, known, full, least)))
     counts = levels[0].withColumn("size", F.lit(1))
     for length, level in enumerate(levels[1:], 2):
         counts = counts.unionByName(level.withColumn("size", F.lit(length)))
@@ -332,10 +427,10 @@ def collocations(
     cut = left.withColumn("k", F.explode(F.sequence(F.lit(1), size - 1)))
     sides = cut.withColumns({"lead": words(F.lit(1), F.col("k")), "tail": words(F.col("k") + 1, size - F.col("k"))})
 
-    def known(name: str, count: str) -> DataFrame:
+    def counted(name: str, count: str) -> DataFrame:
         return counts.select("lang", F.col("phrase").alias(name), F.col("n").alias(count))
 
-    told = sides.join(known("lead", "l"), ["lang", "lead"]).join(known("tail", "r"), ["lang", "tail"]).join(totals, "lang")
+    told = sides.join(counted("lead", "l"), ["lang", "lead"]).join(counted("tail", "r"), ["lang", "tail"]).join(totals, "lang")
     score = F.expr("(cast(a as decimal(38,0)) * n * 1000) div (cast(l as decimal(38,0)) * r)")
     scored = told.select("lang", "phrase", "a", "l", "r", "n", "k", score.alias("score")).groupBy("lang", "phrase", "a", "n").agg(
         F.min(F.struct("score", "k", "l", "r")).alias("low")

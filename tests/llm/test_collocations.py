@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import both, connect
 
@@ -12,7 +13,9 @@ sys.path.insert(0, str(Path(__file__).parent))
 from llm_data import ODD, SF, documents
 
 from opinara.llm import collocations as module
-from opinara.llm.collocations import Branch, PhraseTrie, collocations, tokens
+from opinara.llm.collocations import Branch, PhraseTrie, by_language, collocations, phrase_hashes, words_of
+from opinara.llm.collocations import bucket_filter, phrase_filter
+from opinara.llm.common import receive
 from opinara.llm.queries import ORACLES, QUERIES
 
 
@@ -101,15 +104,55 @@ def test_trie_bursts_and_spills(size):
     assert out == counts and trie.held == 0
 
 
-def test_words_and_pieces():
-    assert tokens(["Ab\tC. d\n\nE", "", "f"]) == [b"ab", b"c", b".", b"d", b".", b".", b"e", b".", b".", b"f", b"."]
+def test_words_and_pieces(monkeypatch):
+    monkeypatch.setattr(module, "HELD_BYTES", 12)
+    batch = pa.RecordBatch.from_arrays([
+        pa.array(["en", None, "en", "en", None]), pa.array(["Ab\tC. d\n\nE  f", "x", "", "g a-piece-longer-than-a-part \u00c9, h", None]),
+    ], ["lang", "text"])
+    seen = []
+    for lang, plain in by_language(batch):
+        words = words_of(plain)
+        parts = [words.data[a:b].decode() for a, b in zip(words.starts, words.ends, strict=True)]
+        seen.append((lang, list(zip(parts, words.pieces.tolist(), strict=True))))
+    pieces = [[w for w, k in part if k == piece] for _, part in seen for piece in sorted({k for _, k in part})]
+    assert pieces == [["ab", "c"], ["d"], ["e", "f"], ["g", "a-piece-longer-than-a-part", "\u00c9"], ["h"], ["x"]]
+    assert [lang for lang, _ in seen][-1] == "und" and len(seen) > 3
+
+
+def test_hashes_do_not_depend_on_the_place():
+    one, two = words_of(b"a b c. x."), words_of(b"zz yy. zz q a  b c.")
+    for size in (1, 2, 3):
+        assert phrase_hashes(one, "en", size)[0] == phrase_hashes(two, "en", size)[4]
+        assert phrase_hashes(one, "en", size)[0] != phrase_hashes(one, "de", size)[0]
+    assert len(set(phrase_hashes(one, "en", 1))) == 4 and len(phrase_hashes(one, "en", 5)) == 0
+
+
+@pytest.mark.parametrize("least", [5, 40])
+def test_bucket_filter_never_denies(spark, monkeypatch, least):
+    monkeypatch.setattr(module, "HELD_BUCKETS", 500)
+    rows = [("en", text) for text in texts(5, 150)]
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    words = [(lang, word) for lang, text in rows for word in re.findall("[^ \t.,;:!?\n-\r]+", text.encode().lower().decode())]
+    known = phrase_filter(spark.createDataFrame(sorted(set(words)), "lang string, phrase string"), 1)
+    full = receive(bucket_filter(frame, 2, known, 10**7, least))
+    pairs, hashes = Counter(), {}
+    for lang, text in rows:
+        found = words_of(text.replace("!? ", ". ").encode().translate(module.PLAIN) + b".")
+        for k, value in enumerate(phrase_hashes(found, lang, 2)):
+            if found.pieces[k] == found.pieces[k + 1]:
+                pair = found.data[found.starts[k]:found.ends[k + 1]]
+                pairs[pair] += 1
+                hashes[pair] = int(value) % (len(full) * 8)
+    inside = {pair for pair in pairs if full[hashes[pair] >> 3] >> (hashes[pair] & 7) & 1}
+    often = {pair for pair, n in pairs.items() if n >= least}
+    assert often and often <= inside and len(inside) < 1.05 * len(often) + 5
 
 
 def test_products_beyond_64_bits(spark, monkeypatch):
     big = 3 * 10**12
     rows = {1: [("en", "", 10 * big), ("en", "a", big), ("en", "b", big + 7)], 2: [("en", "a b", big - 1)]}
     schema = "lang string, phrase string, n long"
-    monkeypatch.setattr(module, "count_phrases", lambda docs, size, known, least: spark.createDataFrame(rows.get(size, []), schema))
+    monkeypatch.setattr(module, "count_phrases", lambda docs, size, known, full, least: spark.createDataFrame(rows.get(size, []), schema))
     given = iter([rows[1], *(rows.get(size, []) for size in range(2, 6))])
     monkeypatch.setattr(module, "keep_table", lambda frame: spark.createDataFrame(next(given), schema))
     (row,) = module.collocations(documents(spark, ["x"])).collect()
