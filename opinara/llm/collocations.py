@@ -18,6 +18,7 @@ is counted as it stands and then found infrequent.
 from __future__ import annotations
 
 import struct
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from operator import itemgetter
@@ -39,8 +40,8 @@ NO_LANGUAGE = "und"
 HELD_PHRASES, HELD_WORDS, BURST = 600_000, 400_000, 4_096
 # Bytes cut into words at a time, bucket numbers held before they are handed on.
 HELD_BYTES, HELD_BUCKETS = 2_000_000, 4_000_000
-# Rows of a spilled batch; parts that the last words of one prefix are dealt to.
-RUN_ROWS, SLOTS = 50_000, 16
+# Prefix partitions: some, and one more for so many words of the corpus; parts that the last words of one prefix are dealt to.
+LEAST_PARTS, WORDS_PER_PART, SLOTS = 64, 4_000_000, 16
 # Bits of a filter: BITS_PER_PHRASE a phrase; buckets: one for WORDS_PER_BUCKET words of the corpus. Both stay between
 # these bounds. Beyond the upper one more phrases are let through and counted; none is lost.
 BITS_PER_PHRASE, WORDS_PER_BUCKET, LEAST_BITS, MOST_BITS = 16, 8, 1 << 17, 1 << 29
@@ -347,22 +348,35 @@ def _rows(columns: list[list], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names)
 
 
-def count_phrases(docs: DataFrame, size: int, known: Broadcast, full: Broadcast, least: int = LEAST) -> DataFrame:
-    """(lang, phrase, n) of the phrases of ``size`` words, two or more, found ``least`` times or more in ``docs`` (lang, text)."""
-    held_phrases, held_words, run_rows = HELD_PHRASES, HELD_WORDS, RUN_ROWS
+def _part(lang: str, prefix: str, last: str, parts: int) -> int:
+    """The prefix partition of a phrase; a prefix that stands before very many words has SLOTS of them, by the last word."""
+    return zlib.crc32(f"{lang} {prefix} {zlib.crc32(last.encode()) % SLOTS}".encode()) % parts
+
+
+def count_phrases(
+    docs: DataFrame, size: int, known: Broadcast, full: Broadcast, corpus_words: int, least: int = LEAST
+) -> DataFrame:
+    """(lang, phrase, n) of the phrases of ``size`` words, two or more, found ``least`` times or more in ``docs`` (lang, text).
+
+    A spilled run is cut by prefix partition and packed: its phrases in order,
+    a line each, and their counts. A partition is merged run after run.
+    """
+    held_phrases, held_words = HELD_PHRASES, HELD_WORDS
+    parts = LEAST_PARTS + corpus_words // WORDS_PER_PART
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known_bits, full_bits, ids, trie = receive(known), receive(full), _Ids(), PhraseTrie(size)
 
         def runs(keep: int) -> Iterator[pa.RecordBatch]:
-            rows: list[tuple[str, str, str, int]] = []
-            for row in trie.spill(ids.words, keep):
-                rows.append(row)
-                if len(rows) >= run_rows:
-                    yield _rows([list(column) for column in zip(*rows, strict=True)], ["lang", "prefix", "last", "n"])
-                    rows.clear()
-            if rows:
-                yield _rows([list(column) for column in zip(*rows, strict=True)], ["lang", "prefix", "last", "n"])
+            packed: dict[tuple[int, str], tuple[list[str], list[int]]] = defaultdict(lambda: ([], []))
+            for lang, prefix, last, n in trie.spill(ids.words, keep):
+                phrases, counts = packed[_part(lang, prefix, last, parts), lang]
+                phrases.append(f"{prefix} {last}")
+                counts.append(n)
+            for (part, lang), (phrases, counts) in packed.items():
+                yield pa.RecordBatch.from_pydict({
+                    "part": [part], "lang": [lang], "phrases": ["\n".join(phrases)], "counts": [np.array(counts, dtype=np.int64).tobytes()],
+                })
 
         for batch in batches:
             for lang, plain in by_language(batch):
@@ -376,11 +390,26 @@ def count_phrases(docs: DataFrame, size: int, known: Broadcast, full: Broadcast,
                 ids = _Ids()
         yield from runs(0)
 
-    parts = docs.mapInArrow(count, "lang string, prefix string, last string, n long")
-    # Prefixes that stand before very many words are dealt to several partitions by the last word.
-    slot = F.pmod(F.xxhash64("last"), F.lit(SLOTS)).alias("slot")
-    merged = parts.select("*", slot).repartition("lang", "prefix", "slot").groupBy("lang", "prefix", "slot", "last").agg(F.sum("n").alias("n"))
-    return merged.filter(F.col("n") >= least).select("lang", F.concat_ws(" ", "prefix", "last").alias("phrase"), "n")
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sums = None, Counter()
+
+        def done() -> pa.RecordBatch:
+            often = [(phrase, n) for phrase, n in sums.items() if n >= least]
+            return _rows([[at[1]] * len(often), [phrase for phrase, _ in often], [n for _, n in often]], ["lang", "phrase", "n"])
+
+        for batch in batches:
+            for part, lang, phrases, counts in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if at is not None and at != (part, lang):
+                    yield done()
+                    sums.clear()
+                at = part, lang
+                for phrase, n in zip(phrases.split("\n"), np.frombuffer(counts, dtype=np.int64).tolist(), strict=True):
+                    sums[phrase] += n
+        if at is not None:
+            yield done()
+
+    runs = docs.mapInArrow(count, "part long, lang string, phrases string, counts binary")
+    return runs.repartition("part").sortWithinPartitions("part", "lang").mapInArrow(merge, "lang string, phrase string, n long")
 
 
 def collocations(
@@ -411,7 +440,7 @@ def collocations(
     for length in range(2, longest + 1):
         known = phrase_filter(levels[-1], length - 1)
         full = bucket_filter(read, length, known, corpus_words, least)
-        levels.append(keep_table(count_phrases(read, length, known, full, least)))
+        levels.append(keep_table(count_phrases(read, length, known, full, corpus_words, least)))
     counts = levels[0].withColumn("size", F.lit(1))
     for length, level in enumerate(levels[1:], 2):
         counts = counts.unionByName(level.withColumn("size", F.lit(length)))

@@ -76,7 +76,7 @@ def test_equals_slow_version(spark, monkeypatch):
     monkeypatch.setattr(module, "MOST_BITS", module.LEAST_BITS)
     monkeypatch.setattr(module, "BITS_PER_PHRASE", 0)
     monkeypatch.setattr(module, "HELD_PHRASES", 50)
-    monkeypatch.setattr(module, "RUN_ROWS", 20)
+    monkeypatch.setattr(module, "LEAST_PARTS", 2)
     assert sorted(tuple(row) for row in collocations(frame, least=12, top=7).collect()) == got
 
 
@@ -152,7 +152,7 @@ def test_products_beyond_64_bits(spark, monkeypatch):
     big = 3 * 10**12
     rows = {1: [("en", "", 10 * big), ("en", "a", big), ("en", "b", big + 7)], 2: [("en", "a b", big - 1)]}
     schema = "lang string, phrase string, n long"
-    monkeypatch.setattr(module, "count_phrases", lambda docs, size, known, full, least: spark.createDataFrame(rows.get(size, []), schema))
+    monkeypatch.setattr(module, "count_phrases", lambda docs, size, known, full, words, least: spark.createDataFrame(rows.get(size, []), schema))
     given = iter([rows[1], *(rows.get(size, []) for size in range(2, 6))])
     monkeypatch.setattr(module, "keep_table", lambda frame: spark.createDataFrame(next(given), schema))
     (row,) = module.collocations(documents(spark, ["x"])).collect()
