@@ -38,6 +38,10 @@ _LONG_ENOUGH = f"length({trimmed('text')}) >= 10"
 ORACLES["a1_json_arrays"] = f"{_TRIMMED} FROM documents WHERE {_LONG_ENOUGH}"
 ORACLES["a1_json_lines"] = f"{_TRIMMED}, source FROM documents WHERE {_LONG_ENOUGH}"
 ORACLES["a2_csv_rows"] = ORACLES["a1_json_arrays"]
+ORACLES["a1_files"] = f"""
+SELECT format, row_number() OVER (PARTITION BY format ORDER BY doc_id) - 1 AS ingest_seq, CAST(doc_id AS VARCHAR) AS source_id,
+  length({trimmed('text')}) AS length, CASE WHEN {_LONG_ENOUGH} THEN '' ELSE 'raw_text_short' END AS rule
+FROM documents, (VALUES ('json'), ('jsonl'), ('csv')) AS formats(format)"""
 ORACLES["a3_reject_report"] = f"""
 SELECT 'raw' AS stage, rule, count(*) AS n FROM (
   SELECT CASE doc_id % 10 WHEN 0 THEN 'raw_text_missing,raw_text_short'

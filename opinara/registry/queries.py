@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from opinara.operators.intake import cap_records, check_raw, split_valid
 from opinara.operators.packing import pack_batches, record_costs
 from opinara.operators.prompts import batch_prompts, parse_replies, reply_rejects, single_prompt
 from opinara.plans.jobs import analytics, run_record
-from opinara.session import configure, materialize
+from opinara.session import checkpoint_folder, configure, materialize
 from opinara.sources import files, html, landing, views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +110,37 @@ def _(spark, folder):
     return good.select("source_id", "raw_text")
 
 
+ARRAY_FILE_ROWS = 1000
+
+
+def _file(spark, name: str) -> str:
+    """A path of its own in the folder that driver and executors share."""
+    return f"{checkpoint_folder(spark)}/files-{uuid.uuid4().hex}/{name}"
+
+
+@query("a1_files")
+def _(spark, folder):
+    """Documents written as arrays, as JSON lines and as CSV, and read back as files."""
+    docs = views.table(spark, folder, "documents").select(F.col("doc_id").alias("source_id"), F.col("text").alias("raw_text"))
+    ordered = docs.repartitionByRange(3, "source_id").sortWithinPartitions("source_id")
+    places = F.array_sort(F.collect_list(F.struct("source_id", F.to_json(F.struct("source_id", "raw_text")).alias("item"))))
+    arrays = docs.groupBy(F.format_string("%012d", F.floor(F.col("source_id") / ARRAY_FILE_ROWS)).alias("part")).agg(
+        F.concat(F.lit("["), F.array_join(F.transform(places, lambda place: place["item"]), ",\n"), F.lit("]")).alias("value")
+    )
+    paths = {form: _file(spark, f"in.{form}") for form in ("json", "jsonl", "csv")}
+    arrays.write.partitionBy("part").text(paths["json"])
+    ordered.write.json(paths["jsonl"])
+    ordered.write.options(quote='"', escape='"', header=True, quoteAll=True).csv(paths["csv"])
+    read = [
+        files.load_records(spark, path, _now()).select(
+            F.lit(form).alias("format"), "ingest_seq", "source_id", F.length("raw_text").cast("long").alias("length"),
+            F.array_join("errors", ",").alias("rule"),
+        )
+        for form, path in paths.items()
+    ]
+    return read[0].unionByName(read[1]).unionByName(read[2])
+
+
 @query("a3_reject_report")
 def _(spark, folder):
     text = F.col("text")

@@ -9,6 +9,7 @@ it with the rows, later steps (deduplication, packing, caps) rely on it.
 
 from __future__ import annotations
 
+import csv
 from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from opinara.operators.intake import check_raw
 from opinara.operators.rules import variant_text
+from opinara.sources.ranges import CSV, JSON, read_records
 
 _MISSING = "None"  # how a missing text prints; too short to pass the length rule
 
@@ -64,12 +66,24 @@ def _in_order(read: DataFrame) -> DataFrame:
 # --- JSON ----------------------------------------------------------------------
 
 def read_json_array(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON array per file. A file is one row here, so an array must fit a
-    task; land larger inputs as JSON lines, which split."""
-    documents = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("origin"))
-    sizes = documents.select("origin", F.size(_array_items(F.col("value"), F.col("origin"))).cast("long").alias("_rows"))
-    placed = documents.join(_offsets(sizes, "origin"), "origin")
-    return from_json_arrays(placed, before="_before")
+    """One JSON array per file, read in byte ranges (``sources.ranges``); an element has to fit a row.
+
+    Elements are parsed one by one, so a broken one costs only itself, as long
+    as its quotes and brackets close. Anything but an array at the top stops the job.
+    """
+    items, sizes = read_records(spark, path, JSON)
+    placed = _offsets(sizes.withColumn("_rows", F.col("records")), "file")
+    opened, closed = r"^\s*\[", r"\]\s*\z"
+    text, last = F.col("text"), F.col("number") == F.col("records") - 1
+    is_list = F.col("sound") & ((F.col("number") > 0) | text.rlike(opened)) & (~last | text.rlike(closed))
+    bare = F.when(F.col("number") == 0, F.regexp_replace(text, opened, "")).otherwise(text)
+    bare = F.trim(F.when(last, F.regexp_replace(bare, closed, "")).otherwise(bare), F.lit(" \t\r\n"))
+    wrong = F.raise_error(F.concat(F.lit("JSON document must be a list: "), "file")).cast("string")
+    found = items.join(placed, "file").select(
+        F.when(is_list & (bare != ""), bare).otherwise(wrong).alias("text"), (F.col("_before") + F.col("number")).alias("ingest_seq")
+    )
+    item = found.withColumn("item", F.try_parse_json("text"))
+    return _from_items(item.withColumn("text", F.coalesce(F.to_json("item"), "text")))
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -151,16 +165,36 @@ _CSV = {"quote": '"', "escape": '"'}
 
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """CSV with a header row. Without line breaks inside cells, pass
-    ``multi_line=False``: the file then splits across tasks."""
-    head = spark.read.options(**_CSV).csv(path, header=True, multiLine=multi_line)
+    """CSV with a header row, read in byte ranges. Files without line breaks inside
+    cells may be read with ``multi_line=False``, which leaves all to Spark's reader."""
+    if multi_line:
+        return _read_csv_records(spark, path)
+    head = spark.read.options(**_CSV).csv(path, header=True)
     schema = ", ".join(f"`{name}` string" for name in head.columns)
     rows = spark.read.options(
         **_CSV, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", enforceSchema=False
-    ).schema(f"{schema}, _bad string").csv(path, header=True, multiLine=multi_line)
+    ).schema(f"{schema}, _bad string").csv(path, header=True)
     return _from_csv_rows(_in_order(rows.select(*[f"`{name}`" for name in head.columns], "_bad", *_where())), head.columns, "_seq")
 
 
+def _read_csv_records(spark: SparkSession, path: str) -> DataFrame:
+    records, sizes = read_records(spark, path, CSV)
+    plain = records.withColumn("text", F.regexp_replace("text", r"\r\z", ""))
+    first = plain.filter("number = 0").select("text").limit(1).collect()  # one line: the header of any file
+    if not first:
+        return _from_csv_rows(spark.createDataFrame([], "raw_text string, _bad string, _seq long"), ["raw_text"], "_seq")
+    header = first[0]["text"]
+    names = [name or f"_c{place}" for place, name in enumerate(next(csv.reader([header], doublequote=True)))]
+    placed = _offsets(sizes.withColumn("_rows", F.col("records") - 1), "file")
+    # Every file has the same header; another one stops the job.
+    wrong = F.raise_error(F.concat(F.lit("CSV header differs: "), "file")).cast("boolean")
+    told = plain.join(placed, "file").filter(F.when(F.col("number") > 0, F.lit(True)).when(F.col("text") == header, F.lit(False)).otherwise(wrong))
+    schema = ", ".join(f"`{name}` string" for name in [*names, "_bad"])
+    options = {**_CSV, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "multiLine": "true"}
+    rows = told.select(F.from_csv("text", schema, options).alias("r"), (F.col("_before") + F.col("number") - 1).alias("_seq"))
+    return _from_csv_rows(rows.select("r.*", "_seq"), names, "_seq")
+
+
 def from_csv_lines(lines: DataFrame, header: list[str], value: str = "value") -> DataFrame:
     """The same for CSV records already landed as one text per row."""
     schema = ", ".join(f"`{name}` string" for name in [*header, "_bad"])
