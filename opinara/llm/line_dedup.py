@@ -21,7 +21,7 @@ MIN_WORDS = 10
 # Up to this many lines (16 bytes each) a table of line hashes is sent to all executors.
 BROADCAST_LINES = 1_000_000
 # White space between words; line feeds end lines.
-GAPS = r"[ \t\x0B\f\r]+"
+GAPS = " \t\x0b\f\r"
 
 PREFIX, SUFFIX = 0, 1
 
@@ -36,28 +36,57 @@ def _halves(words: Column, size: Column, length: Column) -> list[Column]:
     ]
 
 
+def _plain(line: Column) -> Column:
+    """A line whose white space is blanks, with one between words. Most lines are like that, so they skip the pattern."""
+    return F.trim(F.when(F.contains(line, F.lit("  ")), F.regexp_replace(line, " +", " ")).otherwise(line))
+
+
+def _blanks(text: Column) -> Column:
+    return F.translate(text, GAPS, " " * len(GAPS))
+
+
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(id, sum, n, words, h1, h2) of every line with a word."""
     rows = docs.select(
         F.col(f"`{key}`").alias("id"), F.xxhash64(f"`{text}`").alias("sum"),
-        F.posexplode(F.split(F.col(f"`{text}`"), "\n")).alias("n", "line"),
+        F.posexplode(F.split(_blanks(F.col(f"`{text}`")), "\n")).alias("n", "line"),
     )
-    plain = rows.withColumn("line", F.trim(F.regexp_replace("line", GAPS, " "))).filter("line <> ''")
+    plain = rows.withColumn("line", _plain(F.col("line"))).filter("line <> ''")
     return plain.select(
         "id", "sum", "n", F.split("line", " ").alias("words"),
         F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
     )
 
 
-def _where_lines(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h1, h2, words, first) of the lines with an h1 of ``wanted``, whose size decides how it travels."""
-    found = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
-    return lines.join(found, "h1").groupBy("h1", "h2").agg(
-        F.first("words").alias("words"), F.min(F.struct("id", "sum", "n")).alias("first")
+def _where_lines(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
+    """(h1, h2, first, words) of the lines ``wanted`` (h1, h2, first), read at their first places.
+
+    Only documents with such a place are cut into lines again; the size of
+    ``wanted`` decides how the places travel.
+    """
+    places = wanted.select("first.id", "first.sum", F.struct("first.n", "h1", "h2").alias("place")).groupBy("id", "sum").agg(
+        F.collect_list("place").alias("places")
+    )
+    found = F.broadcast(places) if wanted.count() <= BROADCAST_LINES else places
+    own = docs.select(F.col(f"`{key}`").alias("_id"), F.xxhash64(f"`{text}`").alias("_sum"), F.col(f"`{text}`").alias("_text"))
+    met = own.join(found, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_sum") == F.col("sum")))
+    numbers = F.transform("places", lambda place: place["n"])
+    lines = F.filter(
+        F.transform(F.split(_blanks(F.col("_text")), "\n"), lambda line, n: F.struct(n.alias("n"), line.alias("line"))),
+        lambda line: F.array_contains(numbers, line["n"]),
+    )
+    cut = met.select("id", "sum", "places", lines.alias("lines"))
+    each = cut.select("id", "sum", F.explode(F.transform("places", lambda place: F.struct(
+        place.alias("place"), F.filter("lines", lambda line: line["n"] == place["n"])[0]["line"].alias("line"),
+    ))).alias("at"))
+    # Copies of a document hold the same line.
+    return each.groupBy(F.col("at.place.h1").alias("h1"), F.col("at.place.h2").alias("h2")).agg(
+        F.split(_plain(F.first("at.line")), " ").alias("words"),
+        F.first(F.struct("id", "sum", F.col("at.place.n").alias("n"))).alias("first"),
     )
 
 
-def _near(lines: DataFrame, firsts: DataFrame) -> DataFrame:
+def _near(docs: DataFrame, key: str, text: str, firsts: DataFrame) -> DataFrame:
     """(h1, h2) of the different lines that have an earlier one a word apart."""
     # Only hashes meet here; 64 bits are enough to find candidates.
     sides = firsts.select("h1", F.posexplode("keys").alias("place", "half"))
@@ -69,7 +98,10 @@ def _near(lines: DataFrame, firsts: DataFrame) -> DataFrame:
     shared = keep(sides.join(counts, "half").filter(
         F.when(longer, F.col("same") >= 1).otherwise((F.col("same") >= 2) | (F.col("more") >= 1))
     ))
-    texts = keep(_where_lines(lines, keep(shared.select("h1").distinct())))
+    hashes = keep(shared.select("h1").distinct())
+    hashes = F.broadcast(hashes) if hashes.count() <= BROADCAST_LINES else hashes
+    wanted = keep(firsts.select("h1", "h2", "first").join(hashes, "h1", "left_semi"))
+    texts = keep(_where_lines(docs, key, text, wanted))
     told = shared.join(texts, "h1").select(
         "half", longer.alias("longer"), "same", "more", F.struct("first", "h1", "h2").alias("line"), "words",
         (F.col("place") % 2 == PREFIX).alias("prefix"), F.size("words").alias("size"),
@@ -155,13 +187,13 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     ))
     # A line may be marked twice, as repeated and as near an earlier one; it is taken out once.
     repeated = firsts.filter("copies > 1").select("h1", "h2", "first")
-    marked = keep(repeated.unionByName(_near(lines, firsts), allowMissingColumns=True))
+    marked = keep(repeated.unionByName(_near(docs, key, text, firsts), allowMissingColumns=True))
     removed = known.join(marked, ["h1", "h2"]).filter(
         F.col("first").isNull() | (F.struct("id", "sum", "n") != F.col("first"))
     ).groupBy("id", "sum").agg(F.collect_set("n").alias("out"))
     parts = F.split(F.col(f"`{text}`"), "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__out"))
-    rebuilt = F.when(F.col("__out").isNotNull(), F.array_join(F.transform(stay, lambda place: F.get(parts, place)), "\n"))
+    stay = F.filter(parts, lambda line, n: ~F.array_contains("__out", n))
+    rebuilt = F.when(F.col("__out").isNotNull(), F.array_join(stay, "\n"))
     names = [name for name in docs.columns if name not in ("n_lines", "n_removed")]
     met = docs.withColumn("__sum", F.xxhash64(f"`{text}`")).join(
         removed.select(F.col("id").alias("__id"), F.col("sum").alias("__hash"), F.col("out").alias("__out")),
@@ -169,6 +201,6 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     )
     return met.select(
         *[F.coalesce(rebuilt, F.col(f"`{name}`")).alias(name) if name == text else F.col(f"`{name}`") for name in names],
-        F.coalesce(F.size(F.filter(parts, lambda part: F.regexp_replace(part, GAPS, "") != "")), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size(F.filter(parts, lambda part: F.trim(part, F.lit(GAPS)) != "")), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("__out"), F.lit(0)).cast("long").alias("n_removed"),
     )
