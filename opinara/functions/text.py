@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.functions.numeric import let, round_exact
@@ -52,6 +52,8 @@ PRICE_PER_1K = {
     "claude-3-5-sonnet-20241022": (0.00300, 0.01500),
 }
 OUTPUT_TOKENS_PER_RECORD = 200
+# A lexicon or price table of up to so many words or models is sent to all executors; a larger one is joined.
+BROADCAST_WORDS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -106,6 +108,36 @@ def cost_usd(model: Column, input_tokens: Column, output_tokens: Column) -> Colu
     return round_exact(cost, 6)
 
 
+def price_table(spark: SparkSession) -> DataFrame:
+    """PRICE_PER_1K as a price table without limits in time."""
+    rows = [(name, None, None, rate_in, rate_out) for name, (rate_in, rate_out) in PRICE_PER_1K.items()]
+    return spark.createDataFrame(rows, "model string, valid_from timestamp, valid_to timestamp, input_price double, output_price double")
+
+
+def cost_by_table(usage: DataFrame, prices: DataFrame, moment: str = "moment") -> DataFrame:
+    """``usage`` (model, input_tokens, output_tokens, moment, ...) with ``cost_usd`` at the prices of that time.
+
+    ``prices`` has (model, valid_from, valid_to, input_price, output_price) in
+    USD per 1,000 tokens, valid from the first moment up to the second, which is
+    not included; null is no limit. Ranges of a model must not overlap: the one
+    that begins last counts. Without a price the cost is 0. The prices of a model
+    are gathered in one row, a few dozen at most, so no usage row is doubled.
+    """
+    known = prices.groupBy("model").agg(F.sort_array(F.collect_list(F.struct(
+        "valid_from", "valid_to", "input_price", "output_price",
+    )), asc=False).alias("_prices"))
+    small = known.count() <= BROADCAST_WORDS
+    at = F.col(moment)
+    valid = F.filter("_prices", lambda price: (price["valid_from"].isNull() | (price["valid_from"] <= at)) & (
+        price["valid_to"].isNull() | (at < price["valid_to"])
+    ))
+    priced = usage.join(F.broadcast(known) if small else known, "model", "left").withColumn("_price", F.get(valid, F.lit(0)))
+    cost = sum(
+        (F.col(f"{side}_tokens") * F.coalesce(F.col("_price")[f"{side}_price"], F.lit(0.0)) for side in ("input", "output")), F.lit(0.0)
+    ) / F.lit(1000.0)
+    return priced.withColumn("cost_usd", round_exact(cost, 6)).drop("_prices", "_price")
+
+
 def score_sentiment(df: DataFrame, lexicon: Lexicon = Lexicon(), text: str = "raw_text") -> DataFrame:
     """Add ``sentiment``, ``sentiment_score`` and ``urgency_level`` from word lists.
 
@@ -127,6 +159,40 @@ def score_sentiment(df: DataFrame, lexicon: Lexicon = Lexicon(), text: str = "ra
     }).drop("_scored")
 
 
+def lexicon_table(spark: SparkSession, lexicon: Lexicon = Lexicon()) -> DataFrame:
+    """(word, polarity, weight) of word lists, each word with weight 1."""
+    rows = [(word, "negative", 1.0) for word in lexicon.negative] + [(word, "positive", 1.0) for word in lexicon.positive]
+    return spark.createDataFrame(rows, "word string, polarity string, weight double")
+
+
+def score_with_table(df: DataFrame, table: DataFrame, keys: Sequence[str] = ("source_id",), text: str = "raw_text") -> DataFrame:
+    """``keys`` with the columns of ``score_sentiment``, for a lexicon of any size: (word, polarity, weight).
+
+    A text's distinct words meet the table and their weights are added up per
+    polarity; with weights of 1 the scores are those of the word lists. A word
+    may have both polarities. ``keys`` have to tell the texts apart. Up to
+    BROADCAST_WORDS words the table is sent to all executors, and all words of a
+    text are added up where it was read. A larger one is joined by word; a word
+    that most texts hold fills one key, which Spark splits (its side needs no
+    order afterwards), and only words with their keys move, no texts.
+    """
+    known = table.groupBy("word").agg(
+        *[F.sum(F.when(F.col("polarity") == name, F.col("weight")).otherwise(0.0)).alias(name) for name in ("negative", "positive")]
+    )
+    found = df.select(*keys, F.explode_outer(F.array_distinct(words(F.col(text), lower=True))).alias("word"))
+    few = known.count() <= BROADCAST_WORDS
+    met = found.join(F.broadcast(known) if few else known, "word", "left")
+    counts = met.groupBy(*keys).agg(
+        F.coalesce(F.sum("negative"), F.lit(0.0)).alias("neg"), F.coalesce(F.sum("positive"), F.lit(0.0)).alias("pos"),
+        F.count("word").alias("size"),
+    )
+    ratio = F.col("neg") / F.greatest(F.col("neg") + F.col("pos"), F.lit(1.0))
+    rated = counts.withColumn("_counts", F.struct("neg", "pos", "size", ratio.alias("ratio")))
+    return rated.withColumn("_scored", let(F.col("_counts"), _verdict)).select(
+        *keys, *[F.col("_scored")[name].alias(name) for name in ("sentiment", "sentiment_score", "urgency_level")]
+    )
+
+
 def _verdict(counts: Column) -> Column:
     neg, pos, size, ratio = (counts[name] for name in ("neg", "pos", "size", "ratio"))
     mostly_negative = ratio >= 0.7

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opinara.functions.text import PRICE_PER_1K
+from opinara.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS, PRICE_PER_1K
 from opinara.operators.prompts import _BATCH, _SINGLE
 from opinara.registry.sqltext import (
     BATCHES,
@@ -19,6 +19,7 @@ from opinara.registry.sqltext import (
     mean,
     scored,
     series,
+    strings,
     tokens,
     trimmed,
     word_count,
@@ -114,6 +115,28 @@ _TEST_SCORED = f"{RAW}, {scored(TEST_NEGATIVE, TEST_POSITIVE)}"
 ORACLES["b1_lexicon_sentiment"] = (
     f"WITH {_TEST_SCORED} SELECT source_id, sentiment, sentiment_score, urgency_level FROM scored"
 )
+_ENDED = f"""ended AS (
+  SELECT ingest_seq, source_id, concat_ws(' ', raw_text,
+    CASE WHEN ingest_seq % 4 < 3 THEN {strings(NEGATIVE_WORDS)}[ingest_seq % {len(NEGATIVE_WORDS)} + 1] END,
+    CASE WHEN ingest_seq % 3 < 2 THEN {strings(POSITIVE_WORDS)}[ingest_seq % {len(POSITIVE_WORDS)} + 1] END,
+    CASE WHEN ingest_seq % 5 = 0 THEN upper({strings(NEGATIVE_WORDS)}[ingest_seq % 7 + 1]) END) AS raw_text
+  FROM raw)"""
+ORACLES["b1_lexicon_table"] = (
+    f"WITH {RAW}, {_ENDED}, {scored(source='ended')} SELECT source_id, sentiment, sentiment_score, urgency_level FROM scored"
+)
+_PRICES = ", ".join(
+    f"('{name}', CAST({rate_in!r} AS DOUBLE), CAST({rate_out!r} AS DOUBLE), {place})"
+    for place, (name, (rate_in, rate_out)) in enumerate(PRICE_PER_1K.items())
+)
+ORACLES["b4_price_table"] = f"""
+WITH prices(model, input_price, output_price, place) AS (VALUES {_PRICES}),
+usage AS (
+  SELECT o_orderkey, coalesce((SELECT model FROM prices WHERE place = o_orderkey % 6), 'unlisted') AS model,
+    o_orderdate < TIMESTAMP '1995-06-17' AS early, o_custkey * 10 AS i, o_orderkey % 1000 AS o FROM orders)
+SELECT u.o_orderkey, u.model,
+  {exact("(CAST(0 AS DOUBLE) + u.i * coalesce(f * p.input_price, CAST(0 AS DOUBLE)) + u.o * coalesce(f * p.output_price, CAST(0 AS DOUBLE))) / CAST(1000 AS DOUBLE)", 6)} AS cost_usd
+FROM (SELECT u.*, CASE WHEN NOT early THEN 2 WHEN model <> 'claude-3-5-sonnet-20241022' THEN 1 END AS f FROM usage u) u
+LEFT JOIN prices p ON u.model = p.model"""
 ORACLES["b2_token_estimate"] = f"WITH {RAW} SELECT source_id, {tokens('raw_text')} AS tokens FROM raw"
 ORACLES["b3_conversation_tokens"] = f"""
 SELECT conv_id, CAST(sum({tokens("coalesce(text, '')")}) + 4 * count(*) + 2 AS BIGINT) AS tokens

@@ -14,8 +14,12 @@ from opinara.functions.text import (
     PRICE_PER_1K,
     Lexicon,
     conversation_tokens,
+    cost_by_table,
     cost_usd,
+    lexicon_table,
+    price_table,
     score_sentiment,
+    score_with_table,
     token_count,
 )
 from opinara.operators import cleaning, kpi, rules, series
@@ -267,6 +271,21 @@ def _(spark, folder):
     )
 
 
+@query("b1_lexicon_table")
+def _(spark, folder):
+    """The default lists, English and Turkish, over texts that end in some of their words."""
+    lists = Lexicon()
+    bad, good = (F.array(*[F.lit(word) for word in words_]) for words_ in (lists.negative, lists.positive))
+    key, seq = F.col("source_id"), F.col("ingest_seq")
+    ends = F.concat_ws(
+        " ", "raw_text", F.when(seq % 4 < 3, F.element_at(bad, (seq % len(lists.negative) + 1).cast("int"))),
+        F.when(seq % 3 < 2, F.element_at(good, (seq % len(lists.positive) + 1).cast("int"))),
+        F.when(seq % 5 == 0, F.upper(F.element_at(bad, (seq % 7 + 1).cast("int")))),
+    )
+    texts = _raw(spark, folder).select(key, seq, ends.alias("raw_text"))
+    return score_with_table(texts, lexicon_table(spark, lists), ("source_id", "ingest_seq")).drop("ingest_seq")
+
+
 @query("b2_token_estimate")
 def _(spark, folder):
     return _raw(spark, folder).select("source_id", token_count(F.col("raw_text")).alias("tokens"))
@@ -294,6 +313,28 @@ def _(spark, folder):
     )
 
 
+PRICE_CHANGE = "1995-06-17"
+
+
+@query("b4_price_table")
+def _(spark, folder):
+    """Orders as usage; every model's price doubles at one moment, the last model has none before it."""
+    change = F.lit(PRICE_CHANGE).cast("timestamp")
+    names = list(PRICE_PER_1K)
+    now_ = price_table(spark)
+    before = now_.filter(F.col("model") != names[-1]).withColumn("valid_to", change)
+    after = now_.withColumns({
+        "valid_from": change, "input_price": F.col("input_price") * 2, "output_price": F.col("output_price") * 2,
+    })
+    models = F.array(*[F.lit(name) for name in [*names, "unlisted"]])
+    usage = views.table(spark, folder, "orders").select(
+        "o_orderkey", F.element_at(models, (F.col("o_orderkey") % 6 + 1).cast("int")).alias("model"),
+        F.col("o_orderdate").cast("timestamp").alias("moment"),
+        (F.col("o_custkey") * 10).cast("long").alias("input_tokens"), (F.col("o_orderkey") % 1000).cast("long").alias("output_tokens"),
+    )
+    return cost_by_table(usage, before.unionByName(after)).select("o_orderkey", "model", "cost_usd")
+
+
 @query("b5_token_batches")
 def _(spark, folder):
     return pack_batches(record_costs(_raw(spark, folder)))

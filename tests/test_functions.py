@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from opinara.functions import text as text_functions
 from opinara.functions.numeric import round_exact, round_scaled, steady_mean
 from opinara.functions.text import WHITESPACE, cost_usd, score_sentiment, strip, token_count, words
 
@@ -94,3 +95,40 @@ def test_means_of_any_magnitude(spark):
         known = [value for value in values if value is not None]
         want = math.fsum(known) / len(known)
         assert frame.agg(safe_mean("v").alias("m")).first()["m"] == pytest.approx(want, rel=1e-12)
+
+
+@pytest.mark.parametrize("bound", [1_000_000, 0])
+def test_lexicon_table_equals_word_lists(spark, monkeypatch, bound):
+    monkeypatch.setattr(text_functions, "BROADCAST_WORDS", bound)
+    lists = text_functions.Lexicon()
+    rng = random.Random(2)
+    pool = [*lists.negative, *lists.positive, "plain", "words", "Great", "bad,", "the"]
+    texts = [None, "", " \n ", *(" ".join(rng.choice(pool) for _ in range(rng.randrange(12))) for _ in range(200))]
+    # A very frequent word, and a table far larger than the lists.
+    df = spark.createDataFrame([(k, None if t is None else t + " the") for k, t in enumerate(texts)], "k int, raw_text string")
+    more = spark.range(20_000).selectExpr("concat('w', id) AS word", "'negative' AS polarity", "1.0D AS weight")
+    table = text_functions.lexicon_table(spark, lists).unionByName(more)
+    names = ["k", "sentiment", "sentiment_score", "urgency_level"]
+    assert sorted(text_functions.score_with_table(df, table, ("k",)).select(names).collect()) == sorted(
+        text_functions.score_sentiment(df, lists).select(names).collect()
+    )
+
+
+def test_lexicon_weights(spark):
+    table = spark.createDataFrame([("meh", "negative", 0.25), ("ok", "positive", 0.5), ("odd", "negative", 2.0), ("odd", "positive", 3.0)], "word string, polarity string, weight double")
+    df = spark.createDataFrame([(1, "meh ok"), (2, "odd")], "k int, raw_text string")
+    found = {r.k: (r.sentiment, r.sentiment_score) for r in text_functions.score_with_table(df, table, ("k",)).collect()}
+    # 0.25 of at least 1 is no tear; 0.1 + 0.25 * 0.05 is stored a little above 0.1125. Two of five is a tear: -0.4 * 0.4.
+    assert found == {1: ("neutral", 0.113), 2: ("mixed", -0.16)}
+
+
+def test_prices_by_time(spark):
+    prices = spark.sql("""SELECT * FROM VALUES ('m', NULL, TIMESTAMP '2024-01-01', 1.0D, 2.0D), ('m', TIMESTAMP '2024-01-01', NULL, 3.0D, 4.0D),
+        ('n', TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-01', 5.0D, 0.0D) AS t(model, valid_from, valid_to, input_price, output_price)""")
+    usage = spark.sql("""SELECT model, TIMESTAMP(day) AS moment, 1000L AS input_tokens, 500L AS output_tokens FROM VALUES ('m', '2023-12-31'),
+        ('m', '2024-01-01'), ('n', '2023-01-01'), ('n', '2024-01-31'), ('n', '2024-02-01'), ('x', '2024-01-01'), ('m', NULL) AS t(model, day)""")
+    found = sorted((r.model, str(r.moment)[:10], r.cost_usd) for r in text_functions.cost_by_table(usage, prices).collect())
+    assert found == [
+        ("m", "2023-12-31", 2.0), ("m", "2024-01-01", 5.0), ("m", "None", 0.0),
+        ("n", "2023-01-01", 0.0), ("n", "2024-01-31", 5.0), ("n", "2024-02-01", 0.0), ("x", "2024-01-01", 0.0),
+    ]
