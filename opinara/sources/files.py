@@ -10,7 +10,10 @@ it with the rows, later steps (deduplication, packing, caps) rely on it.
 from __future__ import annotations
 
 import csv
+import re
+from collections.abc import Callable
 from pathlib import PurePosixPath
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,11 +27,42 @@ _MISSING = "None"  # how a missing text prints; too short to pass the length rul
 
 def load_records(spark: SparkSession, path: str, now: Column | None = None, **options) -> DataFrame:
     """Checked raw rows of a ``.json``, ``.jsonl`` or ``.csv`` path."""
+    return check_raw(_reader(path)(spark, path, **options), now)
+
+
+def _reader(path: str) -> Callable[..., DataFrame]:
     readers = {".json": read_json_array, ".jsonl": read_json_lines, ".csv": read_csv}
     suffix = PurePosixPath(path.rstrip("/")).suffix.lower()
     if suffix not in readers:
         raise ValueError(f"unsupported file format {suffix!r}; supported: {', '.join(readers)}")
-    return check_raw(readers[suffix](spark, path, **options), now)
+    return readers[suffix]
+
+
+def first_records(spark: SparkSession, path: str, max_records: int, now: Column | None = None, **options) -> DataFrame:
+    """Checked rows of the first files of ``path`` in input order, enough for ``max_records`` good ones.
+
+    Later files are never opened. The files are taken in growing groups (1, 1,
+    2, 4, ...) whose good rows are counted until there are enough, so at most
+    about twice the needed files are read, twice. The rows equal those that
+    ``load_records`` gives for the same files, rejects among them; hand the good
+    ones to ``operators.intake.cap_records``. Zero means no cap; a path with too
+    few good rows is read whole.
+    """
+    if not max_records:
+        return load_records(spark, path, now, **options)
+    reader = _reader(path)
+    names = sorted(spark.read.text(path).inputFiles())
+    found, taken, group = 0, 0, 1
+    while found < max_records and taken < len(names):
+        checked = check_raw(reader(spark, _literal(names[taken:taken + group]), **options), now)
+        good = checked.filter(F.size("errors") == 0)
+        found, taken, group = found + good.count(), taken + len(names[taken:taken + group]), max(taken, 1)
+    return check_raw(reader(spark, _literal(names[:taken]) or path, **options), now)
+
+
+def _literal(names: list[str]) -> list[str]:
+    """Listed addresses as paths that stand for themselves: decoded, with pattern characters escaped."""
+    return [re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(name)) for name in names]
 
 
 # --- input order -------------------------------------------------------------------
@@ -65,7 +99,7 @@ def _in_order(read: DataFrame) -> DataFrame:
 
 # --- JSON ----------------------------------------------------------------------
 
-def read_json_array(spark: SparkSession, path: str) -> DataFrame:
+def read_json_array(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One JSON array per file, read in byte ranges (``sources.ranges``); an element has to fit a row.
 
     Elements are parsed one by one, so a broken one costs only itself, as long
@@ -86,7 +120,7 @@ def read_json_array(spark: SparkSession, path: str) -> DataFrame:
     return _from_items(item.withColumn("text", F.coalesce(F.to_json("item"), "text")))
 
 
-def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_json_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return from_json_lines(_in_order(spark.read.text(path).select("value", *_where())), seq="_seq")
 
 
@@ -164,7 +198,7 @@ def _from_items(items: DataFrame) -> DataFrame:
 _CSV = {"quote": '"', "escape": '"'}
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """CSV with a header row, read in byte ranges. Files without line breaks inside
     cells may be read with ``multi_line=False``, which leaves all to Spark's reader."""
     if multi_line:
@@ -177,7 +211,7 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     return _from_csv_rows(_in_order(rows.select(*[f"`{name}`" for name in head.columns], "_bad", *_where())), head.columns, "_seq")
 
 
-def _read_csv_records(spark: SparkSession, path: str) -> DataFrame:
+def _read_csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     records, sizes = read_records(spark, path, CSV)
     plain = records.withColumn("text", F.regexp_replace("text", r"\r\z", ""))
     first = plain.filter("number = 0").select("text").limit(1).collect()  # one line: the header of any file

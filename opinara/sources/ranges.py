@@ -225,7 +225,7 @@ def _cut(form: Format, whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iter
     return passes
 
 
-def read_records(spark: SparkSession, path: str, form: Format) -> tuple[DataFrame, DataFrame]:
+def read_records(spark: SparkSession, path: str | list[str], form: Format) -> tuple[DataFrame, DataFrame]:
     """(file, number, text) of the records of ``path``, numbered from 0 in each file, and (file, records, sound) of the files.
 
     ``sound`` is false for a file that ends inside quotes or brackets. A file

@@ -200,3 +200,34 @@ def test_input_order_of_unequal_files(spark, tmp_path, split):
             assert [name for _, name in got] == want and [seq for seq, _ in got] == list(range(len(want)))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("form", ["json", "jsonl", "csv"])
+def test_first_records_open_only_the_first_files(spark, tmp_path, form):
+    folder = tmp_path / f"in put {{x}}.{form}"
+    folder.mkdir()
+    for part in range(12):
+        items = [{"source_id": f"r{part}_{i}", "raw_text": "short" if i == 1 else f'{GOOD}, {part}, "{i}"'} for i in range(4)]
+        text = {
+            "json": lambda: json.dumps(items),
+            "jsonl": lambda: "\n".join(map(json.dumps, items)),
+            "csv": lambda: "source_id,raw_text\n" + "\n".join('{},"{}"'.format(r["source_id"], r["raw_text"].replace('"', '""')) for r in items),
+        }[form]()
+        (folder / f"part-{part:02} %41 [b].txt").write_text(text)
+    # An unreadable file behind the cap does no harm.
+    (folder / "part-99.txt").write_text('{"no": "list"' if form != "csv" else "other,header\n1,2")
+    pattern = str(folder).replace("{", "\\{").replace("}", "\\}")
+    first = files.first_records(spark, pattern, 4)
+    got = rows(cap_records(split_valid(first, "raw")[0], 4).orderBy("ingest_seq"))
+    assert [(r["ingest_seq"], r["source_id"]) for r in got] == [(0, "r0_0"), (2, "r0_2"), (3, "r0_3"), (4, "r1_0")]
+    assert first.count() == 8 and len([r for r in rows(first) if r["errors"]]) == 2
+    if form == "jsonl":
+        assert len(first.inputFiles()) == 2
+
+
+def test_first_records_of_too_few(spark, tmp_path):
+    write(tmp_path, "in.jsonl", json.dumps({"source_id": "a", "raw_text": GOOD}))
+    path = str(tmp_path / "in.jsonl")
+    assert ids(files.first_records(spark, path, 9)) == ids(files.first_records(spark, path, 0)) == ["a"]
+    with pytest.raises(ValueError, match="unsupported file format"):
+        files.first_records(spark, str(tmp_path / "in.xml"), 1)
