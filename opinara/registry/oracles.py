@@ -52,6 +52,11 @@ SELECT 'raw' AS stage, rule, count(*) AS n FROM (
   FROM documents) WHERE rule IS NOT NULL GROUP BY rule"""
 ORACLES["a5_record_cap"] = f"WITH {RAW} SELECT ingest_seq, source_id FROM raw ORDER BY ingest_seq LIMIT 100"
 
+ORACLES["a5_first_files"] = f"""
+WITH {RAW}, placed AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents)
+SELECT place AS ingest_seq, source_id, length(raw_text) AS length FROM raw JOIN placed ON doc_id = ingest_seq
+ORDER BY place LIMIT (SELECT count(*) // 3 FROM documents)"""
+
 _LANDED = """placed AS (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey
     ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS place FROM lineitem),
@@ -80,6 +85,22 @@ SELECT page_id, CAST(card_no AS INTEGER) AS card_no, replace(labels[card_no], '&
 FROM (SELECT *, unnest(range(1, len(links) + 1)) AS card_no FROM (
   SELECT page_id, url, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1) AS links,
     regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2) AS labels FROM pages))"""
+_LINKS = """links AS (
+  SELECT page_id, url, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS origin, generate_subscripts(hrefs, 1) AS link_no,
+    replace(unnest(hrefs), '&amp;', '&') AS href
+  FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS hrefs FROM pages))"""
+ORACLES["a9_page_links"] = f"WITH {_LINKS} SELECT page_id, link_no, 'a' AS tag, href, origin || href AS link FROM links"
+ORACLES["a9_reference_forms"] = rf"""
+WITH {_LINKS}, named AS (
+  SELECT *, regexp_replace(href, '[^A-Za-z]', '', 'g') AS word, regexp_replace(url, '[?#].*$', '') AS bare,
+    regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]*$', '') AS parent FROM links)
+SELECT page_id, link_no, CASE link_no % 6
+  WHEN 0 THEN CASE WHEN parent = origin || '/' THEN parent ELSE regexp_replace(parent, '[^/]*/$', '') END || word
+  WHEN 1 THEN bare || CASE WHEN word = '' THEN '?q=' ELSE '?q=' || word END
+  WHEN 2 THEN regexp_replace(url, '#.*$', '') || CASE WHEN word = '' THEN '' ELSE '#' || word END
+  WHEN 3 THEN CASE WHEN word = '' THEN parent ELSE parent || word || '/' END
+  WHEN 4 THEN regexp_extract(url, '^(https?:)', 1) || '//other.example/' || word
+  ELSE parent || word || ';v=1?q#f' END AS link FROM named"""
 ORACLES["a10_card_texts"] = """
 WITH cards AS (
   SELECT CAST(p_partkey AS VARCHAR) || '_1' AS comment_id,
@@ -398,6 +419,12 @@ UNION ALL SELECT 8 + place + (SELECT count(*) FROM counts WHERE dimension = 'sen
 ORACLES["f5_sentiment_table"] = f"""
 {_CLEAN}, {_COUNTS} SELECT upper(value[1]) || value[2:] AS sentiment, count,
   {exact(f'count / CAST({_TOTAL} AS DOUBLE)', 4)} AS share FROM counts WHERE dimension = 'sentiment'"""
+ORACLES["f9_formats"] = f"""
+{_CLEAN}, written AS (SELECT source_id, printf('%.4f', sentiment_score) AS score FROM cleaned)
+SELECT 'csv' AS format, 'reviews_analysis_20240101_000000.csv' AS name, source_id AS key, score AS value FROM written
+UNION ALL SELECT 'json', 'reviews_analysis_20240101_000000.json', source_id, score FROM written
+UNION ALL SELECT 'kpi', 'reviews_analysis_20240101_000000.kpi', '1', CAST(count(*) AS VARCHAR) FROM written
+UNION ALL SELECT 'broken', NULL, NULL, NULL"""
 ORACLES["f6_headings"] = f"""
 {_CLEAN} SELECT source_id AS "Source Id", sentiment_score AS "Sentiment Score",
   array_to_string(key_topics, '|') AS "Key Topics" FROM cleaned"""
@@ -413,6 +440,13 @@ SELECT count(*) AS total_reviews_analyzed, CAST(0 AS BIGINT) AS spam_excluded, {
   'unknown=' || CAST(count(*) AS VARCHAR) AS category_distribution, 'en=' || CAST(count(*) AS VARCHAR) AS language_distribution,
   CAST(sum({_ACTION}) AS BIGINT) AS action_required_count, CAST(sum({_ACTION}) AS BIGINT) AS high_urgency_count,
   false AS anomaly_detected FROM scored"""
+ORACLES["g1_run_tables"] = f"""
+WITH {_TEST_SCORED}, short AS (SELECT doc_id FROM documents WHERE length({trimmed('text')}) < 10)
+SELECT 'clean' AS name, source_id, sentiment AS value FROM scored
+UNION ALL SELECT 'csv', source_id, printf('%.4f', sentiment_score) FROM scored
+UNION ALL SELECT 'rejects', CAST(doc_id AS VARCHAR), 'raw_text_short' FROM short
+UNION ALL SELECT 'summary', NULL, CAST(count(*) AS VARCHAR) FROM scored
+UNION ALL SELECT 'runs', NULL, CAST(count(*) AS VARCHAR) FROM scored"""
 ORACLES["g2_analytics"] = _tidy(_WEEKLY)
 ORACLES["g3_run_record"] = f"""
 WITH {RAW} SELECT 'success' AS status, count(*) AS records_scraped, count(*) AS records_analyzed,

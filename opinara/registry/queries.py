@@ -5,11 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara import sinks
+from opinara.functions.links import resolve_link
 from opinara.functions.text import (
     PRICE_PER_1K,
     Lexicon,
@@ -27,7 +30,7 @@ from opinara.operators.enrich import LexiconAnalyzer, reconcile, run_metrics, sp
 from opinara.operators.intake import cap_records, check_raw, split_valid
 from opinara.operators.packing import pack_batches, record_costs
 from opinara.operators.prompts import batch_prompts, parse_replies, reply_rejects, single_prompt
-from opinara.plans.jobs import analytics, run_record
+from opinara.plans.jobs import analytics, run, run_record
 from opinara.session import checkpoint_folder, configure, materialize
 from opinara.sources import files, html, landing, views
 
@@ -58,6 +61,9 @@ def _with_folder(spark: SparkSession) -> SparkSession:
     return spark
 
 
+RUN_TIME = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+
 def _now():
     """A fixed run time, so that results repeat."""
     return F.lit("2024-01-01 00:00:00").cast("timestamp")
@@ -163,6 +169,17 @@ def _(spark, folder):
     return cap_records(_raw(spark, folder), 100).select("ingest_seq", "source_id")
 
 
+@query("a5_first_files")
+def _(spark, folder):
+    """The first third of the documents, read from files that hold a tenth each."""
+    docs = views.table(spark, folder, "documents").select(F.col("doc_id").alias("source_id"), F.col("text").alias("raw_text"))
+    wanted = docs.count() // 3
+    path = _file(spark, "in.jsonl")
+    docs.repartitionByRange(10, "source_id").sortWithinPartitions("source_id").write.json(path)
+    good = split_valid(files.first_records(spark, path, wanted, _now()), "raw")[0]
+    return cap_records(good, wanted).select("ingest_seq", "source_id", F.length("raw_text").cast("long").alias("length"))
+
+
 def _landed(spark, folder, limit=None, comments_per_post=None):
     return landing.assemble_comments(
         views.posts(spark, folder), views.comments(spark, folder), limit, views.COMMENT_ORDER, comments_per_post
@@ -207,6 +224,25 @@ def _(spark, folder):
     return html.extract_cards(views.table(spark, folder, "pages"), MENU_CARD).select("page_id", "card_no", "label", "link")
 
 
+@query("a9_page_links")
+def _(spark, folder):
+    """Every link of every page, resolved in columns."""
+    return html.page_links(views.table(spark, folder, "pages")).withColumn("link_no", F.col("link_no").cast("long"))
+
+
+@query("a9_reference_forms")
+def _(spark, folder):
+    """The pages' links respelled in every relative form."""
+    found = html.page_links(views.table(spark, folder, "pages"))
+    word = F.regexp_replace("href", "[^A-Za-z]", "")
+    forms = [("../", ""), ("?q=", ""), ("#", ""), ("./x/../", "/"), ("//other.example/", ""), ("", ";v=1?q#f")]
+    spelled = F.element_at(
+        F.array(*[F.concat(F.lit(front), word, F.lit(end)) for front, end in forms]), (F.col("link_no") % len(forms) + 1).cast("int")
+    )
+    based = found.join(views.table(spark, folder, "pages").select("page_id", "url"), "page_id")
+    return based.select("page_id", F.col("link_no").cast("long").alias("link_no"), resolve_link(F.col("url"), spelled).alias("link"))
+
+
 def _part_cards(spark, folder):
     words_ = F.array(*[F.lit(w) for w in ("Zero", "One", "Two", "Three", "Four", "Five")])
     key = F.col("p_partkey")
@@ -737,6 +773,38 @@ def _(spark, folder):
     return sinks.join_lists(_clean(spark, folder).select("source_id", "key_topics", "mentioned_competitors"))
 
 
+def _broken_writer(clean_table, summary, path):
+    raise OSError("this format fails")
+
+
+@query("f9_formats")
+def _(spark, folder):
+    """All formats written side by side under a stamped name, one of them failing, and read back."""
+    done = analytics(materialize(views.reviews(spark, folder)))
+    target = _file(spark, "out")
+    paths = sinks.export_all(
+        materialize(done.clean), materialize(done.summary), target, ("json", "broken", "csv", "kpi"), RUN_TIME,
+        {"broken": _broken_writer},
+    )
+    table = spark.read.csv(paths["csv"], header=True, quote='"', escape='"')
+    records = spark.read.text(f"{paths['json']}/records").select(F.parse_json("value").alias("item"))
+    score = F.try_variant_get("item", "$.sentiment_score", "double")
+    kpis = spark.read.csv(f"{paths['kpi']}/kpi", header=True).filter("position = 0")
+    read = {
+        "csv": table.select(F.col("source_id").alias("key"), F.col("sentiment_score").alias("value")),
+        "json": records.select(
+            F.try_variant_get("item", "$.source_id", "string").alias("key"), F.format_string("%.4f", score).alias("value")
+        ),
+        "kpi": kpis.select(F.lit("1").alias("key"), "value"),
+        "broken": spark.range(1).select(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")),
+    }
+    named = [
+        rows.select(F.lit(form).alias("format"), F.lit(paths[form] and paths[form].rsplit("/", 1)[1]).cast("string").alias("name"), "key", "value")
+        for form, rows in read.items()
+    ]
+    return reduce(DataFrame.unionByName, named)
+
+
 # --- G: jobs -----------------------------------------------------------------------
 
 def _full(spark, folder):
@@ -757,6 +825,25 @@ def _(spark, folder):
     )
 
 
+@query("g1_run_tables")
+def _(spark, folder):
+    """The job as users call it, into the shared folder, and what its tables and exports hold."""
+    target = _file(spark, "run")
+    checked = check_raw(views.raw_reviews(spark, folder), _now())
+    run(checked, target, LexiconAnalyzer(TEST_LEXICON), ("json", "csv", "kpi"), moment=RUN_TIME)
+    tables = {name: spark.read.parquet(f"{target}/tables/{name}") for name in ("clean", "rejects", "summary", "runs")}
+    csv = spark.read.csv(tables["runs"].first()["export_paths"]["csv"], header=True, quote='"', escape='"')
+    none = F.lit(None).cast("string")
+    parts = {
+        "clean": tables["clean"].select("source_id", F.col("sentiment").alias("value")),
+        "csv": csv.select("source_id", F.col("sentiment_score").alias("value")),
+        "rejects": tables["rejects"].select("source_id", F.col("rule").alias("value")),
+        "summary": tables["summary"].select(none.alias("source_id"), F.col("total_reviews_analyzed").cast("string").alias("value")),
+        "runs": tables["runs"].select(none.alias("source_id"), F.col("records_analyzed").cast("string").alias("value")),
+    }
+    return reduce(DataFrame.unionByName, [rows.select(F.lit(name).alias("name"), "source_id", "value") for name, rows in parts.items()])
+
+
 @query("g2_analytics")
 def _(spark, folder):
     return _tidy_summary(analytics(views.reviews(spark, folder), "week").summary)

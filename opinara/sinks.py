@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -180,7 +182,8 @@ def write_kpi(clean: DataFrame, summary: DataFrame, path: str) -> str:
     return path
 
 
-WRITERS: dict[str, Callable[[DataFrame, DataFrame, str], str]] = {
+Writer = Callable[[DataFrame, DataFrame, str], str]
+WRITERS: dict[str, Writer] = {
     "json": write_json,
     "csv": write_csv,
     "kpi": write_kpi,
@@ -193,13 +196,34 @@ def export_all(
     folder: str,
     formats: Sequence[str] = ("json", "csv"),
     moment: datetime | None = None,
+    writers: Mapping[str, Writer] | None = None,
 ) -> dict[str, str | None]:
-    """Path per format, None where writing failed; one failure stops no other."""
-    paths: dict[str, str | None] = {}
-    for name in formats:
+    """Path per format, None where writing failed; one failure stops no other.
+
+    The formats are written side by side, so that the small ones fill the slots
+    the large ones leave. Each job carries the tag ``export-<format>``. Give
+    stored tables: every format reads them. A repeated format is written once,
+    an unknown one counts as failed. ``writers`` adds to or replaces WRITERS.
+    """
+    spark, known = clean.sparkSession, {**WRITERS, **(writers or {})}
+
+    def write(name: str) -> str:
+        tag = f"export-{name}"
+        spark.addTag(tag)
         try:
-            paths[name] = WRITERS[name](clean, summary, f"{folder}/{output_name(BASE_NAME, name, moment)}")
-        except Exception:
-            log.exception("export %s failed", name)
-            paths[name] = None
+            return known[name](clean, summary, f"{folder}/{output_name(BASE_NAME, name, moment)}")
+        finally:
+            spark.removeTag(tag)
+
+    wanted = list(dict.fromkeys(formats))
+    paths: dict[str, str | None] = {}
+    with ThreadPoolExecutor(max(len(wanted), 1)) as pool:
+        # Wrapped one by one: each call gets its own copy of the caller's local properties.
+        started = {name: pool.submit(inheritable_thread_target(spark)(write), name) for name in wanted}
+        for name, done in started.items():
+            try:
+                paths[name] = done.result()
+            except Exception:
+                log.exception("export %s failed", name)
+                paths[name] = None
     return paths

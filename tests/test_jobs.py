@@ -1,4 +1,5 @@
 import json
+import threading
 import sys
 from datetime import datetime, timezone
 
@@ -183,6 +184,25 @@ def test_one_failing_format_stops_no_other(spark, sample, tmp_path, monkeypatch)
     assert paths["json"] is None and paths["csv"]
 
 
+def test_formats_are_written_side_by_side(spark, sample, tmp_path):
+    meet, tags = threading.Barrier(2, timeout=60), []
+
+    def waiting(clean_table, summary, path):
+        meet.wait()  # passes only while the other format is being written
+        tags.append(sorted(spark.getTags()))
+        clean_table.write.parquet(path)
+        return path
+
+    done = analytics(sample)
+    paths = sinks.export_all(
+        done.clean, done.summary, str(tmp_path), ("one", "two", "one", "none"), writers={"one": waiting, "two": waiting}
+    )
+    assert list(paths) == ["one", "two", "none"] and paths["none"] is None
+    assert spark.read.parquet(paths["one"]).count() == spark.read.parquet(paths["two"]).count() == done.clean.count()
+    assert sorted(tags) == [["export-one"], ["export-two"]] and not spark.getTags()
+    assert sinks.export_all(done.clean, done.summary, str(tmp_path), ()) == {}
+
+
 def test_full_run(spark, tmp_path):
     checked = raw(spark, ["great product, I love it", "terrible and broken thing", "short", "nothing special to report"])
     record_row = rows(run(checked, str(tmp_path / "out"), moment=datetime(2024, 1, 1, tzinfo=timezone.utc)))[0]
