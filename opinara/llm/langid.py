@@ -19,53 +19,63 @@ from pyspark.sql import functions as F
 
 from opinara.llm.common import bounded_batches, receive, send
 
-# The bounded training sample of each language: distinct rows, and their lengths.
+# The bounded training sample of each language: distinct rows, and their lengths. Longer texts are cut to their middle;
+# texts outside these lengths are only taken where there are too few within.
 SAMPLE_ROWS = 24
 SAMPLE_CHARS = (200, 3000)
-# The languages with most sampled rows are learned, up to this many; a table of one takes about 10 MB.
-MOST_LANGUAGES = 48
-# Letters that get a class of their own; the others share one.
-MOST_LETTERS = 60
+# Short texts fill up to SAMPLE_ROWS times the lower length, by this many rows at most.
+SHORT_ROWS = 200
+# All languages together; with more than about 55 each gets an equal share. An edge of an automaton takes 12 bytes,
+# a letter of text up to three edges.
+TOTAL_CHARS = 4_000_000
+# Table entries (4 bytes) a worker lays out. Automata beyond that are searched as sorted edges, with the same result.
+TABLE_ENTRIES = 48_000_000
 # Code points parsed side by side in one lane; a longer text takes several lanes.
 LANE = 1024
 UNDETERMINED = "und"
 
 
 class Automata:
-    """The languages' automata as one transition table that restarts by itself.
+    """The languages' automata, which restart by themselves.
 
-    An entry is twice the offset of the next state's row, plus one where the
-    step starts a new phrase. Classes: 0 parts words, 1 is any letter without a
-    class of its own, further ones are letters.
+    Letters are numbered over all languages: 0 parts words, 1 is any letter no
+    sample has, further ones are letters. A language has classes for its own
+    letters only; all others are class 1, which no state accepts. An entry of a
+    table is twice the offset of the next state's row, plus one where the step
+    starts a new phrase.
     """
 
     def __init__(self, texts: dict[str, list[str]]) -> None:
         self.names = sorted(texts)
-        counts: dict[str, int] = {}
-        for name in self.names:
-            for text in texts[name]:
-                for letter in filter(str.isalpha, text.lower()):
-                    counts[letter] = counts.get(letter, 0) + 1
-        letters = sorted(counts, key=lambda letter: (-counts[letter], letter))[:MOST_LETTERS]
-        self.width = len(letters) + 2
-        self.classes = np.zeros(0x110000, np.uint8)
-        self.classes[[code for code in range(0x110000) if chr(code).isalpha()]] = 1
-        self.classes[[ord(letter) for letter in letters]] = np.arange(2, self.width)
+        known = sorted({letter for name in self.names for text in texts[name] for letter in text.lower() if letter.isalpha()})
+        self.letters = np.zeros(0x110000, np.int32)
+        self.letters[[code for code in range(0x110000) if chr(code).isalpha()]] = 1
+        self.letters[[ord(letter) for letter in known]] = np.arange(2, len(known) + 2)
+        self.kind = np.min_scalar_type(len(known) + 2)
         codes = [self._encode("\n".join(texts[name]).lower()) for name in self.names]
         # A phrase costs a place in the labelled text, so more text makes each phrase dearer.
         self.bits = np.array([math.log2(len(code) + 1) for code in codes])
-        edges = [self._edges(code) for code in codes]
-        sizes = [size + 1 for size, _ in edges]  # the last state is for letters the language lacks
-        self.starts = np.concatenate(([0], np.cumsum(sizes)))[:-1].astype(np.int64) * self.width
-        self.edges = [(source + start // self.width, letter, target + start // self.width)
-                      for (_, (source, letter, target)), start in zip(edges, self.starts, strict=True)]
-        self.states = sum(sizes)
-        self.sizes = sizes
+        self.classes = np.ones((len(codes), len(known) + 2), self.kind)  # by language and letter
+        self.widths: list[int] = []
+        for row, code in zip(self.classes, codes, strict=True):
+            own = np.unique(code[code > 1])
+            row[0] = 0
+            row[own] = np.arange(2, len(own) + 2)
+            self.widths.append(len(own) + 2)
+        built = [self._edges(row[code]) for row, code in zip(self.classes, codes, strict=True)]
+        self.sizes = [size + 1 for size, _ in built]  # the last state is for letters the language lacks
+        self.edges = [tuple(part.astype(np.int32) for part in edges) for _, edges in built]
+        # Tables for the smallest automata, as many as fit.
+        entries = [size * width for size, width in zip(self.sizes, self.widths, strict=True)]
+        order = sorted(range(len(entries)), key=lambda language: entries[language])
+        fitting = int(np.searchsorted(np.cumsum([entries[language] for language in order]), TABLE_ENTRIES, "right"))
+        self.tabled, self.searched = sorted(order[:fitting]), sorted(order[fitting:])
+        self.starts = np.cumsum([0, *[entries[language] for language in self.tabled]])[:-1]
         self.table: np.ndarray | None = None
 
     def _encode(self, text: str) -> np.ndarray:
         codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-        found = self.classes[codes]
+        found = self.letters[codes].astype(self.kind)
         return found[np.concatenate(([True], (found[1:] != 0) | (found[:-1] != 0)))] if len(found) else found
 
     @staticmethod
@@ -99,17 +109,51 @@ class Automata:
         flat = [(source, code, target) for source, row in enumerate(step) for code, target in row.items()]
         return len(step), tuple(np.array(column, np.int64) for column in zip(*flat, strict=True)) if flat else (np.zeros(0, np.int64),) * 3
 
+    def _restart(self, language: int) -> np.ndarray:
+        """The state after a phrase that starts with each class."""
+        source, letter, target = self.edges[language]
+        restart = np.full(self.widths[language], self.sizes[language] - 1, np.int64)
+        restart[letter[source == 0]] = target[source == 0]
+        return restart
+
     def _build(self) -> np.ndarray:
-        table = np.empty((self.states, self.width), np.int32)
-        for start, size, (source, letter, target) in zip(self.starts, self.sizes, self.edges, strict=True):
-            first, strange = start // self.width, start + (size - 1) * self.width
-            restart = np.full(self.width, 2 * strange + 1)
-            at_root = source == first
-            restart[letter[at_root]] = 2 * target[at_root] * self.width + 1
-            table[first:first + size] = restart
-            table[first] = restart - 1  # a text's first letter starts no further phrase
-            table[source, letter] = 2 * target * self.width
-        return table.ravel()
+        table = np.empty(sum(self.sizes[language] * self.widths[language] for language in self.tabled), np.int32)
+        for start, language in zip(self.starts.tolist(), self.tabled, strict=True):
+            size, width = self.sizes[language], self.widths[language]
+            source, letter, target = self.edges[language]
+            rows = table[start:start + size * width].reshape(size, width)
+            rows[:] = 2 * (start + width * self._restart(language)) + 1
+            rows[0] -= 1  # a text's first letter starts no further phrase
+            rows[source, letter] = 2 * (start + width * target.astype(np.int64))
+        return table
+
+    def _by_table(self, grid: np.ndarray, live: list[int]) -> np.ndarray:
+        if self.table is None:
+            self.table = self._build()
+        classes = self.classes[self.tabled]
+        state = np.repeat(self.starts[:, None], grid.shape[1], axis=1).astype(np.int32)
+        count = np.zeros(state.shape, np.int32)
+        for row, width in zip(grid, live, strict=True):
+            found = self.table[state[:, :width] + classes[:, row[:width]]]
+            count[:, :width] += found & 1
+            state[:, :width] = found >> 1
+        return count
+
+    def _by_search(self, grid: np.ndarray, live: list[int], language: int) -> np.ndarray:
+        classes, width, restart = self.classes[language], self.widths[language], self._restart(language)
+        source, letter, target = self.edges[language]
+        keys = source.astype(np.int64) * width + letter
+        order = np.argsort(keys)
+        keys, target = np.append(keys[order], np.iinfo(np.int64).max), np.append(target[order], 0)
+        state, count = np.zeros(grid.shape[1], np.int64), np.zeros(grid.shape[1], np.int32)
+        for row, size in zip(grid, live, strict=True):
+            at, step = state[:size], classes[row[:size]]
+            wanted = at * width + step
+            place = np.searchsorted(keys, wanted)
+            known = keys[place] == wanted
+            count[:size] += ~known & (at != 0)
+            state[:size] = np.where(known, target[place], restart[step])
+        return count
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(languages x texts) phrases, and the letters of each text.
@@ -118,8 +162,6 @@ class Automata:
         continues in the next one, which starts a phrase; that adds less than
         one phrase in LANE letters, to every language alike.
         """
-        if self.table is None:
-            self.table = self._build()
         codes = [self._encode(text.lower()) for text in texts]
         letters = np.array([int(np.count_nonzero(code)) for code in codes], np.int64)
         lanes = [(owner, code[start:start + LANE]) for owner, code in enumerate(codes) for start in range(0, len(code), LANE)]
@@ -128,16 +170,15 @@ class Automata:
         if not lanes:
             return total, letters
         lengths = np.array([len(code) for _, code in lanes])
-        grid = np.zeros((int(lengths[0]), len(lanes)), np.uint8)
+        grid = np.zeros((int(lengths[0]), len(lanes)), self.kind)
         for number, (_, code) in enumerate(lanes):
             grid[:len(code), number] = code
-        live = np.searchsorted(-lengths, -np.arange(len(grid)), side="left")
-        state = np.repeat(self.starts[:, None], len(lanes), axis=1).astype(np.int32)
-        count = np.zeros(state.shape, np.int32)
-        for row, width in zip(grid, live.tolist(), strict=True):
-            found = self.table[state[:, :width] + row[:width]]
-            count[:, :width] += found & 1
-            state[:, :width] = found >> 1
+        live = np.searchsorted(-lengths, -np.arange(len(grid)), side="left").tolist()
+        count = np.zeros((len(self.names), len(lanes)), np.int32)
+        if self.tabled:
+            count[self.tabled] = self._by_table(grid, live)
+        for language in self.searched:
+            count[language] = self._by_search(grid, live, language)
         count += 1  # the last phrase of a lane has no step that ends it
         for language in range(len(self.names)):
             total[language] = np.bincount([owner for owner, _ in lanes], count[language], len(texts)).astype(np.int64)
@@ -162,25 +203,41 @@ class Automata:
 
 
 def training_sample(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang") -> dict[str, list[str]]:
-    """Up to SAMPLE_ROWS distinct texts a language, of SAMPLE_CHARS characters, in an order fixed by their hash.
+    """Distinct texts of every language that has a text, in an order fixed by their hash.
 
-    Copies share a hash, so they are one text here. At most MOST_LANGUAGES *
-    SAMPLE_ROWS rows of bounded length reach the driver. A language without a
-    text of these lengths is not learned; with more languages than
-    MOST_LANGUAGES, those with most sampled rows are, ties by name.
+    Each gets SAMPLE_ROWS texts of SAMPLE_CHARS characters; where there are
+    fewer, longer ones cut to their middle and shorter ones fill up. Copies
+    share a hash, so they are one text here; null and empty texts teach nothing.
+    The driver gets at most SHORT_ROWS rows of bounded length a language and
+    keeps TOTAL_CHARS characters, shared alike. No rows give no language.
     """
     low, high = SAMPLE_CHARS
-    picked = docs.filter(learn & F.length(f"`{text}`").between(low, high)).select(
-        F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text")
-    ).filter("lang is not null").withColumn("sum", F.xxhash64("text"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("sum"))
-    ranked = picked.select("lang", "sum").distinct().withColumn("place", place).filter(F.col("place") <= SAMPLE_ROWS)
-    names = ranked.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
-    chosen = ranked.join(F.broadcast(names), "lang").select("lang", "sum").limit(MOST_LANGUAGES * SAMPLE_ROWS)
-    rows = picked.join(F.broadcast(chosen), ["lang", "sum"]).groupBy("lang", "sum").agg(F.min("text").alias("text"))
+    size = F.length(f"`{text}`")
+    picked = docs.filter(learn & (size > 0) & F.col(f"`{lang}`").isNotNull()).select(
+        F.col(f"`{lang}`").cast("string").alias("lang"),
+        F.xxhash64(f"`{text}`").alias("sum"),
+        (~size.between(low, high)).alias("odd"),
+        (size < low).alias("short"),
+        F.least(size, F.lit(high)).alias("size"),
+        F.substring(F.col(f"`{text}`"), F.greatest(F.floor((size - high) / 2), F.lit(0)).cast("int") + 1, F.lit(high)).alias("text"),
+    )
+    order = Window.partitionBy("lang").orderBy("odd", "short", "sum", "size")
+    # The rank is limited before the exchange, so a language of most rows sends SHORT_ROWS a task.
+    ranked = picked.select("lang", "sum", "odd", "short", "size").distinct().withColumn("place", F.row_number().over(order)).filter(
+        F.col("place") <= SHORT_ROWS
+    )
+    before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chosen = ranked.withColumn("before", before).filter((F.col("place") <= SAMPLE_ROWS) | (F.col("before") < SAMPLE_ROWS * low))
+    rows = picked.join(F.broadcast(chosen.select("lang", "sum", "place")), ["lang", "sum"]).groupBy("lang", "sum").agg(
+        F.min("place").alias("place"), F.min("text").alias("text")
+    ).collect()
+    share = TOTAL_CHARS // max(len({row.lang for row in rows}), 1)
     found: dict[str, list[str]] = {}
-    for row in sorted(rows.collect(), key=lambda row: (row.lang, row.sum)):
-        found.setdefault(row.lang, []).append(row.text)
+    taken: dict[str, int] = {}
+    for row in sorted(rows, key=lambda row: (row.lang, row.place, row.sum)):
+        if taken.get(row.lang, 0) < share:
+            found.setdefault(row.lang, []).append(row.text[:share - taken.get(row.lang, 0)])
+            taken[row.lang] = taken.get(row.lang, 0) + len(row.text)
     return found
 
 
@@ -192,9 +249,12 @@ def identify(
     ``texts`` holds labelled texts by language. A null text, one without a
     letter, or no languages at all gives ``und``, score 0. The score is the
     winner's share when each language weighs two to the minus its code length;
-    ties go to the first name. Rows do not depend on each other; other columns
-    are not read. No shuffle: the automata travel as edges, a few megabytes
-    that the sample bounds, and each worker lays them out as a table once.
+    ties go to the first name. Rows do not depend on each other, so repeated
+    rows get the same answer; other columns are not read, whatever their names.
+    A very long text is parsed in lanes of LANE letters; an empty table gives
+    an empty result. No shuffle: the automata travel as edges that TOTAL_CHARS
+    bounds (150 MB; five languages take about 5), and each worker lays those
+    that fit out as tables once.
     """
     bounded_batches(docs.sparkSession)
     model = send(docs.sparkSession, Automata(texts))

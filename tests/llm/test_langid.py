@@ -3,6 +3,7 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -48,6 +49,51 @@ def test_long_texts_take_lanes_and_lose_little():
     assert short[0, 0] < long[0, 0]
 
 
+@pytest.mark.parametrize("entries", [0, 30_000])
+def test_search_equals_table(monkeypatch, entries):
+    rng = random.Random(9)
+    make = lambda first, count, size: "".join(rng.choice([chr(first + i) for i in range(count)] + [" "]) for _ in range(size))
+    texts = {"la": [make(97, 12, 900)], "ru": [make(0x430, 30, 700)], "zh": [make(0x4E00, 500, 3000)], "ja": [make(0x4F00, 300, 900)]}
+    asked = [text[0][30:400] for text in texts.values()] + [make(97, 20, 300), make(0x4E00, 600, 2500), "", "aжz 漢"]
+    whole = Automata(texts)
+    monkeypatch.setattr(langid, "TABLE_ENTRIES", entries)
+    part = Automata(texts)
+    assert not whole.searched and part.searched and bool(part.tabled) == bool(entries)
+    assert (whole.phrases(asked)[0] == part.phrases(asked)[0]).all() and whole.judge(asked) == part.judge(asked)
+    assert whole.judge(asked)[0][:4] == ["la", "ru", "zh", "ja"]
+    for row, name in zip(whole.phrases(asked[:6])[0], whole.names, strict=True):
+        plain = " ".join(texts[name][0].split())
+        assert all(abs(n - slow_phrases(plain, " ".join(text.split()))) <= len(text) // langid.LANE + 1 for n, text in zip(row, asked[:6]))
+
+
+def test_every_language_and_letter_is_learned(spark):
+    """Seventy languages in four scripts, some with short texts only, one with a single very long one."""
+    rng = random.Random(4)
+    blocks = [(97, 26), (0x430, 32), (0x3B1, 24), (0x4E00, 3000)]
+    rows, asked = [], []
+    for number in range(70):
+        first, count = blocks[number % 4]
+        words = ["".join(chr(first + rng.randrange(count)) for _ in range(rng.randrange(2, 7))) for _ in range(25)]
+        make = lambda size: " ".join(rng.choice(words) for _ in range(size))  # noqa: B023, E731
+        name = f"l{number:02}"
+        rows += [(make(20000 if number == 1 else 8 if number % 5 == 0 else 90), name) for _ in range(1 if number == 1 else 30)]
+        asked.append((make(40), name))
+    rows += [(None, "none"), ("", "none"), ("text", None)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    sample = training_sample(docs, F.lit(True))
+    assert sorted(sample) == sorted({name for _, name in asked})
+    assert max(map(len, sample["l01"])) == langid.SAMPLE_CHARS[1] and len(sample["l05"]) > langid.SAMPLE_ROWS
+    found = identify(spark.createDataFrame(asked, "text string, lang string"), sample, ("lang",)).collect()
+    assert all(row.lang == row.lang_pred for row in found) and len(found) == 70
+
+
+def test_sample_stays_within_its_total(spark, monkeypatch):
+    docs = spark.createDataFrame([(f"{name} " * 200 + str(n), name) for name in ("ab", "cd") for n in range(9)], "text string, lang string")
+    monkeypatch.setattr(langid, "TOTAL_CHARS", 3001)
+    sample = training_sample(docs, F.lit(True))
+    assert {name: sum(map(len, texts)) for name, texts in sample.items()} == {"ab": 1500, "cd": 1500}
+
+
 def test_und_ties_and_unknown_letters():
     automata = Automata({"x": ["abc abc"], "w": ["abc abc"]})
     names, scores, lengths = automata.judge(["abc", "", "123 !?", "жжжжжжжж", "ABC"])
