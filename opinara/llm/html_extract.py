@@ -8,6 +8,7 @@ with the highest sum; its words outside boilerplate are the text.
 
 from __future__ import annotations
 
+import heapq
 import html
 import math
 import re
@@ -41,7 +42,7 @@ HOLDERS = frozenset(
     "fieldset center".split()
 )
 NOT_TEXT = frozenset(
-    "head nav footer aside form button select option textarea menu dialog svg iframe object canvas audio video map".split()
+    "head nav footer aside button select option textarea menu dialog svg iframe object canvas audio video map".split()
 )
 ARTICLES = frozenset(("article", "main"))
 NEVER_NOISE = frozenset(("html", "body", "article", "main"))
@@ -54,11 +55,16 @@ NOISE_WORDS = frozenset(
 HEAD_WORDS = frozenset("header masthead topbar".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 
+NO, SURE, MAYBE = 0, 1, 2
+# An element that may be boilerplate and hides over so many times the words that are left wraps the page.
+WRAPPED = 10
+PROSE = frozenset("p h1 h2 h3 h4".split())
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    # A value with "<" in it is taken up to a length, so that a missing quote costs no more than that.
-    r"|<(/?)([a-z][^\s/>]*)((?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*'|\"[^\"]{0,1000}\"|'[^']{0,1000}')*+)>"
+    # A quoted value ends at its quote, whatever stands in it.
+    r"|<(/?)([a-z][^\s/>]*)((?:[^>\"'<]|\"[^\"]*\"|'[^']*')*+)>"
     r"|</?[a-z][^>]*>|<[!?][^>]*>",
     re.I | re.S,
 )
@@ -67,28 +73,67 @@ HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|d
 WORDS = re.compile("[a-z]+")
 
 
-def is_noise(name: str, attributes: str, in_article: bool) -> bool:
+def is_noise(name: str, attributes: str, in_article: bool) -> int:
+    """NO, SURE or MAYBE boilerplate. A form, or a name that says other things too (``has-sidebar``), may also wrap the page."""
     if name in NOT_TEXT or (name == "header" and not in_article):
-        return True
-    if name in NEVER_NOISE or not attributes:
-        return False
+        return SURE
+    if name in NEVER_NOISE:
+        return NO
     if HIDDEN.search(attributes):
-        return True
+        return SURE
+    found = MAYBE if name == "form" else NO
     for kind, *values in NAMED.findall(attributes):
         said = set(WORDS.findall("".join(values).lower()))
         if kind.lower() == "role":
             if said & NOISE_ROLES:
-                return True
+                return SURE
         elif said & NOISE_WORDS or (not in_article and said & HEAD_WORDS):
-            return True
-    return False
+            if said <= NOISE_WORDS | HEAD_WORDS:
+                return SURE
+            found = MAYBE
+    return found
+
+
+def unmask(parents: list[int], own: list[int], held: list[bool], kept: int) -> list[bool]:
+    """Whether each element that may be boilerplate hides its words.
+
+    ``parents`` come before their children, -1 is none; ``own`` words lie in no
+    inner one; ``held``: a paragraph or heading lies inside; ``kept`` words lie
+    outside all. As long as far fewer words are left than are hidden, the
+    element that holds most of the hidden ones was a wrapper of the page; its
+    inner ones stay hidden. An element without paragraph or heading never is.
+    """
+    masked, whole, held = [True] * len(own), list(own), list(held)
+    for number in range(len(own) - 1, -1, -1):
+        if parents[number] >= 0:
+            whole[parents[number]] += whole[number]
+            held[parents[number]] = held[parents[number]] or held[number]
+    open_ones = [(-whole[number], number) for number, parent in enumerate(parents) if parent < 0 and held[number]]
+    inner: dict[int, list[int]] = {}
+    for number, parent in enumerate(parents):
+        inner.setdefault(parent, []).append(number)
+    heapq.heapify(open_ones)
+    hidden = sum(own)
+    while open_ones and kept * WRAPPED < hidden:
+        _, number = heapq.heappop(open_ones)
+        masked[number] = False
+        kept, hidden = kept + own[number], hidden - own[number]
+        for child in inner.get(number, ()):
+            if held[child]:
+                heapq.heappush(open_ones, (-whole[child], child))
+    for number, parent in enumerate(parents):
+        masked[number] = masked[number] or (parent >= 0 and masked[parent])
+    return masked
 
 
 def tokens(page: str) -> list[tuple[str, int, str, bool, bool]]:
     """(feature, words, text, noise, inside an article element); a tag has no words, its text is a space if it parts blocks."""
-    found = []
-    stack: list[tuple[str, bool]] = []  # holders, and any element that is noise
-    block, links, noise, articles, place = "body", 0, 0, 0, 0
+    found: list[tuple[str, int, str, bool, bool]] = []
+    inmost: list[int] = []  # of each token: the innermost element around it that may be noise
+    stack: list[tuple[str, int, int]] = []  # holders, and any element that is noise: name, kind, the ``inmost`` outside it
+    parents: list[int] = []
+    held: list[bool] = []
+    block, links, noise, articles, place, doubt = "body", 0, 0, 0, 0, -1
 
     def words(text: str) -> None:
         if text and not text.isspace():
@@ -96,11 +141,12 @@ def tokens(page: str) -> list[tuple[str, int, str, bool, bool]]:
         count = len(text.split())
         if count or text:
             found.append((f"word {'a' if links else block}", count, text, noise > 0, articles > 0))
+            inmost.append(doubt)
 
     def pop() -> str:
-        nonlocal noise, articles
-        name, bad = stack.pop()
-        noise -= bad
+        nonlocal noise, articles, doubt
+        name, bad, doubt = stack.pop()
+        noise -= bad == SURE
         articles -= name in ARTICLES
         return name
 
@@ -113,15 +159,16 @@ def tokens(page: str) -> list[tuple[str, int, str, bool, bool]]:
             continue
         name = name.lower()
         found.append((f"<{closing}{name}>", 0, "" if name in INLINE else " ", noise > 0, articles > 0 and name not in ARTICLES))
+        inmost.append(doubt)
         if name == "a":
             links = 0 if closing else 1
         if closing:
-            if any(open_name == name for open_name, _ in stack):
+            if any(open_name == name for open_name, *_ in stack):
                 while pop() != name:
                     pass
                 links = links if name in INLINE else 0
             if name not in INLINE:
-                block = next((open_name for open_name, _ in reversed(stack)), "body")
+                block = next((open_name for open_name, *_ in reversed(stack)), "body")
             continue
         if name == "body":
             while stack and stack[-1][0] != "html":
@@ -130,14 +177,32 @@ def tokens(page: str) -> list[tuple[str, int, str, bool, bool]]:
             if stack and stack[-1][0] in ("p", "li", "dt", "dd", "td", "th", "tr") and (stack[-1][0] == name or stack[-1][0] == "p"):
                 pop()  # noise that the next block ends
             block = name
-        bad = name not in VOID and is_noise(name, attributes, articles > 0)
+        if name in PROSE and doubt >= 0 and not noise:
+            held[doubt] = True
+        bad = NO if name in VOID else is_noise(name, attributes, articles > 0)
         if name in HOLDERS or bad:
-            stack.append((name, bad))
-            noise += bad
+            stack.append((name, bad, doubt))
+            noise += bad == SURE
             articles += name in ARTICLES
+            if bad == MAYBE:
+                parents.append(doubt)
+                held.append(False)
+                doubt = len(parents) - 1
     if place < len(page):
         words(page[place:])
-    return found
+    if not parents:
+        return found
+    own, kept = [0] * len(parents), 0
+    for (_, count, _, sure, _), inside in zip(found, inmost, strict=True):
+        if not sure and inside >= 0:
+            own[inside] += count
+        elif not sure:
+            kept += count
+    masked = unmask(parents, own, held, kept)
+    return [
+        (feature, count, text, sure or (inside >= 0 and masked[inside]), within)
+        for (feature, count, text, sure, within), inside in zip(found, inmost, strict=True)
+    ]
 
 
 def learn(pages: list[str]) -> dict[str, float]:
@@ -206,7 +271,8 @@ def extract_pages(
     Null, empty and wordless pages give an empty text. Script, style and
     comments are never text; broken markup ends at the page's end. Rows do not
     depend on each other, repeated rows give a row each, other columns are not
-    read, and nothing is shuffled. ``weights`` are those of ``learn``; missing
+    read, an empty table gives an empty result, and nothing is shuffled. A very
+    long page is read whole, in time linear in its length, by one task. ``weights`` are those of ``learn``; missing
     ones have the fixed defaults.
     """
     bounded_batches(pages.sparkSession)

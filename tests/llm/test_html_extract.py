@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 
-from opinara.llm.html_extract import best_region, extract, extract_pages, learn, training_pages
+from opinara.llm.html_extract import best_region, extract, extract_pages, learn, training_pages, unmask
 from opinara.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -59,6 +59,42 @@ def test_small_pages(weights, page, text):
     assert not set(extract(page, {}).split()) - set(text.split())
 
 
+BODY = "".join(f"<p>{' '.join(f'word{part}x{n}' for n in range(20))}.</p>" for part in range(3))
+PLAIN = " ".join(f"{' '.join(f'word{part}x{n}' for n in range(20))}." for part in range(3))
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='layout has-sidebar'>{}</div>", "<form id=page action=/>{}<button>Go</button></form>",
+    "<div class='post-with-comments'>{}<ol class=comments><li><p>nice one</p></ol></div>",
+    "<article><div class='share-buttons article-body'>{}</div></article>",
+    "<article><h1 hidden>T</h1><div class='share-buttons article-body'>{}</div></article>",
+    "<form><div class='social-policy'><nav>Home</nav><div class='left-sidebar box'><p>aside text</p></div>{}</div></form>",
+    "<div class='layout has-sidebar' data-x='" + "<p>no</p>" * 500 + "'>{}</div>",
+])
+def test_wrappers_with_odd_names_keep_their_article(weights, page):
+    assert extract("<html><body>" + page.format(BODY) + "<footer>f</footer></body></html>", weights) == PLAIN
+
+
+@pytest.mark.parametrize("extra", [
+    "<div class='cookie-box'><p>We use cookies.</p></div>", "<form><p>Mail us</p></form>", "<div class=ad>Buy</div>",
+    "<section class=comments>" + "<p>I say so too and more of it.</p>" * 100 + "</section>",
+])
+def test_real_boilerplate_still_goes(weights, extra):
+    assert extract(f"<body>{BODY}{extra}</body>", weights) == PLAIN
+    assert extract(f"<body>{extra}{BODY}</body>", weights) == PLAIN
+
+
+def test_page_of_an_advert_only_is_empty(weights):
+    assert extract("<body><div class='ad'><p>Buy this</p></div><div class='promo-box'>Now</div></body>", weights) == ""
+
+
+def test_unmasking_takes_the_wrapper_and_leaves_what_it_wraps():
+    assert unmask([], [], [], 5) == []
+    assert unmask([-1, 0], [60, 3], [True, True], 1) == [False, True]
+    assert unmask([-1, 0, -1], [0, 60, 50], [False, True, False], 0) == [False, False, True]
+    assert unmask([-1], [60], [False], 0) == unmask([-1], [60], [True], 6) == [True]
+
+
 def test_words_positive_tags_negative(weights):
     assert weights and all((value > 0) == (feature[0] != "<") for feature, value in weights.items())
     assert learn(["<p>no article here</p>"]) == {}
