@@ -205,8 +205,9 @@ class Automata:
 def training_sample(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang") -> dict[str, list[str]]:
     """Distinct texts of every language that has a text, in an order fixed by their hash.
 
-    Each gets SAMPLE_ROWS texts of SAMPLE_CHARS characters; where there are
-    fewer, longer ones cut to their middle and shorter ones fill up. Copies
+    Each gets SAMPLE_ROWS texts of SAMPLE_CHARS characters; where these are under
+    SAMPLE_ROWS times the lower length together, longer ones cut to their middle
+    and shorter ones fill up to that. Copies
     share a hash, so they are one text here; null and empty texts teach nothing.
     The driver gets at most SHORT_ROWS rows of bounded length a language and
     keeps TOTAL_CHARS characters, shared alike. No rows give no language.
@@ -227,7 +228,9 @@ def training_sample(docs: DataFrame, learn: Column, text: str = "text", lang: st
         F.col("place") <= SHORT_ROWS
     )
     before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    chosen = ranked.withColumn("before", before).filter((F.col("place") <= SAMPLE_ROWS) | (F.col("before") < SAMPLE_ROWS * low))
+    chosen = ranked.withColumn("before", before).filter(
+        (~F.col("odd") & (F.col("place") <= SAMPLE_ROWS)) | (F.col("before") < SAMPLE_ROWS * low)
+    )
     rows = picked.join(F.broadcast(chosen.select("lang", "sum", "place")), ["lang", "sum"]).groupBy("lang", "sum").agg(
         F.min("place").alias("place"), F.min("text").alias("text")
     ).collect()
