@@ -1,8 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Passages are weighted by TF-IDF over the words of the benchmark (other words
-bring no passage nearer to an item). A randomised SVD, whose products with the
-passages are summed by Spark, gives a latent space; passages whose cosine with
+bring no passage nearer to an item). A randomised SVD of all passages, from
+sums over pairs of words that Spark adds up, gives a latent space; passages whose cosine with
 an item is high enough are candidates. Each is then aligned with the item: the
 longest common subsequence decides, and for looser paraphrases the item's
 answer, its last sentence, has to be there too.
@@ -14,7 +14,6 @@ most m of an item's words holds n - m of its n rarest words at least.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -29,10 +28,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from opinara.llm.common import bounded_batches, keep, receive, send
 
-# Items that share a latent space; items searched in one reading of the texts.
-BLOCK_ITEMS, GROUP_ITEMS = 200, 2000
-# Dimensions of the space, extra ones of the sketch, and how many texts, how long, it is fitted on.
-RANK, EXTRA, FITTED_TEXTS, FITTED_CHARS = 256, 16, 1000, 50_000
+# Items that share a latent space; items searched in one reading of the texts, and their words: a task counts all pairs of them.
+BLOCK_ITEMS, GROUP_ITEMS, GROUP_WORDS = 200, 2000, 10_000
+# Dimensions of the space and extra ones of the sketch.
+RANK, EXTRA = 256, 16
 # Shares of an item's words that the alignment has to cover: by itself, and with the answer.
 ALIKE, LOOSE = 0.8, 0.7
 # An item with fewer words has to be there whole; an answer with fewer words proves nothing.
@@ -42,7 +41,8 @@ SPREAD = 1.5
 COSINE = 0.35
 # Windows of a stretch start at every such part of their width.
 STEPS = 8
-CHUNK = 256
+# Terms whose row of counts moves together; pairs of terms laid out at once.
+CHUNK, MET = 16, 500_000
 
 # ASCII capitals become small, other ASCII signs except digits part words.
 _PLAIN = bytes(
@@ -185,77 +185,104 @@ class Index:
         return found
 
 
-def _document_counts(docs: DataFrame, text: str, terms: Broadcast, size: int, window: int) -> tuple[np.ndarray, int, int]:
-    """Passages with each term, passages, texts: over all texts, cut into passages without overlap."""
+def _passage_counts(docs: DataFrame, text: str, terms: Broadcast, size: int, window: int) -> tuple[np.ndarray, int, DataFrame]:
+    """Passages with each term, passages, and by CHUNK terms how often every two terms stand in one passage.
+
+    All texts count, cut into passages without overlap; of a pair the products of its counts are added up.
+    The last is (first, cells, n): places in CHUNK rows of ``size`` cells and what stands there.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = terms.value
-        counts, passages, texts = np.zeros(size, np.int64), 0, 0
+        counts, passages = np.zeros(size, np.int64), 0
+        together = np.zeros(size * size, np.int32)
         for batch in batches:
+            keys, before = [np.empty(0, np.int64)], 0
             for value in batch.column(0).to_pylist():
                 row = numbers_of(words_of(value), known)
-                texts += 1
-                passages += -(-len(row) // window)
                 places = np.flatnonzero(row >= 0)
-                counts += np.bincount(np.unique(places // window * size + row[places]) % size, minlength=size)
-        rows = np.append(counts, (passages, texts))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 2), pa.int32()), pa.array(rows)], names=["term", "n"])
-
-    parts = docs.select(F.col(f"`{text}`").cast("string").alias("t")).mapInArrow(work, "term int, n long")
-    found = np.zeros(size + 2, np.int64)
-    for row in parts.groupBy("term").agg(F.sum("n").alias("n")).collect():
-        found[row.term] = row.n
-    return found[:-2], int(found[-2]), int(found[-1])
+                keys.append((places // window + before) * size + row[places])
+                before += -(-len(row) // window)
+            passages += before
+            found, n = np.unique(np.concatenate(keys), return_counts=True)
+            passage, term = np.divmod(found, size)
+            counts += np.bincount(term, minlength=size)
+            # Each entry meets all entries of its passage, itself included.
+            heads = np.searchsorted(passage, passage)
+            widths = np.searchsorted(passage, passage, side="right") - heads
+            ends = np.cumsum(widths)
+            start = 0
+            while start < len(found):
+                stop = max(start + 1, int(np.searchsorted(ends, ends[start] + MET, side="right")))
+                width = widths[start:stop]
+                one = np.repeat(np.arange(start, stop), width)
+                two = np.arange(len(one)) + np.repeat(heads[start:stop] - (np.cumsum(width) - width), width)
+                np.add.at(together, term[one] * size + term[two], (n[one] * n[two]).astype(np.int32))
+                start = stop
+        yield pa.RecordBatch.from_arrays([
+            pa.array([-1], pa.int32()), pa.array([np.append(counts, passages).tobytes()], pa.binary()), pa.array([b""], pa.binary()),
+        ], names=["first", "cells", "n"])
+        for first in range(0, size, CHUNK):
+            part = together[first * size:(first + CHUNK) * size]
+            cells = np.flatnonzero(part)
+            if len(cells):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([first], pa.int32()), pa.array([cells.astype(np.uint32).tobytes()], pa.binary()),
+                    pa.array([part[cells].astype(np.int64).tobytes()], pa.binary()),
+                ], names=["first", "cells", "n"])
 
-
-def _normal_product(sample: DataFrame, text: str, terms: Broadcast, idf: np.ndarray, window: int, right: np.ndarray) -> np.ndarray:
-    """A'A times ``right``, A the TF-IDF passages of the sample: partial products by task, summed by rows of terms."""
-    sent = sample.sparkSession.sparkContext.broadcast(right.astype(np.float32))
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        first = rows["first"].iat[0]
+        if first < 0:
+            total = sum(np.frombuffer(part, np.int64) for part in rows["cells"])
+            return pd.DataFrame({"first": [first], "cells": [total.tobytes()], "n": [b""]})
+        total = np.zeros(CHUNK * size, np.int64)
+        for cells, n in zip(rows["cells"], rows["n"], strict=True):
+            total[np.frombuffer(cells, np.uint32)] += np.frombuffer(n, np.int64)
+        cells = np.flatnonzero(total)
+        return pd.DataFrame({"first": [first], "cells": [cells.astype(np.uint32).tobytes()], "n": [total[cells].tobytes()]})
+
+    schema = "first int, cells binary, n binary"
+    parts = docs.select(F.col(f"`{text}`").cast("string").alias("t")).mapInArrow(work, schema)
+    added = keep(parts.groupBy("first").applyInPandas(add, schema))
+    head = added.filter("first < 0").first()
+    found = np.frombuffer(head.cells, np.int64) if head else np.zeros(size + 1, np.int64)
+    return found[:-1], int(found[-1]), added.filter("first >= 0")
+
+
+def _normal_product(together: DataFrame, idf: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A'A times ``right``, A the TF-IDF passages of all texts: each task has some rows of A'A."""
     size, width = right.shape
+    sent = together.sparkSession.sparkContext.broadcast((idf[:, None] * right).astype(np.float32))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, matrix = terms.value.get, sent.value
-        total = np.zeros((size, width), np.float32)
         for batch in batches:
-            for value in batch.column(0).to_pylist():
-                words = words_of(value)
-                for start in range(0, len(words), window):
-                    counts = Counter(get(word, -1) for word in words[start:start + window])
-                    counts.pop(-1, None)
-                    index = np.fromiter(counts, np.int64, len(counts))
-                    weight = (np.fromiter(counts.values(), np.float64, len(counts)) * idf[index]).astype(np.float32)
-                    total[index] += weight[:, None] * (weight @ matrix[index])
-        firsts = range(0, size, CHUNK)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(firsts), pa.int32()), pa.array([total[first:first + CHUNK].tobytes() for first in firsts], pa.binary())],
-            names=["first", "part"],
-        )
+            parts = []
+            for cells, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                rows = np.zeros(CHUNK * size, np.float32)
+                rows[np.frombuffer(cells, np.uint32)] = np.frombuffer(n, np.int64)
+                parts.append((rows.reshape(CHUNK, size) @ sent.value).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts, pa.binary())], names=["first", "part"])
 
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(part, np.float32).astype(np.float64) for part in rows["part"])
-        return pd.DataFrame({"first": rows["first"][:1], "part": [total.tobytes()]})
-
-    parts = sample.mapInArrow(work, "first int, part binary").groupBy("first").applyInPandas(add, "first int, part binary")
-    found = np.zeros((size, width))
-    for row in parts.collect():
-        rows = np.frombuffer(row.part).reshape(-1, width)
-        found[row.first:row.first + len(rows)] = rows
-    return found
+    found = np.zeros((-(-size // CHUNK) * CHUNK, width))
+    for row in together.mapInArrow(work, "first int, part binary").toLocalIterator():
+        found[row.first:row.first + CHUNK] = np.frombuffer(row.part, np.float32).reshape(CHUNK, width)
+    return found[:size] * idf[:, None]
 
 
-def _block(first: int, items: list[list[int]], idf: np.ndarray, sample: DataFrame, text: str, terms: Broadcast, window: int) -> Block:
-    """The latent space of the sample's passages and, so that none of them gets lost in it, of the items themselves."""
+def _block(first: int, items: list[list[int]], idf: np.ndarray, together: DataFrame) -> Block:
+    """The latent space of all passages and, so that none of them gets lost in it, of the items themselves."""
     own = np.zeros((len(items), len(idf)))
     for row, item in zip(own, items, strict=True):
         np.add.at(row, item, 1.0)
     own *= idf
     own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)
     random = np.random.default_rng(7).standard_normal((len(idf), min(RANK + EXTRA, len(idf))))
-    sketch = _normal_product(sample, text, terms, idf, window, random)
-    # The items weigh as much as the passages do, whatever the sample holds.
+    sketch = _normal_product(together, idf, random)
+    # The items weigh as much as the passages do, whatever the texts hold.
     weight = max(float(np.abs(sketch).max()), 1.0)
     frame = np.linalg.qr(sketch + weight * own.T @ (own @ random))[0]
-    second = _normal_product(sample, text, terms, idf, window, frame) + weight * own.T @ (own @ frame)
+    second = _normal_product(together, idf, frame) + weight * own.T @ (own @ frame)
     values, turn = np.linalg.eigh((frame.T @ second + second.T @ frame) / 2)
     basis = frame @ turn[:, np.argsort(values)[::-1][:RANK]]
     vectors = own @ basis
@@ -270,16 +297,10 @@ def _index(docs: DataFrame, texts: list[str], text: str) -> Index:
     answers = [[terms.get(word, -1) for word in answer_of(item)] for item in texts]
     sent = docs.sparkSession.sparkContext.broadcast(terms)
     window = math.ceil(SPREAD * max(map(len, items)))
-    counts, passages, rows = _document_counts(docs, text, sent, len(terms), window)
+    counts, passages, together = _passage_counts(docs, text, sent, len(terms), window)
     idf = np.log((passages + 1) / (counts + 0.5))
     idf = np.maximum(idf, 0.05)
-    picked = docs.select(F.col(f"`{text}`").cast("string").alias("t")).filter(F.length("t") <= FITTED_CHARS)
-    every = max(1, math.ceil(rows / FITTED_TEXTS))
-    sample = keep(picked.filter(F.pmod(F.xxhash64("t"), F.lit(every)) == 0).dropDuplicates(["t"]))
-    blocks = [
-        _block(first, items[first:first + BLOCK_ITEMS], idf, sample, "t", sent, window)
-        for first in range(0, len(items), BLOCK_ITEMS)
-    ]
+    blocks = [_block(first, items[first:first + BLOCK_ITEMS], idf, together) for first in range(0, len(items), BLOCK_ITEMS)]
     return Index(terms, idf, items, answers, blocks)
 
 
@@ -296,9 +317,8 @@ def find_leaks(
     columns are handed on; one named leaks is replaced. The items are the query
     set: GROUP_ITEMS of them at a time are broadcast and held against all
     texts, so their number bounds what travels. The texts themselves never
-    move. A latent space is fitted on about FITTED_TEXTS different texts of up to
-    FITTED_CHARS characters, chosen by their hash; document frequencies count
-    all texts.
+    move. The latent space and the document frequencies are those of all
+    texts, from one count of the pairs of items' words that share a passage.
     """
     bounded_batches(docs.sparkSession)
     schema = docs.drop("leaks").schema
@@ -307,7 +327,8 @@ def find_leaks(
     arrow = pa.list_(pa.struct([("item", to_arrow_type(item_type)), ("share", pa.float64()), ("cosine", pa.float64())]))
     found = docs.drop("leaks").withColumn("leaks", F.expr(f"cast(array() as array<{leak}>)"))
     chosen = items.select(F.col(f"`{item_key}`").alias("k"), F.col(f"`{item_text}`").alias("t")).filter("t is not null")
-    groups = max(1, math.ceil(chosen.count() / GROUP_ITEMS))
+    sizes = chosen.agg(F.count("*").alias("items"), F.sum(F.size(F.split("t", r"\s+"))).alias("words")).first()
+    groups = max(1, math.ceil(sizes.items / GROUP_ITEMS), math.ceil((sizes.words or 0) / GROUP_WORDS))
     for group in range(groups):
         # By text, so that groups keep about their size; ids may be null or repeat.
         rows = chosen.filter(F.pmod(F.xxhash64("t"), F.lit(groups)) == group).collect()

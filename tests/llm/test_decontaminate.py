@@ -154,3 +154,21 @@ def test_odd_rows_and_empty_tables(spark):
     assert sorted((r.doc_id, r.item_id) for r in leaked_pairs(found).collect()) == [(2, 1), (3, 0), (3, 0)]
     assert leaked_pairs(find_leaks(docs, items(spark, []))).count() == 0
     assert find_leaks(documents(spark, []), asked).count() == 0
+
+
+def test_space_counts_every_passage_of_every_text(spark):
+    """A'A from all texts, long and repeated ones too, equals the product of the passages written out."""
+    texts = [" ".join(words(seed, 30 + 40 * seed, 50)) for seed in range(12)] + [" ".join(words(1, 20_000, 50))] * 2 + ODD
+    names = sorted({word.encode() for text in texts[:12] for word in text.split()})[::2]
+    terms, window = {name: number for number, name in enumerate(names)}, 30
+    sent = spark.sparkContext.broadcast(terms)
+    counts, passages, together = leak._passage_counts(documents(spark, texts), "text", sent, len(terms), window)
+    rows = []
+    for text in texts:
+        found = words_of(text)
+        rows += [np.bincount([terms[w] for w in found[start:start + window] if w in terms], minlength=len(terms)) for start in range(0, len(found), window)]
+    plain = np.array(rows, float)
+    assert passages == len(plain) and counts.tolist() == (plain > 0).sum(axis=0).tolist()
+    idf, right = np.linspace(1, 2, len(terms)), np.random.default_rng(1).standard_normal((len(terms), 7))
+    want = (plain * idf).T @ ((plain * idf) @ right)
+    assert np.allclose(leak._normal_product(together, idf, right), want, rtol=1e-4, atol=1e-3 * np.abs(want).max())
