@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from opinara.llm.decontaminate import find_leaks
 from opinara.llm.langid import UNDETERMINED, identify, training_sample
 from opinara.llm.line_dedup import dedup_lines
 from opinara.llm.packing import pack
-from opinara.llm.simhash import one_of_each
+from opinara.llm.simhash import near_duplicates, one_of_each
 from opinara.llm.similar import similar_texts
 
 # A text of at least FEW_CHARS characters whose phrases are shorter than this has no learned language.
@@ -37,8 +38,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8), that with the smallest doc_id."""
-    return one_of_each(docs, grouped=similar_texts)
+    """One document of each group of near-duplicates, that with the smallest doc_id.
+
+    Texts are linked by op1's fingerprints (SimHash, two bits). As that leaves
+    near copies that differ in more bits, texts of a similarity of 0.8
+    (five-word shingles) are linked too.
+    """
+    return one_of_each(docs, grouped=partial(similar_texts, also=near_duplicates))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,9 +8,10 @@ no band with probability (1 - 0.8^4)^32 = 5e-8, above it more rarely.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +27,8 @@ SEED = 42
 TURNS = 2
 # Shingles whose hashes are laid out for all minima at once.
 CHUNK = 1024
+# Characters of a block of texts, about; texts that have many pairs travel once for each block they have a partner in.
+BLOCK_CHARS = 1 << 20
 
 _RANDOM = np.random.default_rng(SEED)
 _FACTORS = _RANDOM.integers(0, 1 << 64, (BANDS * ROWS, 1), np.uint64) | np.uint64(1)
@@ -94,6 +97,23 @@ def _alike(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(work, "a long, b long")
 
 
+def _alike_in_blocks(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The same as ``_alike`` for texts with many pairs each: two blocks of texts meet, and each text is cut into shingles once a meeting."""
+    chars = known.agg(F.sum(F.length("t"))).first()[0] or 0
+    blocks = max(1, -(-chars // BLOCK_CHARS))
+    one, two = (F.pmod(F.xxhash64(side, F.lit("block")), F.lit(blocks)).alias(name) for side, name in (("a", "i"), ("b", "j")))
+    placed = pairs.select("a", "b", one, two)
+    wanted = placed.select("i", "j", F.explode(F.array("a", "b")).alias("node")).distinct()
+
+    def compare(some: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
+        sets = dict(zip(texts["node"], map(shingles, texts["t"]), strict=True))
+        stay = [similarity(sets[a], sets[b]) >= ALIKE for a, b in zip(some["a"], some["b"], strict=True)]
+        return some.loc[stay, ["a", "b"]]
+
+    met = wanted.join(known, "node").toDF("node", "k", "l", "t").groupBy("k", "l")
+    return placed.groupBy("i", "j").cogroup(met).applyInPandas(compare, "a long, b long")
+
+
 def _could_be(one: str, two: str) -> Column:
     """Whether sets of these sizes can be similar."""
     return F.least(one, two) >= F.greatest(one, two) * ALIKE - 1e-6
@@ -145,9 +165,15 @@ def _sharing_rare(nodes: DataFrame, known: DataFrame) -> DataFrame:
     return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
-def similar_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def similar_texts(
+    docs: DataFrame, key: str = "doc_id", text: str = "text",
+    also: Callable[[DataFrame, str, str], DataFrame] | None = None,
+) -> DataFrame:
     """One row per row of ``docs``: key, component_id, the smallest key reachable over similar texts.
 
+    ``also`` names groups of texts that are linked besides, by key and
+    component_id; texts it has joined are not compared again.
+
     Words are lower-cased in A-Z and parted by ASCII white space. Texts without
     words are alike; null counts as empty; a very long text is read whole. Null
     keys never name a component unless all its keys are null (then it is null).
@@ -166,11 +192,19 @@ def similar_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.xxhash64(words).alias("node"), words.alias("t"))
     nodes = keep(rows.groupBy("node").agg(F.min("k").alias("first")))
     texts = rows.select("node", "t")
+    given = None
+    if also:
+        first = keep(also(texts, "node", "t").filter("node <> component_id").select("node", F.col("component_id").alias("root")).distinct())
+        given = first.select(F.least("node", "root").alias("a"), F.greatest("node", "root").alias("b"))
     placed = keep(_buckets(texts))
     several = placed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("bucket")
-    members = keep(placed.join(several, "bucket").select("bucket", "node", "size"))
-    stars = keep(_stars(members.withColumn("root", F.col("node")), 0))
-    links = keep(_alike(stars, _one_each(texts, stars.select(F.explode(F.array("a", "b")).alias("node")).distinct())))
+    members = keep(placed.join(several, "bucket").select("bucket", "node", "size").distinct())
+    rooted = members.withColumn("root", F.col("node"))
+    if given:
+        rooted = members.join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    stars = keep(_stars(rooted, 0))
+    links = _alike(stars, _one_each(texts, stars.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
+    links = keep(links.union(given) if given else links)
     roots = keep(components(links))
 
     # What the stars did not join: buckets with members of several components.
@@ -179,7 +213,7 @@ def similar_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
         open_ = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("bucket")
         return keep(labelled.join(open_, "bucket"))
 
-    members = split(members.dropDuplicates(["bucket", "node"]))
+    members = split(members)
     known = _one_each(texts, members.select("node").distinct())
     for turn in range(1, TURNS):
         again = keep(_stars(members, turn).join(stars, ["a", "b"], "left_anti"))
@@ -190,7 +224,7 @@ def similar_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
         members = split(members)
     others = keep(_sharing_rare(members.select("node", "root").distinct(), known).join(stars, ["a", "b"], "left_anti"))
     if not others.isEmpty():
-        roots = keep(components(links.union(_alike(others, known))))
+        roots = keep(components(links.union(_alike_in_blocks(others, known))))
 
     named = nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))

@@ -2,10 +2,14 @@ import random
 import sys
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 sys.path.insert(0, str(Path(__file__).parent))
 from llm_data import ODD, documents, words
 
 import corpus_pipeline
+from opinara.llm import similar
+from opinara.llm.simhash import fingerprint
 from opinara.llm.similar import _sharing_rare, similar_texts
 
 
@@ -80,3 +84,25 @@ def test_crowd_that_shares_buckets_only(spark):
     assert sorted(one.component_id for one in similar_texts(docs).collect()) == list(range(200))
     nodes = docs.selectExpr("doc_id as node", "doc_id as root")
     assert _sharing_rare(nodes, docs.selectExpr("doc_id as node", "text as t")).isEmpty()
+
+
+def test_blocks_of_texts_decide_as_pair_by_pair(spark, monkeypatch):
+    monkeypatch.setattr(similar, "BLOCK_CHARS", 3000)
+    texts = corpus()[:60]
+    known = documents(spark, texts).selectExpr("doc_id as node", "text as t")
+    pairs = known.alias("x").join(known.alias("y"), F.expr("x.node < y.node")).selectExpr("x.node as a", "y.node as b")
+    found = {tuple(row) for row in similar._alike_in_blocks(pairs, known).collect()}
+    assert found == {tuple(row) for row in similar._alike(pairs, known).collect()} and len(found) > 30
+
+
+def test_near_dedup_stage_keeps_one_of_texts_whose_fingerprints_are_near(spark):
+    """Fingerprints within two bits link texts that share too few five-word shingles."""
+    row, texts, rng = words(9, 40, 60), [], random.Random(1)
+    while len(texts) < 2:
+        # Every fifth word changed: no five-word shingle stays, some three-word ones do.
+        other = [f"q{rng.randrange(10**6)}" if place % 5 == 4 else word for place, word in enumerate(row)]
+        one, two = " ".join(row * 30), " ".join((row * 29) + other)
+        if (fingerprint(one) ^ fingerprint(two)).bit_count() <= 2 and len(shingle_set(one) & shingle_set(two)) < 0.8 * len(shingle_set(one) | shingle_set(two)):
+            texts = [one, two]
+    kept = [r.doc_id for r in corpus_pipeline.near_dedup(spark, documents(spark, texts), "").collect()]
+    assert kept == [0]
