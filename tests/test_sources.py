@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from opinara.operators import intake
 from opinara.operators.intake import cap_records, split_valid
 from opinara.sources import files, html, landing
 from opinara.sources.files import load_records
@@ -231,3 +232,16 @@ def test_first_records_of_too_few(spark, tmp_path):
     assert ids(files.first_records(spark, path, 9)) == ids(files.first_records(spark, path, 0)) == ["a"]
     with pytest.raises(ValueError, match="unsupported file format"):
         files.first_records(spark, str(tmp_path / "in.xml"), 1)
+
+
+def test_large_cap_takes_no_row_through_one_task(spark, monkeypatch):
+    monkeypatch.setattr(intake, "TOP_ROWS", 3)
+    monkeypatch.setattr(intake, "CELLS", 5)
+    numbers = [None, 0, 0, 7, 7, 7, 7, 10, 500, 501, 2**40, 2**62]
+    df = spark.createDataFrame([(n, f"t{place}") for place, n in enumerate(numbers)], "ingest_seq long, raw_text string").repartition(4)
+    for cap in (4, 5, 7, 8, 9, 11, 12, 50):
+        capped = cap_records(df, cap)
+        assert "SinglePartition" not in capped._jdf.queryExecution().toString() or cap in (4, 5)
+        found = [row.ingest_seq for row in capped.collect()]
+        assert sorted(-1 if n is None else n for n in found) == [-1 if n is None else n for n in numbers[:cap]]
+    assert cap_records(df.limit(0), 9).count() == 0
