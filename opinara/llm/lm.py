@@ -2,9 +2,10 @@
 
 Counts of words and word pairs are quantised on a logarithmic scale. The filter
 holds a member (n-gram, j) for every step j up to the n-gram's own, so that
-asking for steps 1, 2, ... until one is missing gives the quantised count. It
-has a fixed size; if the corpus holds more n-grams than fit at the wanted error
-rate, the rarest steps stay out. Pairs are interpolated with words, with a
+asking for steps 1, 2, ... until one is missing gives the quantised count. Its
+size follows the members, so that one rule holds for a corpus of any size: all
+words are in it and all pairs that occur twice. (``build_filter`` also makes
+one of a fixed size, which leaves the rarest steps out if need be.) Pairs are interpolated with words, with a
 weight for each step of the context's count: the share of the corpus's tokens
 after such contexts whose pair occurs elsewhere too.
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from opinara.llm.common import bounded_batches, keep, receive, send
 
-# The filter: blocks, bits of one block (a power of two), hash functions.
+# The filter: blocks (a power of two, the fewest of a growing filter), bits of one block (a power of two), hash functions.
 BLOCKS, BLOCK_BITS, PROBES = 64, 1 << 22, 5
 # Members it takes at half its bits set, and the part of them meant for words.
 MEMBERS = int(BLOCKS * BLOCK_BITS * math.log(2) / PROBES)
@@ -41,6 +42,10 @@ FREQUENT = 400_000
 # Entries gathered by a task before they are handed on.
 GATHERED_WORDS, GATHERED_PAIRS = 400_000, 2_000_000
 REMEMBERED = 500_000
+# Slots for keys whose step is at least KNOWN_STEP, a power of two; lower steps are as soon asked for as remembered.
+SLOTS, KNOWN_STEP = 1 << 19, 2
+# Texts scored at once.
+SCORED_ROWS = 250
 SEED = 42
 START, END = 0, 1
 # Any two numbers that no word's hash is likely to have.
@@ -78,8 +83,16 @@ def places(keys: np.ndarray, kind: int, step: int) -> tuple[np.ndarray, np.ndarr
     return member & np.uint64(BLOCK_BITS - 1), member >> np.uint64(32) | np.uint64(1)
 
 
-def block_of(keys: np.ndarray) -> np.ndarray:
-    return (keys & np.uint64(BLOCKS - 1)).astype(np.int64)
+# ``typical`` of the steps from -1 on.
+TYPICAL = typical(np.arange(-1.0, 128.0))
+
+
+class Known:
+    """Steps of keys asked before, one key a slot: the pairs that occur often are asked for again and again."""
+
+    def __init__(self) -> None:
+        self.keys = np.zeros(SLOTS, np.uint64)
+        self.steps = np.full(SLOTS, -1, np.int16)
 
 
 @dataclass
@@ -96,7 +109,7 @@ class Model:
         found = np.full(len(keys), -1, np.int16)
         live = np.arange(len(keys))
         step = self.lowest[kind]
-        offsets = block_of(keys).astype(np.uint64) * np.uint64(BLOCK_BITS)
+        offsets = (keys & np.uint64(len(self.bits) * 8 // BLOCK_BITS - 1)) * np.uint64(BLOCK_BITS)
         while len(live):
             place, stride = places(keys[live], kind, step)
             for _ in range(PROBES):
@@ -107,6 +120,16 @@ class Model:
             step += 1
         return found
 
+    def step_again(self, keys: np.ndarray, kind: int, known: Known) -> np.ndarray:
+        """The same as ``step``, with what ``known`` remembers of earlier calls for this kind."""
+        slot = (keys >> np.uint64(13) & np.uint64(SLOTS - 1)).astype(np.int64)
+        found = np.where(known.keys[slot] == keys, known.steps[slot], np.int16(-1))
+        new = np.flatnonzero(found < 0)
+        asked = found[new] = self.step(keys[new], kind)
+        often = new[asked >= KNOWN_STEP]
+        known.keys[slot[often]], known.steps[slot[often]] = keys[often], found[often]
+        return found
+
 
 def split_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
@@ -219,26 +242,33 @@ def count_ngrams(docs: DataFrame, text: str = "text") -> DataFrame:
         yield from flush_words()
         yield from flush_pairs()
 
-    parts = _texts(docs, text).mapInArrow(work, "word string, pair long, n long")
+    # Tasks have added up what they can: the rows go to the keys' partitions first and are added there.
+    parts = _texts(docs, text).mapInArrow(work, "word string, pair long, n long").repartition("word", "pair")
     return parts.groupBy("word", "pair").agg(F.sum("n").alias("n"))
 
 
-def build_filter(counts: DataFrame) -> Model:
+def build_filter(counts: DataFrame, grow: bool = False) -> Model:
     """The filter of ``counts`` (word, pair, n), pairs of one occurrence left out.
 
-    Only sums over steps reach the driver, and the finished blocks. A block is
-    built by one task from at most its share of MEMBERS.
+    A filter that may ``grow`` has twice the blocks as often as its members
+    need and leaves none out: 7.2 to 14.4 bits a member, BLOCKS blocks at
+    least. Another one has BLOCKS blocks, and the rarest steps stay out if they
+    do not fit. Only sums over steps reach the driver, and the finished blocks.
+    A block is built by one task from at most its share of MEMBERS.
     """
     words, pairs = counts.filter("word is not null"), counts.filter("word is null")
     total = words.agg(F.sum("n").alias("tokens"), F.count("*").alias("kinds"), F.max(F.when(F.col("word") == "", F.col("n"))).alias("ends")).first()
     kind = F.when(F.col("word").isNull(), PAIR).otherwise(WORD)
     table = counts.groupBy(kind.alias("kind"), steps(F.col("n")).alias("step")).agg(F.count("*").alias("ngrams")).collect()
-    lowest = []
+    lowest, blocks = [], BLOCKS
     for number, room in ((WORD, MEMBERS * WORD_PART), (PAIR, MEMBERS * (1 - WORD_PART))):
         sizes = {row.step: row.ngrams for row in table if row.kind == number}
         first = LEAST_PAIR_STEP if number == PAIR else 0
-        while sum(n * (step - first + 1) for step, n in sizes.items() if step >= first) > room:
-            first += 1
+        while sum(n * (step - first + 1) for step, n in sizes.items() if step >= first) > room * blocks / BLOCKS:
+            if grow:
+                blocks *= 2
+            else:
+                first += 1
         lowest.append(first)
     first = F.when(F.col("kind") == PAIR, lowest[PAIR]).otherwise(lowest[WORD])
     members = (
@@ -261,8 +291,8 @@ def build_filter(counts: DataFrame) -> Model:
                 keys, last = keys[last >= step], last[last >= step]
         return pd.DataFrame({"block": [key[0]], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
-    grouped = members.withColumn("block", F.col("key").bitwiseAND(BLOCKS - 1).cast("int")).groupBy("block")
-    made = np.zeros((BLOCKS, BLOCK_BITS // 8), np.uint8)
+    grouped = members.withColumn("block", F.col("key").bitwiseAND(blocks - 1).cast("int")).groupBy("block")
+    made = np.zeros((blocks, BLOCK_BITS // 8), np.uint8)
     for row in grouped.applyInPandas(block, "block int, bits binary").toLocalIterator():
         made[row.block] = np.frombuffer(row.bits, np.uint8)
     return Model(made.ravel(), tuple(lowest), int(total.tokens or 0), int(total.kinds or 0), int(total.ends or 0))
@@ -299,9 +329,9 @@ def score_texts(docs: DataFrame, learn: Column, key: str = "doc_id", text: str =
     ``base_score`` the add-one unigram score from exact counts, ``n_known`` the
     tokens that were learned. A null or empty text is its end alone. Without
     rows to learn from, both scores are 0. Repeated rows and null keys are rows
-    like others; other columns are not read. The filter and the FREQUENT most
-    frequent words are broadcast, both of bounded size; the other words of the
-    texts meet their counts in a join, where none is frequent.
+    like others; other columns are not read. The filter, whose size follows the
+    words and pairs, and the FREQUENT most frequent words are broadcast; the
+    other words of the texts meet their counts in a join, where none is frequent.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -309,7 +339,7 @@ def score_texts(docs: DataFrame, learn: Column, key: str = "doc_id", text: str =
     training = docs.filter(learn)
     counted = count_ngrams(training, text)
     counts = keep(counted.filter(F.col("word").isNotNull() | (F.col("n") > 1)))
-    model = build_filter(counts)
+    model = build_filter(counts, grow=True)
     model.weights = _weights(counts, model.documents)
     words = counts.filter("word is not null")
     sizes = {row.step: row.kinds for row in words.groupBy(steps(F.col("n")).alias("step")).agg(F.count("*").alias("kinds")).collect()}
@@ -321,19 +351,20 @@ def score_texts(docs: DataFrame, learn: Column, key: str = "doc_id", text: str =
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, frequent = receive(sent)
-        reader = Reader(model, frequent)
+        reader, known = Reader(model, frequent), Known()
         row_id = TaskContext.get().partitionId() << 33
         size = model.tokens + model.kinds + 1
-        for batch in batches:
+        for batch in (whole.slice(start, SCORED_ROWS) for whole in batches for start in range(0, whole.num_rows, SCORED_ROWS)):
             if len(reader.hashes) > REMEMBERED:
                 reader.forget()
             row = reader.read(batch.column(1).to_pylist())
             size_of = np.diff(np.append(np.flatnonzero(row == START), len(row))) - 1
             first, second, keys = reader.pairs(row)
-            single = (typical(reader.step)[second] + 1) / size
-            context = typical(reader.step)[first]
-            weight = np.where(context > 0, model.weights[np.maximum(reader.step[first], 0)], 0.0)
-            both = np.minimum(typical(model.step(keys, PAIR).astype(np.int64)) / np.maximum(context, 1), 1)
+            single = (TYPICAL[reader.step[second] + 1] + 1) / size
+            before = reader.step[first]
+            context = TYPICAL[before + 1]
+            weight = np.where(context > 0, model.weights[np.maximum(before, 0)], 0.0)
+            both = np.minimum(TYPICAL[model.step_again(keys, PAIR, known) + 1] / np.maximum(context, 1), 1)
             logs = np.log10(weight * both + (1 - weight) * single)
             exact = reader.count[second]
             starts = np.cumsum(size_of) - size_of

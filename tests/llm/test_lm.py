@@ -98,3 +98,24 @@ def test_nothing_learned_and_empty_table(spark):
     rows = lm.score_texts(docs, F.lit(False)).collect()
     assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in rows) == [(1, 0, 0, 0, 0), (3, 0, 0, 0, 0)]
     assert lm.score_texts(documents(spark, []), F.lit(True)).count() == 0
+
+
+def test_growing_filter_leaves_nothing_out(spark, monkeypatch):
+    """The same steps from a filter that has to grow as from one with room, and the same scores of a table."""
+    monkeypatch.setattr(lm, "MEMBERS", 200)
+    rows = [(f"w{i}", None, 1 if i < 500 else 40) for i in range(510)] + [(None, i * 7919, 2 + i % 9) for i in range(400)]
+    model = lm.build_filter(spark.createDataFrame(rows, "word string, pair long, n long"), grow=True)
+    assert model.lowest == (0, lm.LEAST_PAIR_STEP) and len(model.bits) * 8 > lm.BLOCKS * lm.BLOCK_BITS
+    hashes = np.array([xxhash.xxh64_intdigest(f"w{i}", 42) for i in range(510)], np.uint64)
+    assert (model.step(hashes, lm.WORD) >= np.array([0] * 500 + [9] * 10)).all()
+    keys = np.array([i * 7919 for i in range(400)], np.uint64)
+    steps = model.step(keys, lm.PAIR)
+    assert (steps >= [math.floor(math.log(2 + i % 9, lm.BASE) + 1e-9) for i in range(400)]).all()
+    known = lm.Known()
+    for asked in (keys, keys[::-1], np.append(keys, keys * np.uint64(3))):
+        assert (model.step_again(asked, lm.PAIR, known) == model.step(asked, lm.PAIR)).all()
+    learned = [" ".join(words(seed, 60, 90)) for seed in range(20)]
+    found = [r.score for r in lm.score_texts(documents(spark, learned), F.lit(True)).orderBy("doc_id").collect()]
+    monkeypatch.setattr(lm, "MEMBERS", 10**6)
+    roomy = [r.score for r in lm.score_texts(documents(spark, learned), F.lit(True)).orderBy("doc_id").collect()]
+    assert found == pytest.approx(roomy, rel=0.01)
