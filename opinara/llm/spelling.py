@@ -40,6 +40,8 @@ SHARD_CHARS, BLOCK_WORDS = 300_000, 20_000
 BROADCAST_HALVES = 100_000
 # Intervals up to this size are looked through; larger ones are asked for every character.
 SMALL = 16
+# Words that are asked at once: each may stand for as many intervals as there are letters.
+ASKED_WORDS = 4000
 
 
 def text_runs(doc_id: int | str | None, text: str) -> Counter[str]:
@@ -140,6 +142,16 @@ def near_pairs(texts: list[str], queries: list[str], exact: np.ndarray, longer:
     a later one. That is every pair once, seen from one of its two words.
     """
     index = FmIndex(texts)
+    asked, known = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for start in range(0, len(queries), ASKED_WORDS):
+        some = slice(start, start + ASKED_WORDS)
+        number, text = _near_some(index, queries[some], exact[some], longer[some])
+        asked.append(number + start)
+        known.append(text)
+    return np.concatenate(asked), np.concatenate(known)
+
+
+def _near_some(index: FmIndex, queries: list[str], exact: np.ndarray, longer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     letters, starts = index.codes(queries)
     left = np.array([len(query) for query in queries], dtype=np.int64)
     bound = left - exact  # letters that may be wrong

@@ -126,3 +126,16 @@ def test_odd_texts_and_columns(spark):
 def test_empty_tables(spark):
     assert found(spelling_variants(documents(spark, []))) == {}
     assert roots(spark.createDataFrame([("a", None)], "word string, form string")).count() == 0
+
+
+def test_words_are_asked_in_bounded_numbers(monkeypatch):
+    """The words of a shard are asked a few at a time, and the pairs are those of all at once."""
+    rng = random.Random(5)
+    texts = sorted({"".join(rng.choice("abc") for _ in range(7)) for _ in range(300)})
+    exact, longer = np.full(len(texts), 3), np.zeros(len(texts), dtype=bool)
+    whole = sorted(zip(*(side.tolist() for side in spelling.near_pairs(texts, texts, exact, longer)), strict=True))
+    sizes, some = [], spelling._near_some
+    monkeypatch.setattr(spelling, "ASKED_WORDS", 40)
+    monkeypatch.setattr(spelling, "_near_some", lambda index, queries, *more: sizes.append(len(queries)) or some(index, queries, *more))
+    assert sorted(zip(*(side.tolist() for side in spelling.near_pairs(texts, texts, exact, longer)), strict=True)) == whole
+    assert max(sizes) <= 40 and sum(sizes) == len(texts) and len(whole) > 100
