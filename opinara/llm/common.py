@@ -51,6 +51,11 @@ def keep(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """Mark the side of a join that shall never be broadcast: a broadcast is a job of its own and passes through the driver."""
+    return df.hint("merge")
+
+
 def keep_table(df: DataFrame) -> DataFrame:
     """The same as ``keep`` in Parquet files, half as large; they stay in the shared folder until it is cleared."""
     spark = df.sparkSession

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import keep
+from opinara.llm.common import keep, shuffled
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,18 +15,20 @@ def components(links: DataFrame) -> DataFrame:
     that label, so long chains shorten by more than half; it ends when no label
     moves. Every round is cut off from its lineage. Nodes meet in aggregates
     with partial sums and in joins that Spark can split, never in one group.
+    Each node is a neighbour of its own, so one aggregate also finds its old
+    label. The result is stored; keeping it again is of no use.
     """
-    both = keep(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = keep(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node"))
+    ends = F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x in "ab" for y in "ab"])
+    both = keep(links.select(F.explode(ends).alias("end")).select("end.a", "end.b").distinct())
+    labels = keep(both.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node"))
     moved = True
     while moved:
-        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("root").alias("near"))
-        stepped = labels.join(near, F.col("node") == F.col("a")).select(
-            "node", F.col("root").alias("old"), F.least("root", "near").alias("root")
+        stepped = both.join(shuffled(labels), F.col("b") == F.col("node")).groupBy("a").agg(
+            F.max(F.when(F.col("a") == F.col("b"), F.col("root"))).alias("old"), F.min("root").alias("root")
         )
         # A root is a node too; its own label at the round's start is as good a jump as any later one.
         jump = labels.select(F.col("node").alias("root"), F.col("root").alias("far"))
-        after = keep(stepped.join(jump, "root", "left").select("node", "old", F.least("root", "far").alias("root")))
+        after = keep(stepped.join(shuffled(jump), "root", "left").select(F.col("a").alias("node"), "old", F.least("root", "far").alias("root")))
         moved = not after.filter("root < old").isEmpty()
         labels = after.select("node", "root")
     return labels

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import bounded_batches, keep
+from opinara.llm.common import bounded_batches, keep, shuffled
 from opinara.llm.components import components
 
 BITS = 64
@@ -96,7 +96,7 @@ def links(prints: DataFrame) -> DataFrame:
         ])).alias("at"),
     ).select("print", "at.number", "at.bucket")
     sizes = buckets.groupBy("number", "bucket").agg(F.count("*").alias("members")).filter("members > 1")
-    shared = keep(buckets.join(sizes, ["number", "bucket"]))
+    shared = keep(buckets.join(shuffled(sizes), ["number", "bucket"]))
 
     few = shared.filter(F.col("members") <= FEW).groupBy("number", "bucket").agg(F.collect_list("print").alias("all"))
     pairs = few.select(F.explode(F.flatten(F.transform("all", lambda a: F.transform(
@@ -128,13 +128,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     prints = keep(fingerprints(docs, key, text))
     nodes = keep(prints.groupBy("print").agg(F.min("k").alias("first")))
-    roots = keep(components(links(nodes)))
-    named = nodes.join(roots, F.col("print") == F.col("node"), "left").select(
+    roots = components(links(nodes))
+    named = nodes.join(shuffled(roots), F.col("print") == F.col("node"), "left").select(
         "print", "first", F.coalesce("root", "print").alias("root")
     )
-    smallest = named.join(roots.select("root").distinct(), "root").groupBy("root").agg(F.min("first").alias("least"))
-    classes = named.join(smallest, "root", "left").select("print", F.coalesce("least", "first").alias("component_id"))
-    return prints.join(classes, "print").select(
+    smallest = named.join(shuffled(roots.select("root").distinct()), "root").groupBy("root").agg(F.min("first").alias("least"))
+    classes = named.join(shuffled(smallest), "root", "left").select("print", F.coalesce("least", "first").alias("component_id"))
+    return prints.join(shuffled(classes), "print").select(
         F.col("k").alias(key), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )
 

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinara.llm.common import bounded_batches, keep
+from opinara.llm.common import bounded_batches, keep, shuffled
 from opinara.llm.components import components
 
 WIDTH, ALIKE = 5, 0.8
@@ -78,7 +78,7 @@ def _buckets(texts: DataFrame) -> DataFrame:
 
 def _one_each(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, t): the text of each node of ``wanted``, once."""
-    return keep(texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("t").alias("t")))
+    return keep(texts.join(shuffled(wanted), "node", "left_semi").groupBy("node").agg(F.first("t").alias("t")))
 
 
 def _alike(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -94,7 +94,7 @@ def _alike(pairs: DataFrame, known: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(stay, pa.bool_()))
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(work, "a long, b long")
+    return pairs.join(shuffled(one), "a").join(shuffled(two), "b").select("a", "b", "x", "y").mapInArrow(work, "a long, b long")
 
 
 def _alike_in_blocks(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -110,7 +110,7 @@ def _alike_in_blocks(pairs: DataFrame, known: DataFrame) -> DataFrame:
         stay = [similarity(sets[a], sets[b]) >= ALIKE for a, b in zip(some["a"], some["b"], strict=True)]
         return some.loc[stay, ["a", "b"]]
 
-    met = wanted.join(known, "node").toDF("node", "k", "l", "t").groupBy("k", "l")
+    met = wanted.join(shuffled(known), "node").toDF("node", "k", "l", "t").groupBy("k", "l")
     return placed.groupBy("i", "j").cogroup(met).applyInPandas(compare, "a long, b long")
 
 
@@ -129,7 +129,7 @@ def _stars(members: DataFrame, turn: int) -> DataFrame:
     heads = members.groupBy("bucket").agg(
         F.min(order).alias("head"), F.min("root").alias("low"), F.max("root").alias("high")
     ).filter("low < high").select("bucket", "head")
-    met = members.join(heads, "bucket").filter((F.col("root") != F.col("head.root")) & _could_be("size", "head.size"))
+    met = members.join(shuffled(heads), "bucket").filter((F.col("root") != F.col("head.root")) & _could_be("size", "head.size"))
     return met.select(F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b")).distinct()
 
 
@@ -151,17 +151,17 @@ def _sharing_rare(nodes: DataFrame, known: DataFrame) -> DataFrame:
                     pa.array(np.full(len(found), node)), pa.array(np.full(len(found), len(found), np.int32)), pa.array(found.view(np.int64))
                 ], names=["node", "size", "gram"])
 
-    grams = keep(known.join(nodes, "node", "left_semi").mapInArrow(work, "node long, size int, gram long"))
+    grams = keep(known.join(shuffled(nodes), "node", "left_semi").mapInArrow(work, "node long, size int, gram long"))
     counts = grams.groupBy("gram").agg(F.count("*").alias("n"))
     place = F.row_number().over(Window.partitionBy("node").orderBy("n", "gram"))
-    rare = keep(grams.join(counts, "gram").withColumn("place", place).filter(
+    rare = keep(grams.join(shuffled(counts), "gram").withColumn("place", place).filter(
         (F.col("place") <= F.col("size") - F.ceil(F.col("size") * ALIKE - 1e-9) + 1) & (F.col("n") > 1)
-    ).join(nodes, "node").select("gram", "node", "size", "place", "root"))
+    ).join(shuffled(nodes), "node").select("gram", "node", "size", "place", "root"))
     one, two = (rare.select("gram", *[F.col(name).alias(f"{side}_{name}") for name in ("node", "size", "place", "root")]) for side in "ab")
     shared = F.ceil((F.col("a_size") + F.col("b_size")) * (ALIKE / (1 + ALIKE)) - 1e-6)
     left = F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place")) + 1
     # By components, so that members of one never meet.
-    met = one.join(two, "gram").filter((F.col("a_root") < F.col("b_root")) & (left >= shared) & _could_be("a_size", "b_size"))
+    met = one.join(shuffled(two), "gram").filter((F.col("a_root") < F.col("b_root")) & (left >= shared) & _could_be("a_size", "b_size"))
     return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
@@ -198,35 +198,38 @@ def similar_texts(
         given = first.select(F.least("node", "root").alias("a"), F.greatest("node", "root").alias("b"))
     placed = keep(_buckets(texts))
     several = placed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("bucket")
-    members = keep(placed.join(several, "bucket").select("bucket", "node", "size").distinct())
+    members = keep(placed.join(shuffled(several), "bucket").select("bucket", "node", "size").distinct())
     rooted = members.withColumn("root", F.col("node"))
     if given:
-        rooted = members.join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rooted = members.join(shuffled(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
     stars = keep(_stars(rooted, 0))
     links = _alike(stars, _one_each(texts, stars.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
     links = keep(links.union(given) if given else links)
-    roots = keep(components(links))
+    roots = components(links)
 
     # What the stars did not join: buckets with members of several components.
     def split(members: DataFrame) -> DataFrame:
-        labelled = members.select("bucket", "node", "size").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        labelled = members.select("bucket", "node", "size").join(shuffled(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
         open_ = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("bucket")
-        return keep(labelled.join(open_, "bucket"))
+        return keep(labelled.join(shuffled(open_), "bucket"))
 
     members = split(members)
     known = _one_each(texts, members.select("node").distinct())
     for turn in range(1, TURNS):
-        again = keep(_stars(members, turn).join(stars, ["a", "b"], "left_anti"))
+        again = keep(_stars(members, turn).join(shuffled(stars), ["a", "b"], "left_anti"))
         if again.isEmpty():
             break
-        stars, links = stars.union(again), keep(links.union(_alike(again, known)))
-        roots = keep(components(links))
+        stars, more = stars.union(again), keep(_alike(again, known))
+        if more.isEmpty():
+            continue
+        links = links.union(more)
+        roots = components(links)
         members = split(members)
-    others = keep(_sharing_rare(members.select("node", "root").distinct(), known).join(stars, ["a", "b"], "left_anti"))
+    others = keep(_sharing_rare(members.select("node", "root").distinct(), known).join(shuffled(stars), ["a", "b"], "left_anti"))
     if not others.isEmpty():
-        roots = keep(components(links.union(_alike_in_blocks(others, known))))
+        roots = components(links.union(_alike_in_blocks(others, known)))
 
-    named = nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    named = nodes.join(shuffled(roots), "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = named.join(least, "root").select("node", "component_id")
-    return rows.select("k", "node").join(classes, "node").select(F.col("k").alias(key), "component_id")
+    classes = named.join(shuffled(least), "root").select("node", "component_id")
+    return rows.select("k", "node").join(shuffled(classes), "node").select(F.col("k").alias(key), "component_id")

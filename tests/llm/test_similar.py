@@ -106,3 +106,16 @@ def test_near_dedup_stage_keeps_one_of_texts_whose_fingerprints_are_near(spark):
             texts = [one, two]
     kept = [r.doc_id for r in corpus_pipeline.near_dedup(spark, documents(spark, texts), "").collect()]
     assert kept == [0]
+
+
+def test_jobs_of_near_dedup(spark):
+    """The driver holds each job's plans and broadcasts: 242 jobs on these texts with joins broadcast, 204 without."""
+    context, group = spark.sparkContext, "near_dedup of a test"
+    docs = documents(spark, corpus())
+    context.setJobGroup(group, group)
+    try:
+        corpus_pipeline.near_dedup(spark, docs, "").collect()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    jobs = len(context.statusTracker().getJobIdsForGroup(group))
+    assert 50 < jobs <= 215
