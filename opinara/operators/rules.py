@@ -55,6 +55,11 @@ def variant_text(value: Column) -> Column:
     )
 
 
+def is_object(value: Column) -> Column:
+    """Whether a VARIANT is an object; one look-up, while a schema would go through all it holds."""
+    return F.try_variant_get(value, "$", "struct<source_id: variant>").isNotNull()
+
+
 def read_time(text: Column) -> Column:
     """A time stamp that names its date; null for anything else."""
     return F.when(text.rlike(DATED), F.try_to_timestamp(text))
@@ -122,17 +127,21 @@ def _typed_cell(df: DataFrame, name: str) -> Cell:
 
 
 def _read_payload(df: DataFrame, payload: str) -> tuple[DataFrame, dict[str, Cell]]:
-    """One column per field, holding its cell; keys outside the contract are dropped."""
+    """One column per field, holding its cell; keys outside the contract are dropped.
+
+    All fields are taken from the payload in one pass over it.
+    """
+    fields = F.try_variant_get(F.col(payload), "$", f"struct<{', '.join(f'{name}: variant' for name in ANALYZED.names)}>")
 
     def cell(name: str) -> Column:
-        field = F.try_variant_get(F.col(payload), f"$.{name}", "variant")
+        field = F.col("_fields")[name]
         kind = F.coalesce(F.schema_of_variant(field), F.lit("VOID"))
         return let(F.struct(field.alias("field"), kind.alias("kind")), lambda found: F.struct(
             *[part.alias(label) for label, part in _variant_cell(name, found["field"], found["kind"])._asdict().items()]
         ))
 
     kept = [name for name in df.columns if name != payload and name not in ANALYZED.names]
-    read = df.select(*kept, *[cell(name).alias(f"_{name}") for name in ANALYZED.names])
+    read = df.select(*kept, fields.alias("_fields")).select(*kept, *[cell(name).alias(f"_{name}") for name in ANALYZED.names])
     return read, {
         name: Cell(*[F.col(f"_{name}")[kind] for kind in Cell._fields]) for name in ANALYZED.names
     }

@@ -153,8 +153,8 @@ def replies(spark: SparkSession, folder: str) -> DataFrame:
     grouped = (
         records.select(number.alias("batch_no"), F.struct("ingest_seq", body.alias("body")).alias("entry"))
         .groupBy("batch_no")
-        .agg(F.array_sort(F.collect_list("entry")).alias("entries"))
-        .select("batch_no", F.array_join(F.transform("entries", lambda e: e["body"]), ",\n").alias("items"))
+        .agg(F.sort_array(F.collect_list("entry")).alias("entries"))
+        .select("batch_no", F.array_join("entries.body", ",\n").alias("items"))
     )
     items, style = F.col("items"), F.col("batch_no") % 5
     return grouped.select(
