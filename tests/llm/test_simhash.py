@@ -82,6 +82,15 @@ def test_components_of_a_chain_and_a_star(spark):
     assert all(found[i] == 0 for i in range(101)) and all(found[500 + i] == 500 for i in range(60))
 
 
+def test_rounds_of_components_keep_the_planned_size(spark, capsys):
+    """Spark's estimate had 3,500 digits after the rounds of such a chain, twice as many with each further round."""
+    roots = components(spark.range(399).selectExpr("id as a", "id + 1 as b"))
+    assert roots.filter("root = 0").count() == 400
+    roots.explain(mode="cost")
+    sizes = re.findall(r"sizeInBytes=([^,)]*)", capsys.readouterr().out)
+    assert sizes and not [size for size in sizes if "E+" in size]
+
+
 def test_near_duplicates_equal_brute_force(spark):
     row = words(9, 400)
     texts = [" ".join(row), " ".join(row[:200] + ["other"] + row[200:]), " ".join(words(10, 300)), " ".join(row).upper(), *ODD]
