@@ -56,6 +56,15 @@ def shuffled(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def in_few_files(df: DataFrame) -> DataFrame:
+    """Deal a table of short rows anew before it is kept: tasks that leave a little each would leave a file each.
+
+    A file costs more than its bytes: where Hadoop's native library is missing, a local file system starts a child process
+    to set the rights of the file and another for its checksum.
+    """
+    return df.hint("rebalance")
+
+
 def keep_table(df: DataFrame) -> DataFrame:
     """The same as ``keep`` in Parquet files, half as large; they stay in the shared folder until it is cleared."""
     spark = df.sparkSession

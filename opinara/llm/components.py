@@ -24,7 +24,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     ends = F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x in "ab" for y in "ab"])
     both = keep_table(links.select(F.explode(ends).alias("end")).select("end.a", "end.b").distinct())
-    labels = keep_table(both.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node"))
+    # Not stored: one aggregate of a stored table, which only the first round reads.
+    labels = both.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
     moved = True
     while moved:
         stepped = both.join(shuffled(labels), F.col("b") == F.col("node")).groupBy("a").agg(

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import bounded_batches, keep, shuffled
+from opinara.llm.common import bounded_batches, in_few_files, keep, shuffled
 from opinara.llm.components import components
 
 BITS = 64
@@ -96,7 +96,7 @@ def links(prints: DataFrame) -> DataFrame:
         ])).alias("at"),
     ).select("print", "at.number", "at.bucket")
     sizes = buckets.groupBy("number", "bucket").agg(F.count("*").alias("members")).filter("members > 1")
-    shared = keep(buckets.join(shuffled(sizes), ["number", "bucket"]))
+    shared = keep(in_few_files(buckets.join(shuffled(sizes), ["number", "bucket"])))
 
     few = shared.filter(F.col("members") <= FEW).groupBy("number", "bucket").agg(F.collect_list("print").alias("all"))
     pairs = few.select(F.explode(F.flatten(F.transform("all", lambda a: F.transform(
@@ -126,7 +126,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     read. Equal fingerprints are one node, so copies cost nothing after the
     first aggregate.
     """
-    prints = keep(fingerprints(docs, key, text))
+    prints = keep(in_few_files(fingerprints(docs, key, text)))
     nodes = keep(prints.groupBy("print").agg(F.min("k").alias("first")))
     roots = components(links(nodes))
     named = nodes.join(shuffled(roots), F.col("print") == F.col("node"), "left").select(

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinara.llm.common import bounded_batches, keep, shuffled
+from opinara.llm.common import bounded_batches, in_few_files, keep, shuffled
 from opinara.llm.components import components
 
 WIDTH, ALIKE = 5, 0.8
@@ -190,7 +190,6 @@ def similar_texts(
     bounded_batches(docs.sparkSession)
     words = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.xxhash64(words).alias("node"), words.alias("t"))
-    nodes = keep(rows.groupBy("node").agg(F.min("k").alias("first")))
     texts = rows.select("node", "t")
     given = None
     if also:
@@ -198,13 +197,13 @@ def similar_texts(
         given = first.select(F.least("node", "root").alias("a"), F.greatest("node", "root").alias("b"))
     placed = keep(_buckets(texts))
     several = placed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("bucket")
-    members = keep(placed.join(shuffled(several), "bucket").select("bucket", "node", "size").distinct())
+    members = keep(in_few_files(placed.join(shuffled(several), "bucket").select("bucket", "node", "size").distinct()))
     rooted = members.withColumn("root", F.col("node"))
     if given:
         rooted = members.join(shuffled(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
     stars = keep(_stars(rooted, 0))
     links = _alike(stars, _one_each(texts, stars.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
-    links = keep(links.union(given) if given else links)
+    links = keep(in_few_files(links.union(given) if given else links))
     roots = components(links)
 
     # What the stars did not join: buckets with members of several components.
@@ -219,7 +218,7 @@ def similar_texts(
         again = keep(_stars(members, turn).join(shuffled(stars), ["a", "b"], "left_anti"))
         if again.isEmpty():
             break
-        stars, more = stars.union(again), keep(_alike(again, known))
+        stars, more = stars.union(again), keep(in_few_files(_alike(again, known)))
         if more.isEmpty():
             continue
         links = links.union(more)
@@ -229,6 +228,7 @@ def similar_texts(
     if not others.isEmpty():
         roots = components(links.union(_alike_in_blocks(others, known)))
 
+    nodes = rows.groupBy("node").agg(F.min("k").alias("first"))
     named = nodes.join(shuffled(roots), "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = named.join(shuffled(least), "root").select("node", "component_id")

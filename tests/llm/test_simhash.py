@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parent))
 from llm_data import ODD, documents, words
 
+from opinara.llm.common import shared_folder
 from opinara.llm.components import components
 from opinara.llm.simhash import FEW, fingerprint, links, masks, near_duplicates, one_of_each
 
@@ -91,6 +92,20 @@ def test_rounds_of_components_keep_the_planned_size(spark, capsys):
     assert sizes and not [size for size in sizes if "E+" in size]
 
 
+def test_tables_are_kept_in_few_files(spark):
+    """Twelve tasks of short texts left 12 files of fingerprints, and each call of components stored its first labels too."""
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.rglob("*part-*"))
+    docs = documents(spark, [" ".join(words(n, 40)) for n in range(60)] * 2).repartition(12)
+    assert near_duplicates(docs).agg(F.countDistinct("component_id")).first()[0] == 60
+    files = {file for file in folder.rglob("*part-*") if not file.name.endswith(".crc")} - before
+    assert 0 < len(files) <= 8
+    stored = set(folder.glob("table-*"))
+    components(spark.range(2).selectExpr("id as a", "id + 5 as b")).collect()
+    # The ends, and one round that moves no label.
+    assert len(set(folder.glob("table-*")) - stored) == 2
+
+
 def test_near_duplicates_equal_brute_force(spark):
     row = words(9, 400)
     texts = [" ".join(row), " ".join(row[:200] + ["other"] + row[200:]), " ".join(words(10, 300)), " ".join(row).upper(), *ODD]
